@@ -14,7 +14,12 @@ from tidewatch.operators import gold as G
 from tidewatch.operators import quality as Q
 from tidewatch.operators import sentiment as SN
 from tidewatch.plans import reports as R
+from tidewatch.plans import pipeline as P
 from tidewatch.plans.layers import Layers
+from tidewatch.session import prepare, scratch_path
+from tidewatch.sources import fixtures, schemas
+from tidewatch.sources import raw as RW
+from tidewatch.sources import storage as io
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,7 +60,71 @@ def step_tables(L: Layers) -> dict[str, DataFrame]:
     }
 
 
+# Run date of the lookback query, and the ticker universe of the universe
+# query: the first 55 listed tickers, the size of the default universe.
+LOOKBACK_AS_OF = "2024-01-20"
+UNIVERSE = [f"T{i:06d}" for i in range(55)]
+
+
+def _price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return RW.price_records(fixtures.raw_table(spark, sf_dir, "price_history"))
+
+
+def _news_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return RW.news_records(fixtures.news_payloads(spark, sf_dir))
+
+
+def _macro_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return RW.macro_records(fixtures.raw_table(spark, sf_dir, "macro_obs"))
+
+
+def _roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers.from_testdata(spark, sf_dir)
+    path = scratch_path(spark, "bronze-stocks")
+    io.append_json(L.raw_stocks, path)
+    return io.read_raw_json(spark, path, schemas.RAW_STOCKS)
+
+
+def _roundtrip_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers.from_testdata(spark, sf_dir)
+    path = scratch_path(spark, "silver-stocks")
+    io.write_partitioned(L.silver_stocks, path)
+    return io.read_table(spark, path, schemas.SILVER_STOCKS)
+
+
+def _roundtrip_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers.from_testdata(spark, sf_dir)
+    root = scratch_path(spark, "gold")
+    io.write_partitioned(L.gold, f"{root}/fct_daily_market_summary")
+    io.write_flat(L.dim_tickers, f"{root}/dim_tickers")
+    io.write_flat(L.sensitivity, f"{root}/fct_sentiment_sensitivity")
+    names = io.register_tables(spark, root, P.GOLD_TABLES + ["not_written"])
+    return io.table_listing(spark, names)
+
+
+def _layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers.from_testdata(spark, sf_dir)
+    root = scratch_path(spark, "lake")
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    P.run(spark, root)
+    return io.layer_inventory(spark, root)
+
+
 QUERIES: dict[str, Query] = {
+    # raw records and landing
+    "raw_price_records": _price_records,
+    "raw_news_records": _news_records,
+    "raw_macro_records": _macro_records,
+    "lookback_window": lambda spark, sf_dir: RW.lookback(_macro_records(spark, sf_dir), LOOKBACK_AS_OF, schemas.LOOKBACK_DAYS),
+    "ticker_universe": lambda spark, sf_dir: RW.ticker_universe(_price_records(spark, sf_dir), UNIVERSE),
+    # storage round trips
+    "roundtrip_json": _roundtrip_json,
+    "roundtrip_partitioned": _roundtrip_partitioned,
+    "roundtrip_tables": _roundtrip_tables,
+    "layer_inventory": _layer_inventory,
     # silver
     "silver_stocks": _on(lambda L: L.silver_stocks),
     "news_clean": _on(lambda L: L.news_clean),

@@ -1,0 +1,122 @@
+"""The daily batch: bronze -> silver -> gold -> marts -> checks -> views.
+
+Each step reads the previous layer from storage and writes its own, so a
+lost executor costs at most the running step's tasks, and no step keeps a
+long lineage. Steps run in order; ``from_step`` starts later, as a re-run
+after a failure would. Layout under ``root``:
+
+  bronze/{stocks,news,fred}        newline JSON landing batches
+  silver/stocks (by ticker), silver/news, silver/fred
+  gold/fct_daily_market_summary (by ticker), gold/dim_tickers, gold/fct_sentiment_sensitivity
+  marts/fct_market_signals (by ticker), marts/fct_weekly_summary, marts/quality_report
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidewatch.operators import gold as G
+from tidewatch.operators import marts as M
+from tidewatch.operators import quality as Q
+from tidewatch.operators import sentiment as SN
+from tidewatch.operators import silver as SV
+from tidewatch.session import prepare
+from tidewatch.sources import schemas
+from tidewatch.sources import storage as io
+
+STEPS = ["silver", "gold", "marts", "quality", "load"]
+GOLD_TABLES = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity"]
+
+
+def _p(root: str, *parts: str) -> str:
+    return "/".join([root.rstrip("/"), *parts])
+
+
+def land(root: str, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataFrame) -> None:
+    """Append one landing batch of raw records to bronze."""
+    io.append_json(raw_stocks, _p(root, "bronze", "stocks"))
+    io.append_json(raw_news, _p(root, "bronze", "news"))
+    io.append_json(raw_macro, _p(root, "bronze", "fred"))
+
+
+def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None) -> dict[str, int]:
+    raw_s = io.read_raw_json(spark, _p(root, "bronze", "stocks"), schemas.RAW_STOCKS)
+    raw_n = io.read_raw_json(spark, _p(root, "bronze", "news"), schemas.RAW_NEWS)
+    raw_m = io.read_raw_json(spark, _p(root, "bronze", "fred"), schemas.RAW_MACRO)
+    io.write_partitioned(SV.clean_stocks(raw_s), _p(root, "silver", "stocks"))
+    news = SV.clean_news(raw_n)
+    scored = SN.score_news(news) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
+    io.write_flat(scored, _p(root, "silver", "news"))
+    io.write_flat(SV.macro_ffill(SV.clean_macro(raw_m)), _p(root, "silver", "fred"))
+    return {}
+
+
+def gold_step(spark: SparkSession, root: str) -> None:
+    stocks = io.read_table(spark, _p(root, "silver", "stocks"), schemas.SILVER_STOCKS)
+    news = io.read_table(spark, _p(root, "silver", "news"))
+    macro = io.read_table(spark, _p(root, "silver", "fred"))
+    gold = G.daily_market_summary(stocks, G.daily_news(news), macro)
+    io.write_partitioned(gold, _p(root, "gold", "fct_daily_market_summary"))
+    stored = read_gold(spark, root)
+    io.write_flat(G.dim_tickers(stored), _p(root, "gold", "dim_tickers"))
+    io.write_flat(G.sentiment_sensitivity(stored), _p(root, "gold", "fct_sentiment_sensitivity"))
+
+
+def read_gold(spark: SparkSession, root: str) -> DataFrame:
+    df = spark.read.parquet(_p(root, "gold", "fct_daily_market_summary"))
+    # Partition discovery would type number-like tickers as numbers.
+    return df.withColumn("ticker", df["ticker"].cast("string"))
+
+
+def marts_step(spark: SparkSession, root: str) -> None:
+    sig = M.market_signals(M.stg_daily_market(read_gold(spark, root)))
+    io.write_partitioned(sig, _p(root, "marts", "fct_market_signals"))
+    stored = spark.read.parquet(_p(root, "marts", "fct_market_signals"))
+    io.write_flat(M.weekly_summary(stored), _p(root, "marts", "fct_weekly_summary"))
+
+
+def model_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    gold = read_gold(spark, root)
+    sig = spark.read.parquet(_p(root, "marts", "fct_market_signals"))
+    return {
+        "fct_daily_market_summary": gold,
+        "dim_tickers": spark.read.parquet(_p(root, "gold", "dim_tickers")),
+        "fct_sentiment_sensitivity": spark.read.parquet(_p(root, "gold", "fct_sentiment_sensitivity")),
+        "stg_daily_market": M.stg_daily_market(gold),
+        "fct_market_signals": sig,
+        "fct_weekly_summary": spark.read.parquet(_p(root, "marts", "fct_weekly_summary")),
+    }
+
+
+def quality_step(spark: SparkSession, root: str) -> DataFrame:
+    report = Q.quality_report(model_tables(spark, root))
+    io.write_flat(report.coalesce(1), _p(root, "marts", "quality_report"))
+    return spark.read.parquet(_p(root, "marts", "quality_report"))
+
+
+def load_step(spark: SparkSession, root: str) -> DataFrame:
+    names = io.register_tables(spark, _p(root, "gold"), GOLD_TABLES)
+    names += io.register_tables(spark, _p(root, "marts"), ["fct_market_signals", "fct_weekly_summary"])
+    return io.table_listing(spark, names)
+
+
+def run(spark: SparkSession, root: str, from_step: str | None = None,
+        scorer_factory: Callable | None = None) -> DataFrame:
+    """Run the steps from ``from_step`` on; returns the registered-table listing."""
+    prepare(spark)
+    start = STEPS.index(from_step) if from_step else 0
+    listing = None
+    for step in STEPS[start:]:
+        if step == "silver":
+            silver_step(spark, root, scorer_factory)
+        elif step == "gold":
+            gold_step(spark, root)
+        elif step == "marts":
+            marts_step(spark, root)
+        elif step == "quality":
+            quality_step(spark, root)
+        elif step == "load":
+            listing = load_step(spark, root)
+    return listing

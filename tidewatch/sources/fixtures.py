@@ -111,18 +111,63 @@ FIXTURE_CTES: list[tuple[str, str]] = [
     ),
 ]
 
+# Landed source payloads, before they are shaped into raw records.
+PAYLOAD_CTES: list[tuple[str, str]] = [
+    (
+        "price_history",
+        """
+  select 'T' || lpad(cast(user_id as string), 6, '0') as ticker,
+         cast(cast(ts as date) as timestamp) as day_ts,
+         90 + min_by(value, event_id) / 7 as open_px,
+         90 + max(value) / 7 as high_px,
+         90 + min(value) / 7 as low_px,
+         90 + max_by(value, event_id) / 7 as close_px,
+         sum(value) * 1000 as volume_raw
+  from {events}
+  group by 'T' || lpad(cast(user_id as string), 6, '0'), cast(cast(ts as date) as timestamp)""",
+    ),
+    (
+        "news_articles",
+        """
+  select doc_id % 20 as query_pos, cast(floor(doc_id / 200) as bigint) as page, doc_id as article_key,
+         case when doc_id % 97 = 0 then cast(null as string) else text end as title,
+         cast(null as string) as description,
+         cast(null as string) as content,
+         case when doc_id % 13 = 0 then cast(null as string)
+              else 'https://news.example/' || cast(doc_id - (case when doc_id % 10 = 9 then 1 else 0 end) as string)
+         end as url,
+         cast(date '2024-01-01' + cast((doc_id * doc_id) % 28 as int) as string) || 'T08:30:00Z' as published_at,
+         source as source_name
+  from {documents}""",
+    ),
+    (
+        "macro_obs",
+        """
+  select series_id, obs_date,
+         case when extract(day from obs_date) % 11 = 0 then cast('NaN' as double)
+              else avg(value) / 3 end as value
+  from (select case event_type when 'click' then 'DFF' when 'view' then 'VIXCLS'
+                               when 'purchase' then 'T10Y2Y' when 'error' then 'DGS10'
+                               else 'UNRATE' end as series_id,
+               cast(ts as date) as obs_date, value
+        from {events}) o
+  group by series_id, obs_date""",
+    ),
+]
+
 SOURCE_TABLES = ("events", "documents")
 
 
 def cte_text(names: list[str] | None = None) -> str:
     """The ``WITH``-list body (no leading WITH) for the given fixture CTEs."""
-    chosen = FIXTURE_CTES if names is None else [c for c in FIXTURE_CTES if c[0] in names]
+    every = FIXTURE_CTES + PAYLOAD_CTES
+    chosen = every if names is None else [c for c in every if c[0] in names]
     return ",\n".join(f"{name} as ({body}\n)" for name, body in chosen)
 
 
 def _deps(target: str) -> list[str]:
-    order = [n for n, _ in FIXTURE_CTES]
-    bodies = dict(FIXTURE_CTES)
+    order = [n for n, _ in FIXTURE_CTES + PAYLOAD_CTES]
+    bodies = dict(FIXTURE_CTES + PAYLOAD_CTES)
     need = {target}
     for name in reversed(order):
         if name in need:
@@ -156,6 +201,27 @@ def raw_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_table(spark, sf_dir, "raw_macro")
 
 
+def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News search responses: one row per (query, page) with up to ten articles.
+
+    Shaped like the search API's JSON: ``articles`` is an array of structs
+    with a nested ``source.name``. A page holds the documents of one residue
+    class in a block of 200 ids, so its size is fixed (ten) by construction.
+    """
+    from pyspark.sql import functions as F
+
+    flat = raw_table(spark, sf_dir, "news_articles")
+    article = F.struct(
+        F.col("article_key"), F.col("title"), F.col("description"), F.col("content"), F.col("url"),
+        F.col("published_at").alias("publishedAt"), F.struct(F.col("source_name").alias("name")).alias("source"),
+    )
+    grouped = flat.groupBy("query_pos", "page").agg(F.sort_array(F.collect_list(article)).alias("_a"))
+    return grouped.select(
+        "query_pos", "page",
+        F.transform("_a", lambda a: a.dropFields("article_key")).alias("articles"),
+    )
+
+
 def oracle_ctes() -> list[tuple[str, str]]:
     """Fixture CTEs with DuckDB view names bound."""
-    return [(n, b.format(events="events", documents="documents")) for n, b in FIXTURE_CTES]
+    return [(n, b.format(events="events", documents="documents")) for n, b in FIXTURE_CTES + PAYLOAD_CTES]
