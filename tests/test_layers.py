@@ -1,0 +1,118 @@
+"""Cleaning, de-duplication, fill, joins and features on hand-built frames."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tidewatch.functions.exprs import dedup_latest, rnd
+from tidewatch.operators import gold as G
+from tidewatch.operators import joins as J
+from tidewatch.operators import silver as SV
+from tidewatch.sources import schemas
+
+D = dt.date
+
+
+def raw_stock(ticker, date, close, ingested, open_=100.0):
+    return (ticker, date, open_, open_ + 2, open_ - 2, close, 1000, "test", ingested)
+
+
+def test_clean_stocks_latest_ingestion_wins_and_bad_rows_drop(spark):
+    rows = [
+        raw_stock("AAA", "2024-01-02", 101.0, "2024-02-01T06:00:00"),
+        raw_stock("AAA", "2024-01-02", 102.0, "2024-02-02T06:00:00"),  # later: wins
+        raw_stock("AAA", "2024-01-02", 103.0, None),                    # no stamp: loses
+        raw_stock("AAA", "n/a", 101.0, "2024-02-01T06:00:00"),          # malformed date
+        raw_stock("AAA", "2024-01-03", None, "2024-02-05T06:00:00"),    # null close
+        raw_stock(None, "2024-01-03", 99.0, "2024-02-01T06:00:00"),     # null ticker
+    ]
+    out = SV.clean_stocks(spark.createDataFrame(rows, schemas.RAW_STOCKS)).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.ticker, r.date, r.close) == ("AAA", D(2024, 1, 2), 102.0)
+    assert r.daily_return == 2.0 and r.price_range == 4.0
+
+
+def test_dedup_latest_hot_key(spark):
+    # One key with many copies: the aggregate keeps exactly one, the latest.
+    df = spark.range(0, 20000).select(
+        F.lit("HOT").alias("k"), F.col("id").alias("seq"), (F.col("id") * 2).alias("v")
+    ).repartition(8)
+    out = dedup_latest(df, ["k"], ["seq"]).collect()
+    assert len(out) == 1 and out[0].seq == 19999 and out[0].v == 39998
+
+
+def test_round_half_away_from_zero(spark):
+    df = spark.createDataFrame([(0.00005,), (-0.00005,), (1.00015,), (2.5,)], "x double")
+    got = [r[0] for r in df.select(rnd("x", 4)).collect()]
+    assert got == [0.0001, -0.0001, 1.0002, 2.5]
+    assert [r[0] for r in df.select(rnd("x", 0)).collect()][-1] == 3.0
+
+
+def test_macro_ffill_spine_and_leading_nulls(spark):
+    long = spark.createDataFrame(
+        [
+            ("S1", "vix_volatility_index", D(2024, 1, 2), 20.0),
+            ("S2", "federal_funds_rate", D(2024, 1, 1), 5.0),
+            ("S2", "federal_funds_rate", D(2024, 1, 4), 5.5),
+            ("S1", "vix_volatility_index", D(2024, 1, 5), 25.0),
+        ],
+        "series_id string, series_name string, date date, value double",
+    )
+    out = {r.date: r for r in SV.macro_ffill(long).collect()}
+    assert sorted(out) == [D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 4), D(2024, 1, 5)]
+    assert out[D(2024, 1, 1)].vix_volatility_index is None  # before the series starts
+    assert out[D(2024, 1, 4)].vix_volatility_index == 20.0  # carried over a date it lacks
+    assert out[D(2024, 1, 5)].federal_funds_rate == 5.5
+    assert out[D(2024, 1, 5)]["10y_treasury_yield"] is None  # absent series: NULL column
+
+
+def test_daily_news_worked_example(spark):
+    # 15 positive, 12 negative, 24 neutral headlines on one day: ratio 3/51.
+    labels = ["positive"] * 15 + ["negative"] * 12 + ["neutral"] * 24
+    df = spark.createDataFrame([(D(2024, 3, 1), lab, 0.9) for lab in labels],
+                               "date date, sentiment_label string, sentiment_score double")
+    r = G.daily_news(df).first()
+    assert r.news_article_count == 51 and r.sentiment_ratio == 0.0588
+    assert (r.positive_news_count, r.negative_news_count, r.neutral_news_count) == (15, 12, 24)
+    assert r.avg_positive_strength == 0.9
+
+
+def test_price_features_partial_window_and_first_row(spark):
+    rows = [("AAA", D(2024, 1, d), 100.0 + d, 100.0 + d, 1000 * d) for d in range(1, 10)]
+    df = spark.createDataFrame(rows, "ticker string, date date, open double, close double, volume bigint")
+    out = {r.date.day: r for r in G.add_price_features(df).collect()}
+    assert out[1].overnight_gap_pct is None
+    assert out[1].rolling_7d_avg_close == 101.0 and out[1].volume_spike_ratio == 1.0
+    assert out[2].rolling_7d_avg_close == 101.5
+    assert out[9].rolling_7d_avg_close == 106.0  # days 3..9 only
+    assert out[9].rolling_7d_avg_volume == 6000
+
+
+def test_bounded_broadcast_falls_back_beyond_bound(spark):
+    big = spark.range(0, 1000).select((F.col("id") % 50).alias("k"), F.col("id"))
+    small = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    broadcast_plan = big.join(J.bounded_broadcast(small, max_rows=100), "k", "left")
+    assert "BroadcastHashJoin" in broadcast_plan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = big.join(J.bounded_broadcast(small, max_rows=10), "k", "left")
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert shuffled.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_semi_join_list_and_frame(spark):
+    df = spark.createDataFrame([("A",), ("B",), ("C",)], "ticker string")
+    assert sorted(r[0] for r in J.semi_join_list(df, "ticker", ["A", "C"]).collect()) == ["A", "C"]
+    keys = spark.createDataFrame([("B",), ("B",)], "ticker string")
+    assert [r[0] for r in J.semi_join_list(df, "ticker", keys).collect()] == ["B"]
+
+
+def test_sensitivity_coalesces_missing_side(spark):
+    rows = [("AAA", D(2024, 1, 1), 0.5, 2.0), ("AAA", D(2024, 1, 2), 0.0, -1.0), ("AAA", D(2024, 1, 3), None, 9.0)]
+    gold = spark.createDataFrame(rows, "ticker string, date date, sentiment_ratio double, daily_return double")
+    r = G.sentiment_sensitivity(gold).first()
+    assert r.sentiment_days == 2 and r.avg_return_bearish_news is None
+    assert r.sentiment_sensitivity == 2.0 and r.worst_day == -1.0 and r.best_day == 2.0

@@ -6,9 +6,17 @@ long lineage. Steps run in order; ``from_step`` starts later, as a re-run
 after a failure would. Layout under ``root``:
 
   bronze/{stocks,news,fred}        newline JSON landing batches
-  silver/stocks (by ticker), silver/news, silver/fred
-  gold/fct_daily_market_summary (by ticker), gold/dim_tickers, gold/fct_sentiment_sensitivity
-  marts/fct_market_signals (by ticker), marts/fct_weekly_summary, marts/quality_report
+  silver/stocks, silver/news, silver/fred
+  gold/fct_daily_market_summary, gold/dim_tickers, gold/fct_sentiment_sensitivity
+  marts/fct_market_signals, marts/fct_weekly_summary, marts/quality_report
+
+Per-ticker tables use one of two layouts. ``clustered`` (default): flat
+files, rows sorted by (ticker, date) within each file, written from the
+partitioning the plan already has, so the write adds no shuffle and the
+file count follows the task count. ``by_ticker``: one folder per ticker
+(directory pruning for one-ticker reads), which costs at least one file
+per ticker and write task, so it suits few, long tickers rather than many
+short ones.
 """
 
 from __future__ import annotations
@@ -27,6 +35,7 @@ from tidewatch.sources import schemas
 from tidewatch.sources import storage as io
 
 STEPS = ["silver", "gold", "marts", "quality", "load"]
+LAYOUTS = ("clustered", "by_ticker")
 GOLD_TABLES = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity"]
 
 
@@ -41,45 +50,60 @@ def land(root: str, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataF
     io.append_json(raw_macro, _p(root, "bronze", "fred"))
 
 
-def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None) -> dict[str, int]:
+def _write_by_ticker(df: DataFrame, path: str, layout: str) -> None:
+    if layout == "by_ticker":
+        io.write_partitioned(df, path)
+    else:
+        io.write_clustered(df, path)
+
+
+def _read_by_ticker(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    df = io.read_table(spark, path, schema)
+    # Partition discovery would type number-like tickers as numbers.
+    return df if schema is not None else df.withColumn("ticker", df["ticker"].cast("string"))
+
+
+def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None,
+                layout: str = "clustered") -> None:
     raw_s = io.read_raw_json(spark, _p(root, "bronze", "stocks"), schemas.RAW_STOCKS)
     raw_n = io.read_raw_json(spark, _p(root, "bronze", "news"), schemas.RAW_NEWS)
     raw_m = io.read_raw_json(spark, _p(root, "bronze", "fred"), schemas.RAW_MACRO)
-    io.write_partitioned(SV.clean_stocks(raw_s), _p(root, "silver", "stocks"))
+    _write_by_ticker(SV.clean_stocks(raw_s), _p(root, "silver", "stocks"), layout)
     news = SV.clean_news(raw_n)
     scored = SN.score_news(news) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
     io.write_flat(scored, _p(root, "silver", "news"))
     io.write_flat(SV.macro_ffill(SV.clean_macro(raw_m)), _p(root, "silver", "fred"))
-    return {}
 
 
-def gold_step(spark: SparkSession, root: str) -> None:
+def gold_step(spark: SparkSession, root: str, layout: str = "clustered") -> None:
     stocks = io.read_table(spark, _p(root, "silver", "stocks"), schemas.SILVER_STOCKS)
     news = io.read_table(spark, _p(root, "silver", "news"))
     macro = io.read_table(spark, _p(root, "silver", "fred"))
     gold = G.daily_market_summary(stocks, G.daily_news(news), macro)
-    io.write_partitioned(gold, _p(root, "gold", "fct_daily_market_summary"))
+    _write_by_ticker(gold, _p(root, "gold", "fct_daily_market_summary"), layout)
     stored = read_gold(spark, root)
     io.write_flat(G.dim_tickers(stored), _p(root, "gold", "dim_tickers"))
     io.write_flat(G.sentiment_sensitivity(stored), _p(root, "gold", "fct_sentiment_sensitivity"))
 
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    df = spark.read.parquet(_p(root, "gold", "fct_daily_market_summary"))
-    # Partition discovery would type number-like tickers as numbers.
-    return df.withColumn("ticker", df["ticker"].cast("string"))
+    return _read_by_ticker(spark, _p(root, "gold", "fct_daily_market_summary"))
+
+
+def read_signals(spark: SparkSession, root: str) -> DataFrame:
+    return _read_by_ticker(spark, _p(root, "marts", "fct_market_signals"))
 
 
-def marts_step(spark: SparkSession, root: str) -> None:
+def marts_step(spark: SparkSession, root: str, layout: str = "clustered") -> None:
     sig = M.market_signals(M.stg_daily_market(read_gold(spark, root)))
-    io.write_partitioned(sig, _p(root, "marts", "fct_market_signals"))
-    stored = spark.read.parquet(_p(root, "marts", "fct_market_signals"))
+    _write_by_ticker(sig, _p(root, "marts", "fct_market_signals"), layout)
+    stored = read_signals(spark, root)
     io.write_flat(M.weekly_summary(stored), _p(root, "marts", "fct_weekly_summary"))
 
 
 def model_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     gold = read_gold(spark, root)
-    sig = spark.read.parquet(_p(root, "marts", "fct_market_signals"))
+    sig = read_signals(spark, root)
     return {
         "fct_daily_market_summary": gold,
         "dim_tickers": spark.read.parquet(_p(root, "gold", "dim_tickers")),
@@ -103,18 +127,20 @@ def load_step(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run(spark: SparkSession, root: str, from_step: str | None = None,
-        scorer_factory: Callable | None = None) -> DataFrame:
+        scorer_factory: Callable | None = None, layout: str = "clustered") -> DataFrame:
     """Run the steps from ``from_step`` on; returns the registered-table listing."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
     prepare(spark)
     start = STEPS.index(from_step) if from_step else 0
     listing = None
     for step in STEPS[start:]:
         if step == "silver":
-            silver_step(spark, root, scorer_factory)
+            silver_step(spark, root, scorer_factory, layout)
         elif step == "gold":
-            gold_step(spark, root)
+            gold_step(spark, root, layout)
         elif step == "marts":
-            marts_step(spark, root)
+            marts_step(spark, root, layout)
         elif step == "quality":
             quality_step(spark, root)
         elif step == "load":
