@@ -125,3 +125,21 @@ def test_pipeline_equals_in_memory_chain(spark, tmp_root, layout):
     assert ("silver", "stocks") in inv and ("gold", "dim_tickers") in inv and ("bronze", "news") in inv
     # Re-run from a later step, as after a failure.
     P.run(spark, root, from_step="marts", layout=layout)
+
+
+def test_streaming_increments_equal_batch(spark, tmp_root):
+    from tidewatch.operators.silver import clean_stocks
+    from tidewatch.streaming.landing import silver_view, start_stock_ingest
+
+    L = Layers.from_testdata(spark, SF_SMALL)
+    bronze, inc, ck = (f"file://{tmp_root}/{n}" for n in ("bronze", "inc", "ck"))
+    first = L.raw_stocks.where(F.col("ingested_at") < "2024-02-02")
+    later = L.raw_stocks.where(F.col("ingested_at") >= "2024-02-02")
+    io.append_json(first, bronze)
+    start_stock_ingest(spark, bronze, inc, ck).awaitTermination()
+    io.append_json(later, bronze)
+    start_stock_ingest(spark, bronze, inc, ck).awaitTermination()
+    view = silver_view(spark, inc)
+    batch = clean_stocks(L.raw_stocks)
+    assert view.count() == batch.count()
+    assert view.exceptAll(batch).count() == 0

@@ -125,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_partitioned": _roundtrip_partitioned,
     "roundtrip_tables": _roundtrip_tables,
     "layer_inventory": _layer_inventory,
+    "table_preview": _on(lambda L: R.preview(L.dim_tickers, ["ticker"], 3)),
     # silver
     "silver_stocks": _on(lambda L: L.silver_stocks),
     "news_clean": _on(lambda L: L.news_clean),

@@ -196,6 +196,11 @@ def briefing_facts(sig: DataFrame, sens: DataFrame) -> DataFrame:
     return out
 
 
+def preview(df: DataFrame, keys: list[str], n: int = 3) -> DataFrame:
+    """The first ``n`` rows of a table in key order (a top-n, not a scan)."""
+    return df.orderBy(*keys).limit(n)
+
+
 # --- R-1..R-5: run summaries -------------------------------------------------
 def run_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count of each step's table."""
