@@ -13,22 +13,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import shared_dir
+from tidewatch.session import scratch_path
 
 # A date-keyed side of 200k rows is ~550 years of days: a few tens of MB.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the chain), and later readers get a columnar scan with pruning and
+    accurate size statistics.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` as is."""
-    small = materialise(df)
-    n = small.limit(max_rows + 1).count()
+    small = materialise(df, "small-side")
+    n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 
 

@@ -24,9 +24,9 @@ from tidewatch.sources import storage as io
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on(fn: Callable[[Layers], DataFrame]) -> Query:
+def _on(fn: Callable[[Layers], DataFrame], shared: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Layers.from_testdata(spark, sf_dir))
+        return fn(Layers.from_testdata(spark, sf_dir, shared))
 
     run.__doc__ = fn.__doc__
     return run
@@ -148,39 +148,40 @@ QUERIES: dict[str, Query] = {
     "fct_market_signals": _on(lambda L: L.signals),
     "fct_weekly_summary": _on(lambda L: L.weekly),
     # quality
-    "quality_not_null": _on(lambda L: Q.run_checks(model_tables(L), tests=["not_null"])),
-    "quality_unique": _on(lambda L: Q.run_checks(model_tables(L), tests=["unique"])),
-    "quality_accepted_values": _on(lambda L: Q.run_checks(model_tables(L), tests=["accepted_values"])),
-    "quality_report": _on(lambda L: Q.quality_report(model_tables(L))),
+    "quality_not_null": _on(lambda L: Q.run_checks(model_tables(L), tests=["not_null"]), shared=True),
+    "quality_unique": _on(lambda L: Q.run_checks(model_tables(L), tests=["unique"]), shared=True),
+    "quality_accepted_values": _on(lambda L: Q.run_checks(model_tables(L), tests=["accepted_values"]), shared=True),
+    "quality_report": _on(lambda L: Q.quality_report(model_tables(L)), shared=True),
     # dashboard reads
-    "overview": _on(lambda L: R.overview(L.signals)),
-    "signal_distribution": _on(lambda L: R.signal_distribution(L.signals)),
-    "top_gainers": _on(lambda L: R.top_movers(L.signals, 5, True)),
-    "top_losers": _on(lambda L: R.top_movers(L.signals, 5, False)),
-    "top_sensitivity": _on(lambda L: R.top_sensitivity(L.sensitivity, 10)),
-    "latest_vix": _on(lambda L: R.latest_vix(L.signals)),
-    "latest_divergences": _on(lambda L: R.latest_divergences(L.signals, 10)),
-    "ticker_list": _on(lambda L: R.ticker_list(L.signals)),
-    "latest_date": _on(lambda L: R.latest_date(L.signals)),
-    "latest_day_stats": _on(lambda L: R.latest_day_stats(L.signals)),
-    "direction_breakdown": _on(lambda L: R.direction_breakdown(L.signals)),
-    "vix_series": _on(lambda L: R.vix_series(L.signals)),
-    "recent_returns": _on(lambda L: R.recent_returns(L.signals)),
-    "returns_heatmap": _on(lambda L: R.returns_heatmap(L.signals)),
-    "ticker_history": _on(lambda L: R.ticker_history(L.signals)),
-    "ticker_latest": _on(lambda L: R.ticker_latest(L.signals)),
-    "ticker_sentiment_days": _on(lambda L: R.ticker_sentiment_days(L.signals)),
-    "sensitivity_ranking": _on(lambda L: R.sensitivity_ranking(L.sensitivity)),
-    "top_bullish_returns": _on(lambda L: R.top_side_returns(L.sensitivity, "avg_return_bullish_news", 20)),
-    "top_bearish_returns": _on(lambda L: R.top_side_returns(L.sensitivity, "avg_return_bearish_news", 20)),
-    "divergences": _on(lambda L: R.divergences(L.signals)),
-    "briefing_facts": _on(lambda L: R.briefing_facts(L.signals, L.sensitivity)),
+    "overview": _on(lambda L: R.overview(L.signals), shared=True),
+    "signal_distribution": _on(lambda L: R.signal_distribution(L.signals), shared=True),
+    "top_gainers": _on(lambda L: R.top_movers(L.signals, 5, True), shared=True),
+    "top_losers": _on(lambda L: R.top_movers(L.signals, 5, False), shared=True),
+    "top_sensitivity": _on(lambda L: R.top_sensitivity(L.sensitivity, 10), shared=True),
+    "latest_vix": _on(lambda L: R.latest_vix(L.signals), shared=True),
+    "latest_divergences": _on(lambda L: R.latest_divergences(L.signals, 10), shared=True),
+    "ticker_list": _on(lambda L: R.ticker_list(L.signals), shared=True),
+    "latest_date": _on(lambda L: R.latest_date(L.signals), shared=True),
+    "latest_day_stats": _on(lambda L: R.latest_day_stats(L.signals), shared=True),
+    "direction_breakdown": _on(lambda L: R.direction_breakdown(L.signals), shared=True),
+    "vix_series": _on(lambda L: R.vix_series(L.signals), shared=True),
+    "recent_returns": _on(lambda L: R.recent_returns(L.signals), shared=True),
+    "returns_heatmap": _on(lambda L: R.returns_heatmap(L.signals), shared=True),
+    "ticker_history": _on(lambda L: R.ticker_history(L.signals), shared=True),
+    "ticker_latest": _on(lambda L: R.ticker_latest(L.signals), shared=True),
+    "ticker_sentiment_days": _on(lambda L: R.ticker_sentiment_days(L.signals), shared=True),
+    "sensitivity_ranking": _on(lambda L: R.sensitivity_ranking(L.sensitivity), shared=True),
+    "top_bullish_returns": _on(lambda L: R.top_side_returns(L.sensitivity, "avg_return_bullish_news", 20), shared=True),
+    "top_bearish_returns": _on(lambda L: R.top_side_returns(L.sensitivity, "avg_return_bearish_news", 20), shared=True),
+    "divergences": _on(lambda L: R.divergences(L.signals), shared=True),
+    "briefing_facts": _on(lambda L: R.briefing_facts(L.signals, L.sensitivity), shared=True),
     # run summaries
-    "run_counts": _on(lambda L: R.run_counts(step_tables(L))),
+    "run_counts": _on(lambda L: R.run_counts(step_tables(L)), shared=True),
     "layer_date_range": _on(
-        lambda L: R.layer_date_range({"silver_stocks": L.silver_stocks, "fct_daily_market_summary": L.gold})
+        lambda L: R.layer_date_range({"silver_stocks": L.silver_stocks, "fct_daily_market_summary": L.gold}),
+        shared=True,
     ),
     "label_breakdown": _on(lambda L: SN.label_breakdown(L.news_sentiment)),
     "daily_sentiment_summary": _on(lambda L: R.daily_sentiment_summary(L.daily_news)),
-    "ticker_sentiment_sample": _on(lambda L: R.ticker_sentiment_sample(L.gold)),
+    "ticker_sentiment_sample": _on(lambda L: R.ticker_sentiment_sample(L.gold), shared=True),
 }

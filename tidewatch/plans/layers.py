@@ -16,23 +16,31 @@ from tidewatch.operators import gold as G
 from tidewatch.operators import marts as M
 from tidewatch.operators import sentiment as SN
 from tidewatch.operators import silver as SV
+from tidewatch.operators.joins import materialise
 from tidewatch.session import prepare
 from tidewatch.sources import fixtures
 
 
 class Layers:
-    def __init__(self, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataFrame):
+    """``shared=True`` writes the gold table once (Parquet in the shared
+    folder) and builds every later table from that copy: for queries with
+    several consumers of gold, which would otherwise each recompute it.
+    """
+
+    def __init__(self, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataFrame, shared: bool = False):
         self.raw_stocks = raw_stocks
         self.raw_news = raw_news
         self.raw_macro = raw_macro
+        self.shared = shared
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Layers":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, shared: bool = False) -> "Layers":
         prepare(spark)
         return cls(
             fixtures.raw_stocks(spark, sf_dir),
             fixtures.raw_news(spark, sf_dir),
             fixtures.raw_macro(spark, sf_dir),
+            shared,
         )
 
     # --- silver --------------------------------------------------------------
@@ -71,7 +79,8 @@ class Layers:
 
     @cached_property
     def gold(self) -> DataFrame:
-        return G.daily_market_summary(self.silver_stocks, self.daily_news, self.macro_ffill)
+        gold = G.daily_market_summary(self.silver_stocks, self.daily_news, self.macro_ffill)
+        return materialise(gold, "gold") if self.shared else gold
 
     @cached_property
     def dim_tickers(self) -> DataFrame:

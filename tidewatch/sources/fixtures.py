@@ -45,17 +45,17 @@ FIXTURE_CTES: list[tuple[str, str]] = [
          'synthetic' as source, '2024-02-01T06:00:00.000001' as ingested_at
   from bars
   union all
-  select ticker, cast(d as string), open, high, low, close + 0.25, volume,
-         'synthetic', '2024-02-02T06:00:00.000001'
-  from bars where extract(day from d) % 7 = 0
-  union all
-  select ticker, 'n/a', open, high, low, close, volume,
-         'synthetic', '2024-02-01T06:00:00.000001'
-  from bars where extract(day from d) = 5
-  union all
-  select ticker, cast(d as string), open, high, low, cast(null as double), volume,
-         'synthetic', '2024-02-03T06:00:00.000001'
-  from bars where extract(day from d) = 11""",
+  select ticker,
+         case when extract(day from d) = 5 then 'n/a' else cast(d as string) end,
+         open, high, low,
+         case when extract(day from d) % 7 = 0 then close + 0.25
+              when extract(day from d) = 5 then close
+              else cast(null as double) end,
+         volume, 'synthetic',
+         case when extract(day from d) % 7 = 0 then '2024-02-02T06:00:00.000001'
+              when extract(day from d) = 5 then '2024-02-01T06:00:00.000001'
+              else '2024-02-03T06:00:00.000001' end
+  from bars where extract(day from d) % 7 = 0 or extract(day from d) in (5, 11)""",
     ),
     (
         "raw_news",
@@ -86,19 +86,24 @@ FIXTURE_CTES: list[tuple[str, str]] = [
     (
         "macro",
         """
-  select 'DFF' as series_id, 'federal_funds_rate' as series_name, 'daily' as frequency, d,
-         cast(floor(a * 7) as bigint) as v
-    from ev where event_type = 'click' and dd <= 29
-  union all select 'VIXCLS', 'vix_volatility_index', 'daily', d, cast(floor(a * 2 * (12 + (dd % 8) * 3)) as bigint)
-    from ev where event_type = 'view' and dd between 3 and 28 and dd % 7 not in (6, 0)
-  union all select 'T10Y2Y', 'treasury_yield_spread', 'daily', d, cast(floor(a) as bigint)
-    from ev where event_type = 'purchase' and dd % 7 not in (6, 0)
-  union all select 'DGS10', '10y_treasury_yield', 'daily', d, cast(floor(a * 8) as bigint)
-    from ev where event_type = 'error' and dd % 2 = 1
-  union all select 'UNRATE', 'unemployment_rate', 'monthly', d, cast(floor(a * 8) as bigint)
-    from ev where event_type = 'signup' and dd = 2
-  union all select 'CPIAUCSL', 'consumer_price_index', 'monthly', d, cast(floor(a * 600) as bigint)
-    from ev where event_type = 'signup' and dd = 12""",
+  select series_id,
+         case series_id when 'DFF' then 'federal_funds_rate' when 'VIXCLS' then 'vix_volatility_index'
+                        when 'T10Y2Y' then 'treasury_yield_spread' when 'DGS10' then '10y_treasury_yield'
+                        when 'UNRATE' then 'unemployment_rate' else 'consumer_price_index' end as series_name,
+         case when series_id in ('UNRATE', 'CPIAUCSL') then 'monthly' else 'daily' end as frequency,
+         d,
+         cast(floor(case series_id when 'DFF' then a * 7 when 'VIXCLS' then a * 2 * (12 + (dd % 8) * 3)
+                                   when 'T10Y2Y' then a when 'DGS10' then a * 8 when 'UNRATE' then a * 8
+                                   else a * 600 end) as bigint) as v
+  from (select *,
+               case when event_type = 'click' and dd <= 29 then 'DFF'
+                    when event_type = 'view' and dd between 3 and 28 and dd % 7 not in (6, 0) then 'VIXCLS'
+                    when event_type = 'purchase' and dd % 7 not in (6, 0) then 'T10Y2Y'
+                    when event_type = 'error' and dd % 2 = 1 then 'DGS10'
+                    when event_type = 'signup' and dd = 2 then 'UNRATE'
+                    when event_type = 'signup' and dd = 12 then 'CPIAUCSL' end as series_id
+        from ev) t
+  where series_id is not null""",
     ),
     (
         "raw_macro",

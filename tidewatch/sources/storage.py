@@ -114,11 +114,11 @@ def layer_inventory(spark: SparkSession, root: str) -> DataFrame:
         .load(base)
         .select("path", "length")
     )
-    rel = F.regexp_extract(F.col("path"), r"^.*?/(bronze|silver|gold|marts)/(.*)$", 0)
-    parts = F.split(F.regexp_extract(rel, r"^.*?/(bronze|silver|gold|marts)/(.*)$", 2), "/")
+    layer_path = r"^.*?/(bronze|silver|gold|marts)/(.*)$"
+    parts = F.split(F.regexp_extract(F.col("path"), layer_path, 2), "/")
     return (
         files.select(
-            F.regexp_extract(F.col("path"), r"^.*?/(bronze|silver|gold|marts)/", 1).alias("layer"),
+            F.regexp_extract(F.col("path"), layer_path, 1).alias("layer"),
             F.element_at(parts, 1).alias("table"),
             "length",
         )

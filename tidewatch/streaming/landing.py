@@ -28,7 +28,9 @@ def start_stock_ingest(spark: SparkSession, bronze_path: str, increments_path: s
     raw = spark.readStream.schema(schemas.RAW_STOCKS).json(bronze_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        clean_stocks(batch).write.mode("append").parquet(increments_path)
+        # One folder per micro-batch, overwritten on a retry: a batch that is
+        # re-run after a failure replaces its own output instead of adding to it.
+        clean_stocks(batch).write.mode("overwrite").parquet(f"{increments_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
