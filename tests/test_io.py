@@ -143,3 +143,27 @@ def test_streaming_increments_equal_batch(spark, tmp_root):
     batch = clean_stocks(L.raw_stocks)
     assert view.count() == batch.count()
     assert view.exceptAll(batch).count() == 0
+
+
+def test_dashboard_sql_runs_on_registered_views(spark, tmp_root):
+    """Dashboard SQL runs unchanged through spark.sql on the loaded views, with bound parameters."""
+    L = Layers.from_testdata(spark, SF_SMALL)
+    root = f"file://{tmp_root}/lake"
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    P.run(spark, root)
+    first = spark.sql("SELECT DISTINCT ticker FROM fct_market_signals ORDER BY ticker").first().ticker
+    history = spark.sql(
+        "SELECT date, close, daily_return, market_signal FROM fct_market_signals WHERE ticker = :t ORDER BY date",
+        args={"t": first},
+    )
+    assert history.count() == L.signals.where(F.col("ticker") == first).count()
+    top = spark.sql(
+        "SELECT ticker, daily_return FROM fct_market_signals "
+        "WHERE date = (SELECT max(date) FROM fct_market_signals) ORDER BY daily_return DESC LIMIT 5"
+    ).collect()
+    assert len(top) == 5
+    heat = spark.sql(
+        "SELECT date, ticker, daily_return FROM fct_market_signals "
+        "WHERE date >= (SELECT max(date) - INTERVAL 14 DAY FROM fct_market_signals)"
+    )
+    assert heat.count() > 0

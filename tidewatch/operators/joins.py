@@ -39,6 +39,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(small) if n <= max_rows else small
 
 
+def bounded_broadcasts(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """``bounded_broadcast`` of independent sides, their jobs submitted together.
+
+    The sides share no work, so their write-and-count jobs run at the same
+    time on the cluster instead of one after the other.
+    """
+    if len(dfs) <= 1:
+        return [bounded_broadcast(df, max_rows) for df in dfs]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(lambda d: bounded_broadcast(d, max_rows), dfs))
+
+
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "left",
                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     return big.join(bounded_broadcast(small, max_rows), on=on, how=how)
