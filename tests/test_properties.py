@@ -1,0 +1,75 @@
+"""Property tests: operators against brute force on small generated frames."""
+
+import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tidewatch.functions.exprs import dedup_latest, rnd
+from tidewatch.operators import gold as G
+
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+
+rows_st = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", "C"]),
+        st.integers(min_value=1, max_value=4),
+        st.one_of(st.none(), st.integers(min_value=0, max_value=5)),
+        st.integers(min_value=-50, max_value=50),
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@SETTINGS
+@given(rows_st)
+def test_dedup_latest_is_max_by_order_then_rest(spark, rows):
+    df = spark.createDataFrame(rows, "k string, d int, ts int, v int")
+    got = sorted(tuple(r) for r in dedup_latest(df, ["k", "d"], ["ts"]).collect())
+    best = {}
+    for k, d, ts, v in rows:
+        key = (-1 if ts is None else ts, v)
+        if (k, d) not in best or key > best[(k, d)][0]:
+            best[(k, d)] = (key, (k, d, ts, v))
+    assert got == sorted(v for _, v in best.values())
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=-10**9, max_value=10**9), min_size=1, max_size=30))
+def test_round_helper_matches_decimal_half_up(spark, ints):
+    vals = [i / 10**6 for i in ints]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(rnd("x", 4)).collect()]
+
+    def ref(x):
+        d = Decimal(x).quantize(Decimal("1e-10"), rounding=ROUND_HALF_UP)
+        return float(d.quantize(Decimal("1e-4"), rounding=ROUND_HALF_UP))
+
+    assert got == [ref(v) for v in vals]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=90, max_value=110), st.integers(min_value=1, max_value=10**6)),
+                min_size=1, max_size=20))
+def test_rolling_features_match_brute_force(spark, bars):
+    rows = [("T", dt.date(2024, 1, 1) + dt.timedelta(days=2 * i), float(o), float(o + 1), v)
+            for i, (o, v) in enumerate(bars)]
+    df = spark.createDataFrame(rows, "ticker string, date date, open double, close double, volume bigint")
+    out = sorted(G.add_price_features(df).collect(), key=lambda r: r.date)
+
+    def r4(x):
+        return float(Decimal(x).quantize(Decimal("1e-10"), ROUND_HALF_UP).quantize(Decimal("1e-4"), ROUND_HALF_UP))
+
+    for i, r in enumerate(out):
+        window = rows[max(0, i - 6): i + 1]
+        assert r.rolling_7d_avg_close == r4(sum(w[3] for w in window) / len(window))
+        avg_vol = int(Decimal(sum(w[4] for w in window) / len(window)).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+                      .quantize(Decimal("1"), ROUND_HALF_UP))
+        assert r.rolling_7d_avg_volume == avg_vol
+        if i == 0:
+            assert r.overnight_gap_pct is None
+        else:
+            prev_close = rows[i - 1][3]
+            assert r.overnight_gap_pct == r4((rows[i][2] - prev_close) / prev_close * 100)

@@ -25,16 +25,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; created under /tmp only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get(_CKPT_KEY, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(_CKPT_KEY, None)
     if not configured:
         # Local runs only: a cluster sets spark.checkpoint.dir to shared storage.
-        configured = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
+        configured = _local_fallback.setdefault("dir", tempfile.mkdtemp(prefix="tidewatch-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
