@@ -115,8 +115,14 @@ def test_pipeline_equals_in_memory_chain(spark, tmp_root, layout):
     L = Layers.from_testdata(spark, SF_SMALL)
     root = f"file://{tmp_root}/lake"
     P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
-    listing = {r.table_name: r.row_count for r in P.run(spark, root, layout=layout).collect()}
+    counts = P.RowCounts()
+    listing = {r.table_name: r.row_count for r in P.run(spark, root, layout=layout, counts=counts).collect()}
     assert listing["fct_daily_market_summary"] == L.gold.count()
+    observed = counts.result()
+    assert observed["bronze.stocks"] == L.raw_stocks.count()
+    assert observed["silver.stocks"] == L.silver_stocks.count()
+    assert observed["gold.fct_daily_market_summary"] == listing["fct_daily_market_summary"]
+    assert observed["marts.fct_weekly_summary"] == L.weekly.count()
     stored = P.read_gold(spark, root).select(*L.gold.columns)
     assert stored.exceptAll(L.gold).count() == 0
     report = spark.read.parquet(f"{root}/marts/quality_report")

@@ -23,7 +23,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.operators import gold as G
 from tidewatch.operators import marts as M
@@ -50,11 +51,23 @@ def land(root: str, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataF
     io.append_json(raw_macro, _p(root, "bronze", "fred"))
 
 
-def _write_by_ticker(df: DataFrame, path: str, layout: str) -> None:
+class RowCounts(dict):
+    """Rows written per table, observed during the writes (no extra pass)."""
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        obs = Observation(name)
+        self[name] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    def result(self) -> dict[str, int]:
+        return {k: int(v.get["rows"]) for k, v in self.items()}
+
+
+def _write_by_ticker(df: DataFrame, path: str, layout: str, counts: RowCounts, name: str) -> None:
     if layout == "by_ticker":
-        io.write_partitioned(df, path)
+        io.write_partitioned(df, path, after_exchange=lambda d: counts.watch(name, d))
     else:
-        io.write_clustered(df, path)
+        io.write_clustered(counts.watch(name, df), path)
 
 
 def _read_by_ticker(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -64,26 +77,32 @@ def _read_by_ticker(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None,
-                layout: str = "clustered") -> None:
+                layout: str = "clustered", counts: RowCounts | None = None) -> None:
+    counts = RowCounts() if counts is None else counts
     raw_s = io.read_raw_json(spark, _p(root, "bronze", "stocks"), schemas.RAW_STOCKS)
     raw_n = io.read_raw_json(spark, _p(root, "bronze", "news"), schemas.RAW_NEWS)
     raw_m = io.read_raw_json(spark, _p(root, "bronze", "fred"), schemas.RAW_MACRO)
-    _write_by_ticker(SV.clean_stocks(raw_s), _p(root, "silver", "stocks"), layout)
-    news = SV.clean_news(raw_n)
+    stocks = SV.clean_stocks(counts.watch("bronze.stocks", raw_s))
+    _write_by_ticker(stocks, _p(root, "silver", "stocks"), layout, counts, "silver.stocks")
+    news = SV.clean_news(counts.watch("bronze.news", raw_n))
     scored = SN.score_news(news) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
-    io.write_flat(scored, _p(root, "silver", "news"))
-    io.write_flat(SV.macro_ffill(SV.clean_macro(raw_m)), _p(root, "silver", "fred"))
+    io.write_flat(counts.watch("silver.news", scored), _p(root, "silver", "news"))
+    macro = SV.macro_ffill(SV.clean_macro(counts.watch("bronze.fred", raw_m)))
+    io.write_flat(counts.watch("silver.fred", macro), _p(root, "silver", "fred"))
 
 
-def gold_step(spark: SparkSession, root: str, layout: str = "clustered") -> None:
+def gold_step(spark: SparkSession, root: str, layout: str = "clustered", counts: RowCounts | None = None) -> None:
+    counts = RowCounts() if counts is None else counts
     stocks = io.read_table(spark, _p(root, "silver", "stocks"), schemas.SILVER_STOCKS)
     news = io.read_table(spark, _p(root, "silver", "news"))
     macro = io.read_table(spark, _p(root, "silver", "fred"))
     gold = G.daily_market_summary(stocks, G.daily_news(news), macro)
-    _write_by_ticker(gold, _p(root, "gold", "fct_daily_market_summary"), layout)
+    _write_by_ticker(gold, _p(root, "gold", "fct_daily_market_summary"), layout, counts,
+                     "gold.fct_daily_market_summary")
     stored = read_gold(spark, root)
-    io.write_flat(G.dim_tickers(stored), _p(root, "gold", "dim_tickers"))
-    io.write_flat(G.sentiment_sensitivity(stored), _p(root, "gold", "fct_sentiment_sensitivity"))
+    io.write_flat(counts.watch("gold.dim_tickers", G.dim_tickers(stored)), _p(root, "gold", "dim_tickers"))
+    io.write_flat(counts.watch("gold.fct_sentiment_sensitivity", G.sentiment_sensitivity(stored)),
+                  _p(root, "gold", "fct_sentiment_sensitivity"))
 
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
@@ -94,11 +113,13 @@ def read_signals(spark: SparkSession, root: str) -> DataFrame:
     return _read_by_ticker(spark, _p(root, "marts", "fct_market_signals"))
 
 
-def marts_step(spark: SparkSession, root: str, layout: str = "clustered") -> None:
+def marts_step(spark: SparkSession, root: str, layout: str = "clustered", counts: RowCounts | None = None) -> None:
+    counts = RowCounts() if counts is None else counts
     sig = M.market_signals(M.stg_daily_market(read_gold(spark, root)))
-    _write_by_ticker(sig, _p(root, "marts", "fct_market_signals"), layout)
+    _write_by_ticker(sig, _p(root, "marts", "fct_market_signals"), layout, counts, "marts.fct_market_signals")
     stored = read_signals(spark, root)
-    io.write_flat(M.weekly_summary(stored), _p(root, "marts", "fct_weekly_summary"))
+    io.write_flat(counts.watch("marts.fct_weekly_summary", M.weekly_summary(stored)),
+                  _p(root, "marts", "fct_weekly_summary"))
 
 
 def model_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -127,20 +148,26 @@ def load_step(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run(spark: SparkSession, root: str, from_step: str | None = None,
-        scorer_factory: Callable | None = None, layout: str = "clustered") -> DataFrame:
-    """Run the steps from ``from_step`` on; returns the registered-table listing."""
+        scorer_factory: Callable | None = None, layout: str = "clustered",
+        counts: RowCounts | None = None) -> DataFrame:
+    """Run the steps from ``from_step`` on; returns the registered-table listing.
+
+    Pass a ``RowCounts`` to get the rows read and written by each step
+    (``counts.result()`` after the run).
+    """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     prepare(spark)
+    counts = RowCounts() if counts is None else counts
     start = STEPS.index(from_step) if from_step else 0
     listing = None
     for step in STEPS[start:]:
         if step == "silver":
-            silver_step(spark, root, scorer_factory, layout)
+            silver_step(spark, root, scorer_factory, layout, counts)
         elif step == "gold":
-            gold_step(spark, root, layout)
+            gold_step(spark, root, layout, counts)
         elif step == "marts":
-            marts_step(spark, root, layout)
+            marts_step(spark, root, layout, counts)
         elif step == "quality":
             quality_step(spark, root)
         elif step == "load":

@@ -7,7 +7,7 @@ nothing is staged on a machine-local disk and copied afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,29 +35,39 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 # --- sinks -------------------------------------------------------------------
+# Upper bound of rows per output file, so one large task writes several
+# files instead of one very large one.
+MAX_RECORDS_PER_FILE = 5_000_000
+
 def append_json(df: DataFrame, path: str) -> None:
     """Append newline-delimited JSON files (one landing batch) under ``path``."""
     df.write.mode("append").json(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "ticker", order: str = "date") -> None:
+def write_partitioned(df: DataFrame, path: str, by: str = "ticker", order: str = "date",
+                      after_exchange: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Overwrite Parquet partitioned by ``by``, rows sorted by ``order`` within files.
 
     Range partitioning on (by, order) bounds the files per folder (a key
     spans few tasks) and splits a very large key across tasks instead of
     sending it to one. No global sort is needed: readers order at read time.
+    ``after_exchange`` is applied above the range exchange, so it runs only
+    in the write job and not in the sampling job that finds the ranges.
     """
+    ranged = df.repartitionByRange(F.col(by), F.col(order))
+    if after_exchange is not None:
+        ranged = after_exchange(ranged)
     (
-        df.repartitionByRange(F.col(by), F.col(order))
-        .sortWithinPartitions(by, order)
+        ranged.sortWithinPartitions(by, order)
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(by)
         .parquet(path)
     )
 
 
 def write_flat(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, by: str = "ticker", order: str = "date") -> None:
@@ -69,7 +79,12 @@ def write_clustered(df: DataFrame, path: str, by: str = "ticker", order: str = "
     let a reader skip groups for a one-key filter, without one folder (and
     at least one file) per key.
     """
-    df.sortWithinPartitions(by, order).write.mode("overwrite").parquet(path)
+    (
+        df.sortWithinPartitions(by, order)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .parquet(path)
+    )
 
 
 # --- tables ------------------------------------------------------------------
