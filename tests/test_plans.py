@@ -37,7 +37,10 @@ def test_gold_plan_two_broadcasts_one_exchange_by_ticker(spark):
     nodes = re.findall(r"^\(\d+\) (\w+)", text, re.M)  # one line per node in the details
     assert nodes.count("BroadcastHashJoin") == 2
     assert "SortMergeJoin" not in nodes
-    assert nodes.count("Window") == 1
+    # One ranking window for the de-duplication (with its partial group limit
+    # below the exchange), one window for lag and both rolling frames.
+    assert nodes.count("Window") == 2
+    assert nodes.count("WindowGroupLimit") == 2
     # The only exchange above the de-duplication is the one by ticker for the window.
     window_exchanges = re.findall(r"hashpartitioning\(ticker#\d+, \d+\)", text)
     assert len(window_exchanges) == 1

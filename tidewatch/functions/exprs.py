@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,22 +37,22 @@ def parse_ts(c: str | Column) -> Column:
     return F.try_to_timestamp(col_(c)).cast("timestamp_ntz")
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep one row per ``keys``: the greatest by ``order``, then the rest.
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool = False) -> DataFrame:
+    """Keep one row per ``keys``: the greatest by ``order`` (least if ``ascending``),
+    the remaining columns breaking ties in the same direction.
 
-    Expressed as ``max(struct(order..., other columns...))`` per key, an
-    ordinary aggregate, so each task keeps one row per key before the
-    shuffle. A key with many copies (re-ingestion of one day many times)
-    therefore ships one row per task, not all of its copies. NULL order
-    values lose to non-NULL ones; the remaining columns break ties.
+    Written as ``row_number() ... = 1``; Spark plans it with a partial
+    WindowGroupLimit before the shuffle, so each task keeps one row per key
+    and a key with many copies (one day re-ingested many times) ships one row
+    per task, not all of its copies. NULL order values rank after non-NULL.
     """
-    cols = df.columns
-    rest = [c for c in cols if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in [*order, *rest]]).alias("_latest")
-    out = df.groupBy(*keys).agg(F.max(packed).alias("_latest"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_latest.{c}").alias(c) for c in [*order, *rest]]).select(
-        *cols
-    )
+    rest = [c for c in df.columns if c not in keys and c not in order]
+
+    def key(c: str) -> Column:
+        return F.asc_nulls_last(c) if ascending else F.desc_nulls_last(c)
+
+    w = Window.partitionBy(*keys).orderBy(*[key(c) for c in [*order, *rest]])
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def case_chain(branches: Sequence[tuple[Column, str]], default: str) -> Column:

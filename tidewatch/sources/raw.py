@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.exprs import parse_date, rnd
+from tidewatch.functions.exprs import dedup_latest, parse_date, rnd
 from tidewatch.operators.joins import semi_join_list
 from tidewatch.sources.schemas import MACRO_SERIES, SEARCH_QUERIES
 
@@ -44,8 +44,8 @@ def news_records(payloads: DataFrame, queries: Sequence[str] = SEARCH_QUERIES,
     """Explode search responses; keep the first article per URL (missing URL -> "").
 
     "First" is request order: query position, then page, then position in
-    the response. The choice is an aggregate (min over that order) per URL,
-    so a URL repeated in many responses is reduced within each task first.
+    the response. A URL repeated in many responses is reduced within each
+    task before the shuffle (partial group limit of the ranking window).
     """
     query_text = F.element_at(F.array(*[F.lit(q) for q in queries]), F.col("query_pos").cast("int") + 1)
     flat = payloads.select(
@@ -54,25 +54,17 @@ def news_records(payloads: DataFrame, queries: Sequence[str] = SEARCH_QUERIES,
     )
     rows = flat.select(
         F.coalesce(F.col("a.url"), F.lit("")).alias("url"),
-        F.struct(
-            F.col("query_pos"), F.col("page"), F.col("article_pos"),
-            F.col("a.title").alias("title"),
-            F.col("a.description").alias("description"),
-            F.col("a.source.name").alias("source_name"),
-            F.col("a.publishedAt").alias("published_at"),
-            F.col("a.content").alias("content_snippet"),
-            F.col("search_query"),
-        ).alias("r"),
+        "query_pos", "page", "article_pos",
+        F.col("a.title").alias("title"),
+        F.col("a.description").alias("description"),
+        F.col("a.source.name").alias("source_name"),
+        F.col("a.publishedAt").alias("published_at"),
+        F.col("a.content").alias("content_snippet"),
+        "search_query",
     )
-    first = rows.groupBy("url").agg(F.min("r").alias("r"))
+    first = dedup_latest(rows, ["url"], ["query_pos", "page", "article_pos"], ascending=True)
     return first.select(
-        F.col("r.title").alias("title"),
-        F.col("r.description").alias("description"),
-        F.col("r.source_name").alias("source_name"),
-        "url",
-        F.col("r.published_at").alias("published_at"),
-        F.col("r.content_snippet").alias("content_snippet"),
-        F.col("r.search_query").alias("search_query"),
+        "title", "description", "source_name", "url", "published_at", "content_snippet", "search_query",
         F.lit(source).alias("source"),
         F.lit(ingested_at).alias("ingested_at"),
     )
