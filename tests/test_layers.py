@@ -34,7 +34,7 @@ def test_clean_stocks_latest_ingestion_wins_and_bad_rows_drop(spark):
 
 
 def test_dedup_latest_hot_key(spark):
-    # One key with many copies: the aggregate keeps exactly one, the latest.
+    # One key with many copies: the ranking keeps exactly one, the latest.
     df = spark.range(0, 20000).select(
         F.lit("HOT").alias("k"), F.col("id").alias("seq"), (F.col("id") * 2).alias("v")
     ).repartition(8)
@@ -116,3 +116,19 @@ def test_sensitivity_coalesces_missing_side(spark):
     r = G.sentiment_sensitivity(gold).first()
     assert r.sentiment_days == 2 and r.avg_return_bearish_news is None
     assert r.sentiment_sensitivity == 2.0 and r.worst_day == -1.0 and r.best_day == 2.0
+
+
+def test_empty_news_and_macro_give_null_columns(spark):
+    from tidewatch.operators import sentiment as SN
+
+    stocks = spark.createDataFrame(
+        [raw_stock("AAA", "2024-01-02", 101.0, "2024-02-01T06:00:00"),
+         raw_stock("AAA", "2024-01-03", 102.0, "2024-02-01T06:00:00")], schemas.RAW_STOCKS)
+    news = spark.createDataFrame([], schemas.RAW_NEWS)
+    macro = spark.createDataFrame([], schemas.RAW_MACRO)
+    scored = SN.score_news_with_model(SV.clean_news(news))
+    assert scored.count() == 0
+    gold = G.daily_market_summary(SV.clean_stocks(stocks), G.daily_news(scored), SV.macro_ffill(SV.clean_macro(macro)))
+    rows = gold.collect()
+    assert len(rows) == 2 and len(gold.columns) == 29
+    assert all(r.news_article_count is None and r.vix_volatility_index is None for r in rows)
