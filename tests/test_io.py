@@ -134,21 +134,25 @@ def test_pipeline_equals_in_memory_chain(spark, tmp_root, layout):
 
 
 def test_streaming_increments_equal_batch(spark, tmp_root):
-    from tidewatch.operators.silver import clean_stocks
-    from tidewatch.streaming.landing import silver_view, start_stock_ingest
+    from tidewatch.operators import silver as SV
+    from tidewatch.streaming.landing import silver_view, start_ingest
 
     L = Layers.from_testdata(spark, SF_SMALL)
-    bronze, inc, ck = (f"file://{tmp_root}/{n}" for n in ("bronze", "inc", "ck"))
-    first = L.raw_stocks.where(F.col("ingested_at") < "2024-02-02")
-    later = L.raw_stocks.where(F.col("ingested_at") >= "2024-02-02")
-    io.append_json(first, bronze)
-    start_stock_ingest(spark, bronze, inc, ck).awaitTermination()
-    io.append_json(later, bronze)
-    start_stock_ingest(spark, bronze, inc, ck).awaitTermination()
-    view = silver_view(spark, inc)
-    batch = clean_stocks(L.raw_stocks)
-    assert view.count() == batch.count()
-    assert view.exceptAll(batch).count() == 0
+    expected = {
+        "stocks": SV.clean_stocks(L.raw_stocks),
+        "news": SN.score_news(SV.clean_news(L.raw_news)),
+        "fred": SV.macro_ffill(SV.clean_macro(L.raw_macro)),
+    }
+    for source, raw in [("stocks", L.raw_stocks), ("news", L.raw_news), ("fred", L.raw_macro)]:
+        bronze, inc, ck = (f"file://{tmp_root}/{source}/{n}" for n in ("bronze", "inc", "ck"))
+        # Two landing batches: the later ingestions arrive after the first run.
+        io.append_json(raw.where(F.col("ingested_at") < "2024-02-01T06:30"), bronze)
+        start_ingest(spark, source, bronze, inc, ck).awaitTermination()
+        io.append_json(raw.where(F.col("ingested_at") >= "2024-02-01T06:30"), bronze)
+        start_ingest(spark, source, bronze, inc, ck).awaitTermination()
+        view = silver_view(spark, source, inc).select(*expected[source].columns)
+        assert view.count() == expected[source].count(), source
+        assert view.exceptAll(expected[source]).count() == 0, source
 
 
 def test_dashboard_sql_runs_on_registered_views(spark, tmp_root):
