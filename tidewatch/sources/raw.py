@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import dedup_latest, parse_date, rnd
 from tidewatch.operators.joins import semi_join_list
-from tidewatch.sources.schemas import MACRO_SERIES, SEARCH_QUERIES
+from tidewatch.sources.schemas import MACRO_SERIES, MACRO_SOURCE, NEWS_SOURCE, PRICE_SOURCE, SEARCH_QUERIES
 
 DEFAULT_STAMP = "2024-02-01T06:00:00.000001"
 
 
-def price_records(history: DataFrame, ingested_at: str = DEFAULT_STAMP, source: str = "yahoo_finance") -> DataFrame:
+def price_records(history: DataFrame, ingested_at: str = DEFAULT_STAMP, source: str = PRICE_SOURCE) -> DataFrame:
     """(ticker, day_ts, open_px..close_px, volume_raw) -> raw stock records."""
     return history.select(
         "ticker",
@@ -40,7 +40,7 @@ def price_records(history: DataFrame, ingested_at: str = DEFAULT_STAMP, source:
 
 
 def news_records(payloads: DataFrame, queries: Sequence[str] = SEARCH_QUERIES,
-                 ingested_at: str = DEFAULT_STAMP, source: str = "gnews") -> DataFrame:
+                 ingested_at: str = DEFAULT_STAMP, source: str = NEWS_SOURCE) -> DataFrame:
     """Explode search responses; keep the first article per URL (missing URL -> "").
 
     "First" is request order: query position, then page, then position in
@@ -71,7 +71,7 @@ def news_records(payloads: DataFrame, queries: Sequence[str] = SEARCH_QUERIES,
 
 
 def macro_records(observations: DataFrame, series: Sequence[tuple[str, str, str]] = MACRO_SERIES,
-                  ingested_at: str = DEFAULT_STAMP, source: str = "fred") -> DataFrame:
+                  ingested_at: str = DEFAULT_STAMP, source: str = MACRO_SOURCE) -> DataFrame:
     """(series_id, obs_date, value) -> long macro records for the listed series.
 
     The series table is a literal map lookup inside the projection, so no
