@@ -173,3 +173,32 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
         elif step == "load":
             listing = load_step(spark, root)
     return listing
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m tidewatch.plans.pipeline ROOT [--from STEP] [--layout L]``.
+
+    Runs the batch on the session ``spark-submit`` provides (or a local one)
+    and prints the rows each step read and wrote, then the loaded tables.
+    """
+    import argparse
+    import json
+
+    parser = argparse.ArgumentParser(prog="tidewatch.plans.pipeline")
+    parser.add_argument("root", help="lake root URI holding bronze/, silver/, gold/, marts/")
+    parser.add_argument("--from", dest="from_step", choices=STEPS, default=None, help="start at this step")
+    parser.add_argument("--layout", choices=LAYOUTS, default="clustered")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.appName("tidewatch-pipeline").getOrCreate()
+    counts = RowCounts()
+    listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts)
+    print(json.dumps({"rows": counts.result()}))
+    if listing is not None:
+        for r in listing.collect():  # one row per loaded table
+            print(json.dumps(r.asDict()))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
