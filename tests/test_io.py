@@ -110,7 +110,7 @@ def test_register_tables_skips_absent(spark, tmp_root):
     assert io.table_listing(spark, names).first().row_count == 3
 
 
-@pytest.mark.parametrize("layout", ["clustered", "by_ticker"])
+@pytest.mark.parametrize("layout", ["clustered", "bucketed", "by_ticker"])
 def test_pipeline_equals_in_memory_chain(spark, tmp_root, layout):
     L = Layers.from_testdata(spark, SF_SMALL)
     root = f"file://{tmp_root}/lake"
@@ -123,7 +123,7 @@ def test_pipeline_equals_in_memory_chain(spark, tmp_root, layout):
     assert observed["silver.stocks"] == L.silver_stocks.count()
     assert observed["gold.fct_daily_market_summary"] == listing["fct_daily_market_summary"]
     assert observed["marts.fct_weekly_summary"] == L.weekly.count()
-    stored = P.read_gold(spark, root).select(*L.gold.columns)
+    stored = P.read_gold(spark, root, layout).select(*L.gold.columns)
     assert stored.exceptAll(L.gold).count() == 0
     report = spark.read.parquet(f"{root}/marts/quality_report")
     assert report.where(~F.col("passed")).count() == 0 and report.count() == 21

@@ -69,3 +69,28 @@ def test_scans_of_stored_tables_prune_and_push_down(spark, tmp_root):
 def test_top_k_reads_use_take_ordered(spark):
     text = plan_of(E.queries()["top_gainers"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in text
+
+
+def test_bucketed_layout_reuses_partitioning(spark, tmp_root):
+    from tidewatch.operators import gold as G
+    from tidewatch.operators import marts as M
+
+    L = Layers.from_testdata(spark, SF_SMALL)
+    root = f"file://{tmp_root}/lake"
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    P.run(spark, root, layout="bucketed", buckets=4)
+    lay = P.Layout(spark, root, "bucketed", 4)
+    silver = lay.read("silver", "stocks")
+    gold_plan = plan_of(G.daily_market_summary(silver, L.daily_news, L.macro_ffill))
+    assert "Bucketed: true" in gold_plan
+    assert not re.search(r"hashpartitioning\(ticker#\d+, \d+\)", gold_plan)  # the window needs no shuffle
+    gold = lay.read("gold", "fct_daily_market_summary")
+    for df in (G.dim_tickers(gold), G.sentiment_sensitivity(gold),
+               M.weekly_summary(lay.read("marts", "fct_market_signals"))):
+        assert "Exchange" not in plan_of(df)  # per-ticker aggregates read the buckets as they are
+    # A new process: the catalog has forgotten the table; it is declared again over the files.
+    name = lay.table_name("gold", "fct_daily_market_summary")
+    spark.sql(f"DROP TABLE {name}")  # unmanaged: the files stay
+    again = lay.read("gold", "fct_daily_market_summary")
+    assert again.count() == L.gold.count()
+    assert "Exchange" not in plan_of(G.dim_tickers(again))

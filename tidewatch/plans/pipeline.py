@@ -2,25 +2,35 @@
 
 Each step reads the previous layer from storage and writes its own, so a
 lost executor costs at most the running step's tasks, and no step keeps a
-long lineage. Steps run in order; ``from_step`` starts later, as a re-run
-after a failure would. Layout under ``root``:
+long lineage. Every write overwrites its target, so a step can be re-run.
+Steps run in order; ``from_step`` starts later, as a re-run after a failure
+would. Layout under ``root``:
 
   bronze/{stocks,news,fred}        newline JSON landing batches
   silver/stocks, silver/news, silver/fred
   gold/fct_daily_market_summary, gold/dim_tickers, gold/fct_sentiment_sensitivity
   marts/fct_market_signals, marts/fct_weekly_summary, marts/quality_report
 
-Per-ticker tables use one of two layouts. ``clustered`` (default): flat
-files, rows sorted by (ticker, date) within each file, written from the
-partitioning the plan already has, so the write adds no shuffle and the
-file count follows the task count. ``by_ticker``: one folder per ticker
-(directory pruning for one-ticker reads), which costs at least one file
-per ticker and write task, so it suits few, long tickers rather than many
-short ones.
+The per-ticker tables (silver/stocks, gold/fct_daily_market_summary,
+marts/fct_market_signals) use one of three layouts:
+
+``clustered`` (default): flat files, rows sorted by (ticker, date) within
+  each file, written from the partitioning the plan already has, so the
+  write adds no shuffle and the file count follows the task count.
+``bucketed``: catalog tables bucketed by ticker (and sorted by date). The
+  gold window reads silver without a shuffle, and the per-ticker aggregates
+  (dimension, sensitivity, weekly) read gold without one: the partitioning
+  is paid once, at the silver write, and reused by every later stage. The
+  bucket spec lives in the session catalog; a new process declares the
+  table again over the same files.
+``by_ticker``: one folder per ticker (directory pruning for one-ticker
+  reads). Costs at least one file per ticker and write task, so it suits
+  few, long tickers rather than many short ones.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,7 +46,7 @@ from tidewatch.sources import schemas
 from tidewatch.sources import storage as io
 
 STEPS = ["silver", "gold", "marts", "quality", "load"]
-LAYOUTS = ("clustered", "by_ticker")
+LAYOUTS = ("clustered", "bucketed", "by_ticker")
 GOLD_TABLES = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity"]
 
 
@@ -63,27 +73,49 @@ class RowCounts(dict):
         return {k: int(v.get["rows"]) for k, v in self.items()}
 
 
-def _write_by_ticker(df: DataFrame, path: str, layout: str, counts: RowCounts, name: str) -> None:
-    if layout == "by_ticker":
-        io.write_partitioned(df, path, after_exchange=lambda d: counts.watch(name, d))
-    else:
-        io.write_clustered(counts.watch(name, df), path)
+class Layout:
+    """How the per-ticker tables under ``root`` are written and read back."""
 
+    def __init__(self, spark: SparkSession, root: str, kind: str = "clustered", buckets: int | None = None):
+        if kind not in LAYOUTS:
+            raise ValueError(f"layout must be one of {LAYOUTS}")
+        self.spark, self.root, self.kind = spark, root, kind
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._tag = hashlib.sha1(root.encode()).hexdigest()[:10]
 
-def _read_by_ticker(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    df = io.read_table(spark, path, schema)
-    # Partition discovery would type number-like tickers as numbers.
-    return df if schema is not None else df.withColumn("ticker", df["ticker"].cast("string"))
+    def table_name(self, layer: str, table: str) -> str:
+        return f"tw_{self._tag}_{layer}_{table}"
+
+    def write(self, df: DataFrame, layer: str, table: str, counts: RowCounts) -> None:
+        path, name = _p(self.root, layer, table), f"{layer}.{table}"
+        if self.kind == "by_ticker":
+            io.write_partitioned(df, path, after_exchange=lambda d: counts.watch(name, d))
+        elif self.kind == "bucketed":
+            io.write_bucketed(counts.watch(name, df), path, self.table_name(layer, table), self.buckets)
+        else:
+            io.write_clustered(counts.watch(name, df), path)
+
+    def read(self, layer: str, table: str, schema=None) -> DataFrame:
+        path = _p(self.root, layer, table)
+        if self.kind == "bucketed":
+            return io.bucketed_table(self.spark, self.table_name(layer, table), path, self.buckets)
+        df = io.read_table(self.spark, path, schema)
+        # Partition discovery would type number-like tickers as numbers.
+        return df if schema is not None else df.withColumn("ticker", df["ticker"].cast("string"))
+
+
+def _layout(spark: SparkSession, root: str, layout: str | Layout) -> Layout:
+    return layout if isinstance(layout, Layout) else Layout(spark, root, layout)
 
 
 def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None,
-                layout: str = "clustered", counts: RowCounts | None = None) -> None:
+                layout: str | Layout = "clustered", counts: RowCounts | None = None) -> None:
+    lay = _layout(spark, root, layout)
     counts = RowCounts() if counts is None else counts
     raw_s = io.read_raw_json(spark, _p(root, "bronze", "stocks"), schemas.RAW_STOCKS)
     raw_n = io.read_raw_json(spark, _p(root, "bronze", "news"), schemas.RAW_NEWS)
     raw_m = io.read_raw_json(spark, _p(root, "bronze", "fred"), schemas.RAW_MACRO)
-    stocks = SV.clean_stocks(counts.watch("bronze.stocks", raw_s))
-    _write_by_ticker(stocks, _p(root, "silver", "stocks"), layout, counts, "silver.stocks")
+    lay.write(SV.clean_stocks(counts.watch("bronze.stocks", raw_s)), "silver", "stocks", counts)
     news = SV.clean_news(counts.watch("bronze.news", raw_n))
     scored = SN.score_news(news) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
     io.write_flat(counts.watch("silver.news", scored), _p(root, "silver", "news"))
@@ -91,92 +123,106 @@ def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None
     io.write_flat(counts.watch("silver.fred", macro), _p(root, "silver", "fred"))
 
 
-def gold_step(spark: SparkSession, root: str, layout: str = "clustered", counts: RowCounts | None = None) -> None:
+def gold_step(spark: SparkSession, root: str, layout: str | Layout = "clustered",
+              counts: RowCounts | None = None) -> None:
+    lay = _layout(spark, root, layout)
     counts = RowCounts() if counts is None else counts
-    stocks = io.read_table(spark, _p(root, "silver", "stocks"), schemas.SILVER_STOCKS)
+    stocks = lay.read("silver", "stocks", schemas.SILVER_STOCKS)
     news = io.read_table(spark, _p(root, "silver", "news"))
     macro = io.read_table(spark, _p(root, "silver", "fred"))
     gold = G.daily_market_summary(stocks, G.daily_news(news), macro)
-    _write_by_ticker(gold, _p(root, "gold", "fct_daily_market_summary"), layout, counts,
-                     "gold.fct_daily_market_summary")
-    stored = read_gold(spark, root)
+    lay.write(gold, "gold", "fct_daily_market_summary", counts)
+    stored = read_gold(spark, root, lay)
     io.write_flat(counts.watch("gold.dim_tickers", G.dim_tickers(stored)), _p(root, "gold", "dim_tickers"))
     io.write_flat(counts.watch("gold.fct_sentiment_sensitivity", G.sentiment_sensitivity(stored)),
                   _p(root, "gold", "fct_sentiment_sensitivity"))
 
 
-def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    return _read_by_ticker(spark, _p(root, "gold", "fct_daily_market_summary"))
+def read_gold(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
+    return _layout(spark, root, layout).read("gold", "fct_daily_market_summary")
 
 
-def read_signals(spark: SparkSession, root: str) -> DataFrame:
-    return _read_by_ticker(spark, _p(root, "marts", "fct_market_signals"))
+def read_signals(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
+    return _layout(spark, root, layout).read("marts", "fct_market_signals")
 
 
-def marts_step(spark: SparkSession, root: str, layout: str = "clustered", counts: RowCounts | None = None) -> None:
+def marts_step(spark: SparkSession, root: str, layout: str | Layout = "clustered",
+               counts: RowCounts | None = None) -> None:
+    lay = _layout(spark, root, layout)
     counts = RowCounts() if counts is None else counts
-    sig = M.market_signals(M.stg_daily_market(read_gold(spark, root)))
-    _write_by_ticker(sig, _p(root, "marts", "fct_market_signals"), layout, counts, "marts.fct_market_signals")
-    stored = read_signals(spark, root)
+    sig = M.market_signals(M.stg_daily_market(read_gold(spark, root, lay)))
+    lay.write(sig, "marts", "fct_market_signals", counts)
+    stored = read_signals(spark, root, lay)
     io.write_flat(counts.watch("marts.fct_weekly_summary", M.weekly_summary(stored)),
                   _p(root, "marts", "fct_weekly_summary"))
 
 
-def model_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    gold = read_gold(spark, root)
-    sig = read_signals(spark, root)
+def model_tables(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> dict[str, DataFrame]:
+    lay = _layout(spark, root, layout)
+    gold = read_gold(spark, root, lay)
     return {
         "fct_daily_market_summary": gold,
         "dim_tickers": spark.read.parquet(_p(root, "gold", "dim_tickers")),
         "fct_sentiment_sensitivity": spark.read.parquet(_p(root, "gold", "fct_sentiment_sensitivity")),
         "stg_daily_market": M.stg_daily_market(gold),
-        "fct_market_signals": sig,
+        "fct_market_signals": read_signals(spark, root, lay),
         "fct_weekly_summary": spark.read.parquet(_p(root, "marts", "fct_weekly_summary")),
     }
 
 
-def quality_step(spark: SparkSession, root: str) -> DataFrame:
-    report = Q.quality_report(model_tables(spark, root))
+def quality_step(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
+    report = Q.quality_report(model_tables(spark, root, layout))
     io.write_flat(report.coalesce(1), _p(root, "marts", "quality_report"))
     return spark.read.parquet(_p(root, "marts", "quality_report"))
 
 
-def load_step(spark: SparkSession, root: str) -> DataFrame:
-    names = io.register_tables(spark, _p(root, "gold"), GOLD_TABLES)
-    names += io.register_tables(spark, _p(root, "marts"), ["fct_market_signals", "fct_weekly_summary"])
-    return io.table_listing(spark, names)
+def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
+    """Register the gold and mart tables as session views, and list them."""
+    lay = _layout(spark, root, layout)
+    names = []
+    for layer, table in [("gold", "fct_daily_market_summary"), ("marts", "fct_market_signals")]:
+        try:
+            lay.read(layer, table).createOrReplaceTempView(table)
+            names.append(table)
+        except Exception as e:  # an absent table is skipped, as for the flat ones
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    names += io.register_tables(spark, _p(root, "gold"), ["dim_tickers", "fct_sentiment_sensitivity"])
+    names += io.register_tables(spark, _p(root, "marts"), ["fct_weekly_summary"])
+    order = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity",
+             "fct_market_signals", "fct_weekly_summary"]
+    return io.table_listing(spark, [n for n in order if n in names])
 
 
 def run(spark: SparkSession, root: str, from_step: str | None = None,
         scorer_factory: Callable | None = None, layout: str = "clustered",
-        counts: RowCounts | None = None) -> DataFrame:
+        counts: RowCounts | None = None, buckets: int | None = None) -> DataFrame:
     """Run the steps from ``from_step`` on; returns the registered-table listing.
 
     Pass a ``RowCounts`` to get the rows read and written by each step
     (``counts.result()`` after the run).
     """
-    if layout not in LAYOUTS:
-        raise ValueError(f"layout must be one of {LAYOUTS}")
     prepare(spark)
+    lay = Layout(spark, root, layout, buckets)
     counts = RowCounts() if counts is None else counts
     start = STEPS.index(from_step) if from_step else 0
     listing = None
     for step in STEPS[start:]:
         if step == "silver":
-            silver_step(spark, root, scorer_factory, layout, counts)
+            silver_step(spark, root, scorer_factory, lay, counts)
         elif step == "gold":
-            gold_step(spark, root, layout, counts)
+            gold_step(spark, root, lay, counts)
         elif step == "marts":
-            marts_step(spark, root, layout, counts)
+            marts_step(spark, root, lay, counts)
         elif step == "quality":
-            quality_step(spark, root)
+            quality_step(spark, root, lay)
         elif step == "load":
-            listing = load_step(spark, root)
+            listing = load_step(spark, root, lay)
     return listing
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m tidewatch.plans.pipeline ROOT [--from STEP] [--layout L]``.
+    """``python -m tidewatch.plans.pipeline ROOT [--from STEP] [--layout L] [--buckets N]``.
 
     Runs the batch on the session ``spark-submit`` provides (or a local one)
     and prints the rows each step read and wrote, then the loaded tables.
@@ -188,11 +234,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("root", help="lake root URI holding bronze/, silver/, gold/, marts/")
     parser.add_argument("--from", dest="from_step", choices=STEPS, default=None, help="start at this step")
     parser.add_argument("--layout", choices=LAYOUTS, default="clustered")
+    parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tidewatch-pipeline").getOrCreate()
     counts = RowCounts()
-    listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts)
+    listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts,
+                  buckets=args.buckets)
     print(json.dumps({"rows": counts.result()}))
     if listing is not None:
         for r in listing.collect():  # one row per loaded table

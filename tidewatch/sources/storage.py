@@ -87,6 +87,40 @@ def write_clustered(df: DataFrame, path: str, by: str = "ticker", order: str = "
     )
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, buckets: int, by: str = "ticker",
+                   order: str = "date") -> None:
+    """Overwrite a Parquet table at ``path`` bucketed by ``by`` into ``buckets``,
+    sorted by (by, order), and register it as ``table`` in the session catalog.
+
+    Readers of the table that group or window by ``by`` reuse the bucketing
+    instead of shuffling. Rows are hash-partitioned into the bucket count
+    first (a no-op when the plan already has that partitioning), so each
+    task writes one file per bucket rather than one per bucket it happens to see.
+    """
+    (
+        df.repartition(buckets, F.col(by))
+        .write.mode("overwrite")
+        .bucketBy(buckets, by)
+        .sortBy(by, order)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def bucketed_table(spark: SparkSession, table: str, path: str, buckets: int, by: str = "ticker",
+                   order: str = "date") -> DataFrame:
+    """The bucketed table ``table``; declared over the files at ``path`` if the
+    session's catalog does not know it (a new process resuming the batch)."""
+    if not spark.catalog.tableExists(table):
+        fields = spark.read.parquet(path).schema.fields
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{by}`) "
+            f"SORTED BY (`{by}`, `{order}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 # --- tables ------------------------------------------------------------------
 def register_tables(spark: SparkSession, root: str, names: Iterable[str]) -> list[str]:
     """Register each ``root/name`` Parquet folder as a view ``name``; skip absent ones."""
