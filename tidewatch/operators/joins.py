@@ -3,14 +3,14 @@
 Daily news and the macro table hold one row per calendar date, so their
 size follows the date span, not the data volume. That is a bound by
 construction, but bad input (dates centuries apart) could still break it,
-so the side is materialised once in the shared checkpoint folder and
-counted there. Within the bound it is broadcast; beyond it the join is left
-to a shuffle join, where adaptive execution splits skewed dates.
+so the side is written once to the shared checkpoint folder, its rows
+counted during that write. Within the bound it is broadcast; beyond it the
+join is left to a shuffle join, where adaptive execution splits skewed dates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewatch.session import scratch_path
@@ -19,23 +19,25 @@ from tidewatch.session import scratch_path
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, name: str = "stage", counted: bool = False):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
     the chain), and later readers get a columnar scan with pruning and
-    accurate size statistics.
+    accurate size statistics. With ``counted=True`` also returns the number
+    of rows written, observed during the write (no second job).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    return (stored, int(obs.get["rows"])) if counted else stored
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` as is."""
-    small = materialise(df, "small-side")
-    n = small.count()
+    small, n = materialise(df, "small-side", counted=True)
     return F.broadcast(small) if n <= max_rows else small
 
 
