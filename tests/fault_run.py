@@ -1,0 +1,76 @@
+"""Run the batch where scoring tasks fail on their first attempt (used by test_faults).
+
+Starts its own ``local[4,3]`` session (tasks may be retried up to 3 times).
+Prints one JSON line with the counts to compare.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+import tempfile
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def flaky_factory():
+    """The lexicon scorer, but every task's first attempt dies halfway through."""
+    from pyspark import TaskContext
+
+    from tidewatch.functions.lexicon import lexicon_score_pandas
+
+    ctx = TaskContext.get()
+    calls = {"n": 0}
+
+    def score(texts):
+        calls["n"] += 1
+        if ctx is not None and ctx.attemptNumber() == 0 and calls["n"] > 1:
+            mark = os.environ.get("TIDEWATCH_FAULT_MARKS")
+            if mark:
+                open(os.path.join(mark, f"stage{ctx.stageId()}-part{ctx.partitionId()}"), "w").close()
+            raise RuntimeError("injected executor loss")
+        return lexicon_score_pandas(texts)
+
+    return score
+
+
+def main(sf_dir: str) -> None:
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    from tidewatch.plans import pipeline as P
+    from tidewatch.plans.layers import Layers
+    from tidewatch.session import prepare
+
+    spark = (
+        SparkSession.builder.master("local[4,3]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewatch-fault-ckpt-"))
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    prepare(spark)
+    L = Layers.from_testdata(spark, sf_dir)
+    root = "file://" + tempfile.mkdtemp(prefix="tidewatch-fault-")
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    P.run(spark, root, scorer_factory=flaky_factory)
+    news = spark.read.parquet(root + "/silver/news")
+    expected = L.news_sentiment
+    gold = P.read_gold(spark, root).select(*L.gold.columns)
+    marks = os.environ.get("TIDEWATCH_FAULT_MARKS")
+    print(json.dumps({
+        "failed_attempts": len(os.listdir(marks)) if marks else None,
+        "news_rows": news.count(),
+        "news_expected": expected.count(),
+        "news_diff": news.select(*expected.columns).exceptAll(expected).count(),
+        "gold_diff": gold.exceptAll(L.gold).count() + L.gold.exceptAll(gold).count(),
+    }))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001")
