@@ -39,7 +39,7 @@ def main(sf_dir: str) -> None:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
-    from tidewatch.plans import pipeline as P
+    from tidewatch.plans import batch as P
     from tidewatch.plans.layers import Layers
     from tidewatch.session import prepare
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tidewatch.functions.lexicon import lexicon_score_pandas
 from tidewatch.operators import sentiment as SN
-from tidewatch.plans import pipeline as P
+from tidewatch.plans import batch as P
 from tidewatch.plans.layers import Layers
 from tidewatch.sources import raw as RW
 from tidewatch.sources import schemas

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tidewatch.plans import pipeline as P
+from tidewatch.plans import batch as P
 from tidewatch.plans import reports as R
 from tidewatch.plans.layers import Layers
 from tidewatch.sources import storage as io

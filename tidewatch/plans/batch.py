@@ -222,7 +222,7 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m tidewatch.plans.pipeline ROOT [--from STEP] [--layout L] [--buckets N]``.
+    """``python -m tidewatch.plans.batch ROOT [--from STEP] [--layout L] [--buckets N]``.
 
     Runs the batch on the session ``spark-submit`` provides (or a local one)
     and prints the rows each step read and wrote, then the loaded tables.
@@ -230,14 +230,14 @@ def main(argv: list[str] | None = None) -> int:
     import argparse
     import json
 
-    parser = argparse.ArgumentParser(prog="tidewatch.plans.pipeline")
+    parser = argparse.ArgumentParser(prog="tidewatch.plans.batch")
     parser.add_argument("root", help="lake root URI holding bronze/, silver/, gold/, marts/")
     parser.add_argument("--from", dest="from_step", choices=STEPS, default=None, help="start at this step")
     parser.add_argument("--layout", choices=LAYOUTS, default="clustered")
     parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName("tidewatch-pipeline").getOrCreate()
+    spark = SparkSession.builder.appName("tidewatch-batch").getOrCreate()
     counts = RowCounts()
     listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts,
                   buckets=args.buckets)

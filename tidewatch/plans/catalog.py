@@ -14,7 +14,7 @@ from tidewatch.operators import gold as G
 from tidewatch.operators import quality as Q
 from tidewatch.operators import sentiment as SN
 from tidewatch.plans import reports as R
-from tidewatch.plans import pipeline as P
+from tidewatch.plans import batch as P
 from tidewatch.plans.layers import Layers
 from tidewatch.session import prepare, scratch_path
 from tidewatch.sources import fixtures, schemas
