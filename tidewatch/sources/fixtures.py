@@ -127,7 +127,8 @@ PAYLOAD_CTES: list[tuple[str, str]] = [
          90 + max(value) / 7 as high_px,
          90 + min(value) / 7 as low_px,
          90 + max_by(value, event_id) / 7 as close_px,
-         sum(value) * 1000 as volume_raw
+         -- exact in binary (integer sum + 0.25), so truncation agrees across engines
+         cast(sum(cast(round(value * 1000) as bigint)) as double) + 0.25 as volume_raw
   from {events}
   group by 'T' || lpad(cast(user_id as string), 6, '0'), cast(cast(ts as date) as timestamp)""",
     ),
