@@ -172,6 +172,8 @@ def test_dashboard_sql_runs_on_registered_views(spark, tmp_root):
         "WHERE date = (SELECT max(date) FROM fct_market_signals) ORDER BY daily_return DESC LIMIT 5"
     ).collect()
     assert len(top) == 5
+    staged = spark.sql("SELECT count(*) AS n FROM stg_daily_market WHERE has_sentiment_data").first().n
+    assert staged == L.stg.where("has_sentiment_data").count()
     heat = spark.sql(
         "SELECT date, ticker, daily_return FROM fct_market_signals "
         "WHERE date >= (SELECT max(date) - INTERVAL 14 DAY FROM fct_market_signals)"

@@ -187,10 +187,14 @@ def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
         except Exception as e:  # an absent table is skipped, as for the flat ones
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
+    if "fct_daily_market_summary" in names:
+        # The staging model stays a view over gold, as it is not stored.
+        M.stg_daily_market(spark.table("fct_daily_market_summary")).createOrReplaceTempView("stg_daily_market")
+        names.append("stg_daily_market")
     names += io.register_tables(spark, _p(root, "gold"), ["dim_tickers", "fct_sentiment_sensitivity"])
     names += io.register_tables(spark, _p(root, "marts"), ["fct_weekly_summary"])
     order = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity",
-             "fct_market_signals", "fct_weekly_summary"]
+             "stg_daily_market", "fct_market_signals", "fct_weekly_summary"]
     return io.table_listing(spark, [n for n in order if n in names])
 
 
