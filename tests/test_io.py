@@ -179,3 +179,26 @@ def test_dashboard_sql_runs_on_registered_views(spark, tmp_root):
         "WHERE date >= (SELECT max(date) - INTERVAL 14 DAY FROM fct_market_signals)"
     )
     assert heat.count() > 0
+
+
+def test_onnx_model_scorer_whole_text_windows(spark, tmp_root):
+    import numpy as np
+
+    from tests.onnx_tiny import reference_scores, write
+
+    vocab = {"[PAD]": 0, "[UNK]": 1, "the": 2, "on": 3, "en": 4, "of": 5, "to": 6, "er": 7, "in": 8}
+    table = np.zeros((9, 3))
+    table[1] = [0.0, 0.0, 0.05]
+    table[2:5] = [1.0, 0.0, 0.0]
+    table[5:9] = [0.0, 1.0, 0.0]
+    model, tok = write(tmp_root, vocab, table)
+    L = Layers.from_testdata(spark, SF_SMALL)
+    # 16-token windows: long documents are scored over many windows, never cut.
+    scored = SN.score_news_with_model(L.news_clean, SN.onnx_factory(model, tok, max_length=16))
+    rows = scored.select("url", "title", "sentiment_label", "sentiment_score", "sentiment_directional").collect()
+    labels, scores = reference_scores([r.title for r in rows], vocab, table, SN.LABELS, 16)
+    assert [r.sentiment_label for r in rows] == labels
+    assert max(abs(r.sentiment_score - s) for r, s in zip(rows, scores)) <= 1e-4
+    assert all(r.sentiment_directional == {"positive": 1, "negative": -1}.get(r.sentiment_label, 0) * r.sentiment_score
+               for r in rows)
+    assert len(rows) == L.news_clean.count()

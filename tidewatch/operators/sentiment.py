@@ -34,6 +34,64 @@ def lexicon_factory() -> Scorer:
     return lexicon_score_pandas
 
 
+def _onnx_scorer(model_path: str, tokenizer_path: str, labels: tuple[str, ...], max_length: int) -> Scorer:
+    """Build the scorer on the executor: one ONNX session and tokenizer per task.
+
+    A text longer than the model's input length is split into consecutive
+    windows of ``max_length`` tokens; the logits of all its windows are
+    averaged, so the whole text is scored, not its first window. Label =
+    argmax, score = softmax probability of that label.
+    """
+    import numpy as np
+    import onnxruntime as ort
+    from tokenizers import Tokenizer
+
+    session = ort.InferenceSession(model_path, providers=["CPUExecutionProvider"])
+    names = {i.name for i in session.get_inputs()}
+    tok = Tokenizer.from_file(tokenizer_path)
+    pad = tok.token_to_id("[PAD]") or 0
+
+    def score(texts: list[str]) -> tuple[list[str], list[float]]:
+        windows, owner = [], []
+        for i, enc in enumerate(tok.encode_batch([t or "" for t in texts])):
+            ids = enc.ids or [pad]
+            for start in range(0, len(ids), max_length):
+                windows.append(ids[start:start + max_length])
+                owner.append(i)
+        width = max(len(w) for w in windows)
+        input_ids = np.full((len(windows), width), pad, dtype=np.int64)
+        mask = np.zeros((len(windows), width), dtype=np.int64)
+        for r, w in enumerate(windows):
+            input_ids[r, : len(w)] = w
+            mask[r, : len(w)] = 1
+        feeds = {"input_ids": input_ids}
+        if "attention_mask" in names:
+            feeds["attention_mask"] = mask
+        logits = session.run(None, feeds)[0]
+        sums = np.zeros((len(texts), logits.shape[1]))
+        np.add.at(sums, np.asarray(owner), logits)
+        mean = sums / np.bincount(owner, minlength=len(texts))[:, None]
+        probs = np.exp(mean - mean.max(axis=1, keepdims=True))
+        probs /= probs.sum(axis=1, keepdims=True)
+        best = probs.argmax(axis=1)
+        return [labels[k] for k in best], [float(probs[r, k]) for r, k in enumerate(best)]
+
+    return score
+
+
+def onnx_factory(model_path: str, tokenizer_path: str, labels: tuple[str, ...] = LABELS,
+                 max_length: int = 512) -> Callable[[], Scorer]:
+    """A scorer factory for an exported sequence classifier (ONNX + tokenizer JSON).
+
+    ``labels`` names the model's output columns in order. The files must be
+    readable on every executor (shared storage, or ``SparkContext.addFile``
+    and ``SparkFiles.get``). Requires ``onnxruntime`` and ``tokenizers``.
+    """
+    from functools import partial
+
+    return partial(_onnx_scorer, model_path, tokenizer_path, tuple(labels), max_length)
+
+
 def _scored_schema(news: DataFrame) -> str:
     base = [f"`{f.name}` {f.dataType.simpleString()}" for f in news.schema.fields]
     return ", ".join(base + ["sentiment_label string", "sentiment_score double"])
