@@ -4,8 +4,9 @@
 ``score_news_with_model`` runs any scorer through ``mapInPandas``: the
 factory is called once per task (load a model there), texts go in batches
 of ``batch_size``, and each label must be one of positive / negative /
-neutral. The whole text goes to the scorer; a model with an input limit
-applies its own truncation. No rows pass through the driver.
+neutral. The whole text goes to the scorer; ``onnx_factory`` meets a
+model's input limit by scoring consecutive windows and averaging them, so
+no text is cut. No rows pass through the driver.
 """
 
 from __future__ import annotations
