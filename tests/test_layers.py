@@ -132,3 +132,17 @@ def test_empty_news_and_macro_give_null_columns(spark):
     rows = gold.collect()
     assert len(rows) == 2 and len(gold.columns) == 29
     assert all(r.news_article_count is None and r.vix_volatility_index is None for r in rows)
+
+
+def test_forward_fill_buckets_equal_one_window(spark):
+    # Gaps that span whole buckets (weeks), a key that starts late, NULL runs.
+    rows = []
+    for day in range(1, 60):
+        rows.append(("a", D(2024, 1, 1) + dt.timedelta(days=day), float(day) if day % 9 == 0 else None))
+        rows.append(("b", D(2024, 1, 1) + dt.timedelta(days=day), float(-day) if day in (30, 31) else None))
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    got = SV.forward_fill(df, "k", "d", "v", F.trunc("d", "week"))
+    w = SV.Window.partitionBy("k").orderBy("d").rowsBetween(SV.Window.unboundedPreceding, 0)
+    want = df.withColumn("v", F.last("v", ignorenulls=True).over(w))
+    assert got.count() == want.count() == len(rows)
+    assert got.exceptAll(want.select(*got.columns)).count() == 0

@@ -8,10 +8,11 @@ Macro: typed, one value per (series, date), pivoted wide and forward-filled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import dedup_latest, parse_date, parse_ts, pct_change, rnd
+from tidewatch.operators.joins import bounded_broadcast
 from tidewatch.sources.schemas import SERIES_NAMES
 
 STOCK_COLUMNS = [
@@ -82,16 +83,37 @@ def macro_wide(long: DataFrame, series: list[str] = SERIES_NAMES) -> DataFrame:
     )
 
 
-def macro_ffill(long: DataFrame, series: list[str] = SERIES_NAMES) -> DataFrame:
+def forward_fill(df: DataFrame, key: str, order: str, value: str, bucket: Column) -> DataFrame:
+    """Carry the last non-NULL ``value`` forward within each ``key``, by ``order``.
+
+    Two levels, so a long or dominant key is not one task: rows are filled
+    inside (key, bucket) partitions in parallel; a per-bucket summary (its
+    last non-NULL value, one row per key and bucket) is carried across
+    buckets by a window over that small table; its result fills what is
+    still NULL at the start of each bucket. The summary has one row per
+    bucket, so it is joined back with a size-checked broadcast.
+    """
+    b = df.withColumn("_bucket", bucket)
+    inside = Window.partitionBy(key, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("_filled", F.last(value, ignorenulls=True).over(inside))
+    last_in_bucket = b.groupBy(key, "_bucket").agg(
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
+    )
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last_in_bucket.select(key, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    out = b.join(bounded_broadcast(carried), [key, "_bucket"], "left")
+    return out.withColumn(value, F.coalesce("_filled", "_carry")).drop("_bucket", "_filled", "_carry")
+
+
+def macro_ffill(long: DataFrame, series: list[str] = SERIES_NAMES, bucket: str = "month") -> DataFrame:
     """Wide macro table with every series carried forward over all macro dates.
 
-    The fill runs in long form, one window partition per series, so no task
-    sees more than one series; the date spine is every date any series has,
-    so a date with one series still gets the carried values of the others.
-    Before a series starts its value stays NULL.
+    The fill runs in long form on the date spine (every date any series has,
+    so a date with one series still gets the carried values of the others),
+    partitioned by series and ``bucket`` (a ``trunc`` unit of the date): see
+    ``forward_fill``. Before a series starts its value stays NULL.
     """
     wide = macro_wide(long, series)
     stacked = wide.unpivot("date", [f"`{s}`" for s in series], "series_name", "value")
-    w = Window.partitionBy("series_name").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    filled = stacked.withColumn("value", F.last("value", ignorenulls=True).over(w))
+    filled = forward_fill(stacked, "series_name", "date", "value", F.trunc("date", bucket))
     return macro_wide(filled, series)
