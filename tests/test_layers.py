@@ -146,3 +146,28 @@ def test_forward_fill_buckets_equal_one_window(spark):
     want = df.withColumn("v", F.last("v", ignorenulls=True).over(w))
     assert got.count() == want.count() == len(rows)
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_quality_counts_violations_like_the_data_tests(spark):
+    from tidewatch.operators import quality as Q
+
+    signals = spark.createDataFrame(
+        [("bullish", "normal_volume"), ("sideways", "normal_volume"), ("sideways", None),
+         ("mystery", "low_volume"), (None, "huge")],
+        "market_signal string, volume_signal string",
+    )
+    dim = spark.createDataFrame([("A",), ("A",), ("B",), ("B",), ("B",), ("C",), (None,), (None,)], "ticker string")
+    checks = [
+        ("not_null", "sig", "market_signal", None),
+        ("accepted_values", "sig", "market_signal", ["bullish", "bearish"]),
+        ("accepted_values", "sig", "volume_signal", ["normal_volume", "low_volume"]),
+        ("not_null", "dim", "ticker", None),
+        ("unique", "dim", "ticker", None),
+    ]
+    out = {(r.test_name, r.model, r.column_name): (r.failures, r.passed)
+           for r in Q.quality_report({"sig": signals, "dim": dim}, checks).collect()}
+    assert out[("not_null", "sig", "market_signal")] == (1, False)           # rows with NULL
+    assert out[("accepted_values", "sig", "market_signal")] == (2, False)    # distinct bad values: sideways, mystery
+    assert out[("accepted_values", "sig", "volume_signal")] == (1, False)    # huge; NULL is not counted
+    assert out[("not_null", "dim", "ticker")] == (2, False)
+    assert out[("unique", "dim", "ticker")] == (2, False)                    # A and B repeat; NULLs ignored
