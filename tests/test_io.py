@@ -202,3 +202,26 @@ def test_onnx_model_scorer_whole_text_windows(spark, tmp_root):
     assert all(r.sentiment_directional == {"positive": 1, "negative": -1}.get(r.sentiment_label, 0) * r.sentiment_score
                for r in rows)
     assert len(rows) == L.news_clean.count()
+
+
+def test_landed_news_payload_files(spark, tmp_root):
+    folder = os.path.join(tmp_root, "news_payloads")
+    os.makedirs(folder)
+    responses = [
+        {"query_pos": 1, "page": 0, "articles": [
+            {"title": "Late copy", "url": "https://n/1", "publishedAt": "2024-01-02T09:00:00Z", "source": {"name": "B"}},
+            {"title": "No link", "publishedAt": "2024-01-02T10:00:00Z", "source": {"name": "B"}}]},
+        {"query_pos": 0, "page": 0, "articles": [
+            {"title": "First copy", "url": "https://n/1", "publishedAt": "2024-01-02T09:00:00Z", "source": {"name": "A"},
+             "description": "d", "content": "c"}]},
+    ]
+    for i, r in enumerate(responses):  # one pretty-printed response per file, as an extractor saves it
+        with open(os.path.join(folder, f"news_{i}.json"), "w") as f:
+            json.dump(r, f, indent=2)
+    payloads = io.read_raw_json(spark, folder, schemas.NEWS_PAYLOAD, multi_line=True)
+    out = {r.url: r for r in RW.news_records(payloads).collect()}
+    assert set(out) == {"https://n/1", ""}
+    first = out["https://n/1"]
+    assert (first.title, first.source_name, first.search_query, first.content_snippet) == (
+        "First copy", "A", schemas.SEARCH_QUERIES[0], "c")
+    assert out[""].title == "No link" and out[""].search_query == schemas.SEARCH_QUERIES[1]
