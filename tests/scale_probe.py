@@ -59,6 +59,33 @@ def main(sf_dir: str = "/root/testdata/sf0.1", copies: int = 100) -> None:
     row = latest.select("ingested_at").first()
     assert str(row.ingested_at).startswith("2030-01-01"), row
     print("hot key resolved to", row.ingested_at)
+
+    # Text path: whole documents under new URLs, plus one URL re-ingested
+    # until it holds a third of the rows (a syndicated story).
+    from tidewatch.operators import sentiment as SN
+
+    news_copies = max(1, copies // 10)
+    raw_news = L.raw_news
+    wide_news = raw_news.select(
+        F.explode(F.sequence(F.lit(0), F.lit(news_copies - 1))).alias("k"), *raw_news.columns
+    ).withColumn("url", F.concat("url", F.lit("#"), F.col("k").cast("string"))).drop("k")
+    wide_news = materialise(wide_news, "probe-news")
+    n_news = wide_news.count()
+    hot_url = wide_news.where(F.col("title").isNotNull()).select("url").first().url
+    hot_news = wide_news.where(F.col("url") == hot_url).select(
+        F.explode(F.sequence(F.lit(1), F.lit(n_news // 2))).alias("i"), *[c for c in raw_news.columns]
+    ).withColumn("ingested_at", F.format_string("2030-01-01T00:00:00.%06d", F.col("i"))).drop("i")
+    news = materialise(wide_news.unionByName(hot_news), "probe-news-raw")
+    total_news = news.count()
+    text_bytes = news.agg(F.sum(F.length("title"))).first()[0]
+    print(f"raw news rows {total_news}, hot URL rows {n_news // 2} ({(n_news // 2) / total_news:.0%}), "
+          f"{text_bytes / 1e6:.0f} M characters")
+    t = time.perf_counter()
+    scored = materialise(SN.score_news(SV.clean_news(news)), "probe-news-silver")
+    print(f"news silver (dedup + whole-text scoring + write) {time.perf_counter() - t:.1f}s rows {scored.count()}")
+    hot = scored.where(F.col("url") == hot_url).select("ingested_at").first()
+    assert str(hot.ingested_at).startswith("2030-01-01"), hot
+    print("hot URL resolved to", hot.ingested_at)
     spark.stop()
 
 
