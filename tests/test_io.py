@@ -225,3 +225,23 @@ def test_landed_news_payload_files(spark, tmp_root):
     assert (first.title, first.source_name, first.search_query, first.content_snippet) == (
         "First copy", "A", schemas.SEARCH_QUERIES[0], "c")
     assert out[""].title == "No link" and out[""].search_query == schemas.SEARCH_QUERIES[1]
+
+
+def test_batch_stops_when_a_data_check_fails(spark, tmp_root):
+    L = Layers.from_testdata(spark, SF_SMALL)
+    root = f"file://{tmp_root}/lake"
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    P.run(spark, root, from_step="silver", strict=True)  # clean data: passes
+    # Corrupt the stored signals: an unknown label must stop the run at the quality step.
+    sig = P.read_signals(spark, root)
+    bad = sig.withColumn("market_signal", F.when(F.col("ticker") == sig.agg(F.min("ticker")).scalar(),
+                                                 F.lit("sideways")).otherwise(F.col("market_signal")))
+    side = f"file://{tmp_root}/bad_signals"  # written aside first: a path cannot be read and overwritten at once
+    io.write_clustered(bad, side)
+    spark.read.parquet(side).write.mode("overwrite").parquet(f"{root}/marts/fct_market_signals")
+    with pytest.raises(P.QualityError, match="accepted_values"):
+        P.run(spark, root, from_step="quality", strict=True)
+    report = spark.read.parquet(f"{root}/marts/quality_report")
+    assert report.where(~F.col("passed")).count() == 1  # the report is written before stopping
+    listing = P.run(spark, root, from_step="quality", strict=False)
+    assert listing.count() == 6

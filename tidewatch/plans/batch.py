@@ -170,10 +170,26 @@ def model_tables(spark: SparkSession, root: str, layout: str | Layout = "cluster
     }
 
 
-def quality_step(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
+class QualityError(RuntimeError):
+    """Raised after the report is written, when a declared check failed."""
+
+
+def quality_step(spark: SparkSession, root: str, layout: str | Layout = "clustered",
+                 strict: bool = True) -> DataFrame:
+    """Write the check report; with ``strict``, stop the batch if any check failed.
+
+    The report has one row per declared check, so reading its failures back
+    is bounded by the number of checks, not by the data.
+    """
     report = Q.quality_report(model_tables(spark, root, layout))
     io.write_flat(report.coalesce(1), _p(root, "marts", "quality_report"))
-    return spark.read.parquet(_p(root, "marts", "quality_report"))
+    stored = spark.read.parquet(_p(root, "marts", "quality_report"))
+    if strict:
+        failed = stored.where(~F.col("passed")).collect()
+        if failed:
+            names = ", ".join(f"{r.test_name}({r.model}.{r.column_name})={r.failures}" for r in failed)
+            raise QualityError(f"{len(failed)} data check(s) failed: {names}")
+    return stored
 
 
 def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
@@ -200,11 +216,12 @@ def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
 
 def run(spark: SparkSession, root: str, from_step: str | None = None,
         scorer_factory: Callable | None = None, layout: str = "clustered",
-        counts: RowCounts | None = None, buckets: int | None = None) -> DataFrame:
+        counts: RowCounts | None = None, buckets: int | None = None, strict: bool = True) -> DataFrame:
     """Run the steps from ``from_step`` on; returns the registered-table listing.
 
     Pass a ``RowCounts`` to get the rows read and written by each step
-    (``counts.result()`` after the run).
+    (``counts.result()`` after the run). With ``strict`` (default) a failed
+    data check stops the run after the quality step, with ``QualityError``.
     """
     prepare(spark)
     lay = Layout(spark, root, layout, buckets)
@@ -219,7 +236,7 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
         elif step == "marts":
             marts_step(spark, root, lay, counts)
         elif step == "quality":
-            quality_step(spark, root, lay)
+            quality_step(spark, root, lay, strict)
         elif step == "load":
             listing = load_step(spark, root, lay)
     return listing
@@ -239,12 +256,18 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--from", dest="from_step", choices=STEPS, default=None, help="start at this step")
     parser.add_argument("--layout", choices=LAYOUTS, default="clustered")
     parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
+    parser.add_argument("--no-strict", dest="strict", action="store_false",
+                        help="do not stop when a data check fails")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tidewatch-batch").getOrCreate()
     counts = RowCounts()
-    listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts,
-                  buckets=args.buckets)
+    try:
+        listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts,
+                      buckets=args.buckets, strict=args.strict)
+    except QualityError as e:
+        print(json.dumps({"rows": counts.result(), "failed": str(e)}))
+        return 1
     print(json.dumps({"rows": counts.result()}))
     if listing is not None:
         for r in listing.collect():  # one row per loaded table
