@@ -2,7 +2,7 @@
 
 ``Layers`` builds each table lazily from the raw DataFrames and memoises
 the DataFrame object (not its data), so one query plan refers to one
-subtree per table. Steps are plain function calls; ``pipeline`` writes the
+subtree per table. Steps are plain function calls; ``batch`` writes the
 same tables to storage and reads each back for the next step.
 """
 
