@@ -28,6 +28,7 @@ def _ticker(df: DataFrame, ticker: str | None) -> Column:
 
 # --- Q-1..Q-7: the assistant's facts and the overview tiles -----------------
 def overview(sig: DataFrame) -> DataFrame:
+    """Distinct tickers, first and last date, and row count."""
     return sig.agg(
         F.count_distinct("ticker").alias("ticker_count"),
         F.min("date").alias("first_date"),
@@ -37,30 +38,35 @@ def overview(sig: DataFrame) -> DataFrame:
 
 
 def signal_distribution(sig: DataFrame) -> DataFrame:
+    """Rows per market signal, most frequent first."""
     return sig.groupBy("market_signal").agg(F.count(F.lit(1)).alias("count")).orderBy(
         F.desc("count"), "market_signal"
     )
 
 
 def top_movers(sig: DataFrame, k: int = 5, gainers: bool = True) -> DataFrame:
+    """Top ``k`` gainers (or losers) on the latest date; NULL returns last."""
     latest = sig.where(F.col("date") == _latest_date(sig))
     key = F.desc_nulls_last("daily_return") if gainers else F.asc_nulls_last("daily_return")
     return latest.orderBy(key, "ticker").limit(k).select("ticker", "daily_return", "close", "market_signal")
 
 
 def top_sensitivity(sens: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` tickers most sensitive to news sentiment."""
     return sens.orderBy(F.desc_nulls_last("sentiment_sensitivity"), "ticker").limit(k).select(
         "ticker", "sentiment_sensitivity", "avg_return_bullish_news", "avg_return_bearish_news"
     )
 
 
 def latest_vix(sig: DataFrame) -> DataFrame:
+    """The most recent non-NULL VIX value (no row if there is none)."""
     return sig.where(F.col("vix_volatility_index").isNotNull()).orderBy(F.desc("date"), "ticker").limit(1).select(
         "vix_volatility_index"
     )
 
 
 def latest_divergences(sig: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` most recent days where price moved against the news."""
     return sig.where(F.col("sentiment_price_alignment") != "aligned").orderBy(F.desc("date"), "ticker").limit(k).select(
         "date", "ticker", "daily_return", "sentiment_ratio", "sentiment_price_alignment"
     )
@@ -68,14 +74,17 @@ def latest_divergences(sig: DataFrame, k: int = 10) -> DataFrame:
 
 # --- Q-8..Q-14: overview tab -------------------------------------------------
 def ticker_list(sig: DataFrame) -> DataFrame:
+    """Distinct tickers in order."""
     return sig.select("ticker").distinct().orderBy("ticker")
 
 
 def latest_date(sig: DataFrame) -> DataFrame:
+    """The latest trading date."""
     return sig.agg(F.max("date").alias("latest_date"))
 
 
 def latest_day_stats(sig: DataFrame) -> DataFrame:
+    """Average return, up and down counts and average VIX on the latest date."""
     latest = sig.where(F.col("date") == _latest_date(sig))
     return latest.agg(
         rnd(F.avg("daily_return"), 2).alias("avg_return"),
@@ -86,6 +95,7 @@ def latest_day_stats(sig: DataFrame) -> DataFrame:
 
 
 def direction_breakdown(sig: DataFrame) -> DataFrame:
+    """Rows per direction (Bullish, Bearish, Neutral) of the market signal."""
     return sig.groupBy(direction().alias("direction")).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -126,6 +136,7 @@ def ticker_history(sig: DataFrame, ticker: str | None = None) -> DataFrame:
 
 
 def ticker_latest(sig: DataFrame, ticker: str | None = None) -> DataFrame:
+    """The last row of one ticker."""
     rows = sig.where(F.col("ticker") == _ticker(sig, ticker))
     return rows.orderBy(F.desc("date")).limit(1).select(*TICKER_HISTORY_COLUMNS)
 
@@ -146,6 +157,7 @@ RANKING_COLUMNS = [
 
 
 def sensitivity_ranking(sens: DataFrame) -> DataFrame:
+    """All tickers by sentiment sensitivity, highest first."""
     return sens.select(*RANKING_COLUMNS).orderBy(F.desc_nulls_last("sentiment_sensitivity"), "ticker")
 
 
@@ -160,6 +172,7 @@ def top_side_returns(sens: DataFrame, column: str, k: int = 20) -> DataFrame:
 
 
 def divergences(sig: DataFrame) -> DataFrame:
+    """All divergence days, latest first, largest moves first within a day."""
     return (
         sig.where(F.col("sentiment_price_alignment") != "aligned")
         .select("date", "ticker", "daily_return", "sentiment_ratio", "market_signal", "sentiment_price_alignment")
@@ -225,6 +238,7 @@ def layer_date_range(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def daily_sentiment_summary(news_by_day: DataFrame) -> DataFrame:
+    """Article counts and sentiment ratio per publication date."""
     return news_by_day.select(
         "date", "news_article_count", "sentiment_ratio",
         "positive_news_count", "negative_news_count", "neutral_news_count",
