@@ -254,7 +254,8 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidewatch.plans.batch")
     parser.add_argument("root", help="lake root URI holding bronze/, silver/, gold/, marts/")
     parser.add_argument("--from", dest="from_step", choices=STEPS, default=None, help="start at this step")
-    parser.add_argument("--layout", choices=LAYOUTS, default="clustered")
+    parser.add_argument("--layout", choices=LAYOUTS, default="bucketed",
+                        help="per-ticker table layout (default: bucketed, reused partitioning)")
     parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
     parser.add_argument("--no-strict", dest="strict", action="store_false",
                         help="do not stop when a data check fails")
