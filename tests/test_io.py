@@ -245,3 +245,16 @@ def test_batch_stops_when_a_data_check_fails(spark, tmp_root):
     assert report.where(~F.col("passed")).count() == 1  # the report is written before stopping
     listing = P.run(spark, root, from_step="quality", strict=False)
     assert listing.count() == 6
+
+
+def test_command_line_runs_and_resumes(spark, tmp_root, capsys):
+    L = Layers.from_testdata(spark, SF_SMALL)
+    root = f"file://{tmp_root}/lake"
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    assert P.main([root, "--buckets", "4"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert lines[0]["rows"]["silver.stocks"] == L.silver_stocks.count()
+    assert {x["table_name"] for x in lines[1:]} >= {"fct_daily_market_summary", "fct_market_signals"}
+    assert P.main([root, "--buckets", "4", "--from", "marts"]) == 0
+    again = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert set(again[0]["rows"]) == {"marts.fct_market_signals", "marts.fct_weekly_summary"}
