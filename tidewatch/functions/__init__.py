@@ -1,0 +1 @@
+"""Column expressions: rounding, parsing, de-duplication, CASE-chain labels, the lexicon scorer."""

@@ -1,0 +1 @@
+"""DataFrame operators per layer: silver, sentiment, gold, marts, quality, size-checked joins."""

@@ -1,0 +1 @@
+"""Layer chain, the daily batch, dashboard reads, the query registry and its SQL oracle."""

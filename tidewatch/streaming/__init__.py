@@ -1,0 +1 @@
+"""Incremental silver tables from landing folders (Structured Streaming, availableNow)."""
