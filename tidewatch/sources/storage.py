@@ -99,7 +99,8 @@ def write_bucketed(df: DataFrame, path: str, table: str, buckets: int, by: str =
     """
     (
         df.repartition(buckets, F.col(by))
-        .write.mode("overwrite")
+        .write.format("parquet")
+        .mode("overwrite")
         .bucketBy(buckets, by)
         .sortBy(by, order)
         .option("path", path)
