@@ -171,3 +171,22 @@ def test_quality_counts_violations_like_the_data_tests(spark):
     assert out[("accepted_values", "sig", "volume_signal")] == (1, False)    # huge; NULL is not counted
     assert out[("not_null", "dim", "ticker")] == (2, False)
     assert out[("unique", "dim", "ticker")] == (2, False)                    # A and B repeat; NULLs ignored
+
+
+def test_concurrent_size_checks_and_join_small(spark):
+    big = spark.range(0, 2000).select((F.col("id") % 40).alias("k"), F.col("id"))
+    a = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+    b = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 3).alias("b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small_a, small_b = J.bounded_broadcasts([a, b], max_rows=100)   # both within the bound
+        over_a, over_b = J.bounded_broadcasts([a, b], max_rows=10)      # both beyond it
+        joined = big.join(small_a, "k", "left").join(small_b, "k", "left")
+        fallback = big.join(over_a, "k", "left").join(over_b, "k", "left")
+        assert joined._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
+        assert "BroadcastHashJoin" not in fallback._jdf.queryExecution().executedPlan().toString()
+        assert joined.exceptAll(fallback).count() == 0 and joined.count() == 2000
+        via_helper = J.join_small(big, a, "k", max_rows=100)
+        assert via_helper.where(F.col("a") == F.col("k") * 2).count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
