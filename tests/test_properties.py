@@ -73,3 +73,24 @@ def test_rolling_features_match_brute_force(spark, bars):
         else:
             prev_close = rows[i - 1][3]
             assert r.overnight_gap_pct == r4((rows[i][2] - prev_close) / prev_close * 100)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(min_value=0, max_value=400),
+                       st.one_of(st.none(), st.integers(min_value=-5, max_value=5))),
+             min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])),
+    st.sampled_from(["week", "month", "year"]),
+)
+def test_forward_fill_equals_one_window(spark, rows, unit):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidewatch.operators.silver import forward_fill
+
+    data = [(k, dt.date(2023, 1, 1) + dt.timedelta(days=d), None if v is None else float(v)) for k, d, v in rows]
+    df = spark.createDataFrame(data, "k string, d date, v double")
+    got = forward_fill(df, "k", "d", "v", F.trunc("d", unit))
+    w = Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("v", F.last("v", ignorenulls=True).over(w))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
