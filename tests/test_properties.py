@@ -94,3 +94,24 @@ def test_forward_fill_equals_one_window(spark, rows, unit):
     w = Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("v", F.last("v", ignorenulls=True).over(w))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+@SETTINGS
+@given(st.lists(
+    st.tuples(st.integers(min_value=0, max_value=19), st.integers(min_value=0, max_value=3),
+              st.lists(st.one_of(st.none(), st.sampled_from(["u1", "u2", "u3", "u4"])), min_size=1, max_size=5)),
+    min_size=1, max_size=8, unique_by=lambda t: (t[0], t[1])))
+def test_news_records_keep_first_url_in_request_order(spark, responses):
+    from tidewatch.sources import raw as RW
+
+    art = "struct<title:string,description:string,content:string,url:string,publishedAt:string,source:struct<name:string>>"
+    payloads = spark.createDataFrame(
+        [(q, p, [(f"{q}/{p}/{i}", None, None, u, "t", ("s",)) for i, u in enumerate(urls)]) for q, p, urls in responses],
+        f"query_pos bigint, page bigint, articles array<{art}>",
+    )
+    got = {r.url: r.title for r in RW.news_records(payloads).collect()}
+    want = {}
+    for q, p, urls in sorted(responses):  # requests in order; later repeats of a URL are skipped
+        for i, u in enumerate(urls):
+            want.setdefault(u if u is not None else "", f"{q}/{p}/{i}")
+    assert got == want
