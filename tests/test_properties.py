@@ -115,3 +115,36 @@ def test_news_records_keep_first_url_in_request_order(spark, responses):
         for i, u in enumerate(urls):
             want.setdefault(u if u is not None else "", f"{q}/{p}/{i}")
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=-20, max_value=20),
+                          st.integers(min_value=90, max_value=110), st.integers(min_value=90, max_value=110)),
+                min_size=1, max_size=25, unique_by=lambda t: t[0]))
+def test_weekly_rollup_across_the_year_boundary(spark, days):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tidewatch.operators.marts import weekly_summary
+
+    new_year = dt.date(2024, 1, 1)
+    rows = [("T", new_year + dt.timedelta(days=d), float(o), float(c)) for d, o, c in days]
+    df = spark.createDataFrame(rows, "ticker string, date date, open double, close double").selectExpr(
+        "*", "close as high", "open as low", "0.0 as daily_return", "1L as volume", "false as has_sentiment_data",
+        "cast(null as double) as sentiment_ratio", "0L as news_article_count", "'neutral' as market_signal",
+        "'normal_volume' as volume_signal", "'aligned' as sentiment_price_alignment",
+        "cast(null as double) as vix_volatility_index")
+    got = {r.week_start: r for r in weekly_summary(df).collect()}
+    weeks: dict = {}
+    for _, d, o, c in sorted(rows, key=lambda r: r[1]):
+        weeks.setdefault(d - dt.timedelta(days=d.weekday()), []).append((o, c))
+    assert set(got) == set(weeks)
+    for monday, bars in weeks.items():
+        r = got[monday]
+        first_open, last_close = bars[0][0], bars[-1][1]
+        assert (r.week_open, r.week_close, r.trading_days) == (first_open, last_close, len(bars))
+        pct = (last_close - first_open) / first_open * 100
+        label = ("strong_up_week" if pct > 2 else "up_week" if pct > 0.5 else "strong_down_week" if pct < -2
+                 else "down_week" if pct < -0.5 else "flat_week")
+        assert r.week_classification == label
+        want = float(Decimal(pct).quantize(Decimal("1e-10"), ROUND_HALF_UP).quantize(Decimal("1e-4"), ROUND_HALF_UP))
+        assert r.weekly_return_pct == want
