@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tidewatch.functions.exprs import dedup_latest, rnd
 from tidewatch.operators import gold as G
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 rows_st = st.lists(
     st.tuples(
@@ -148,3 +148,53 @@ def test_weekly_rollup_across_the_year_boundary(spark, days):
         assert r.week_classification == label
         want = float(Decimal(pct).quantize(Decimal("1e-10"), ROUND_HALF_UP).quantize(Decimal("1e-4"), ROUND_HALF_UP))
         assert r.weekly_return_pct == want
+
+
+def _r(x, places):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    q = Decimal(x).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+    return float(q.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=1, max_value=3),
+                          st.sampled_from(["positive", "negative", "neutral"]),
+                          st.integers(min_value=0, max_value=10000)), min_size=1, max_size=40))
+def test_daily_news_matches_brute_force(spark, rows):
+    from tidewatch.operators import gold as G
+
+    data = [(dt.date(2024, 1, d), lab, s / 10000) for d, lab, s in rows]
+    df = spark.createDataFrame(data, "date date, sentiment_label string, sentiment_score double")
+    got = {r.date: r for r in G.daily_news(df).collect()}
+    for day in {d for d, _, _ in data}:
+        todays = [(lab, s) for d, lab, s in data if d == day]
+        pos = [s for lab, s in todays if lab == "positive"]
+        neg = [s for lab, s in todays if lab == "negative"]
+        r = got[day]
+        assert r.news_article_count == len(todays)
+        assert r.sentiment_ratio == _r((len(pos) - len(neg)) / len(todays), 4)
+        assert r.avg_positive_strength == (_r(sum(pos) / len(pos), 4) if pos else None)
+        assert r.avg_negative_strength == (_r(sum(neg) / len(neg), 4) if neg else None)
+        assert r.neutral_news_count == len(todays) - len(pos) - len(neg)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=-5000, max_value=5000), st.integers(min_value=1, max_value=10**6)),
+                min_size=1, max_size=30))
+def test_dim_tickers_matches_brute_force(spark, bars):
+    import statistics
+
+    from tidewatch.operators import gold as G
+
+    rows = [("T", dt.date(2024, 1, 1) + dt.timedelta(days=i), 100.0 + i, r / 1000, v, None)
+            for i, (r, v) in enumerate(bars)]
+    df = spark.createDataFrame(rows, "ticker string, date date, close double, daily_return double, volume bigint, "
+                                     "sentiment_ratio double")
+    r = G.dim_tickers(df).first()
+    rets = [x[3] for x in rows]
+    assert r.avg_close == _r(statistics.fmean(x[2] for x in rows), 2)
+    assert r.avg_daily_return == _r(statistics.fmean(rets), 4)
+    assert r.volatility == (_r(statistics.stdev(rets), 4) if len(rets) > 1 else None)
+    assert r.avg_volume == int(_r(statistics.fmean(x[4] for x in rows), 0))
+    assert (r.trading_days, r.days_with_sentiment) == (len(rows), 0)
