@@ -198,3 +198,31 @@ def test_dim_tickers_matches_brute_force(spark, bars):
     assert r.volatility == (_r(statistics.stdev(rets), 4) if len(rets) > 1 else None)
     assert r.avg_volume == int(_r(statistics.fmean(x[4] for x in rows), 0))
     assert (r.trading_days, r.days_with_sentiment) == (len(rows), 0)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from([-0.5, -0.1, 0.0, 0.2, 1.0])),
+                          st.integers(min_value=-3000, max_value=3000)), min_size=1, max_size=30))
+def test_sensitivity_matches_brute_force(spark, days):
+    import statistics
+
+    from tidewatch.operators import gold as G
+
+    rows = [("T", dt.date(2024, 1, 1) + dt.timedelta(days=i), ratio, r / 1000) for i, (ratio, r) in enumerate(days)]
+    df = spark.createDataFrame(rows, "ticker string, date date, sentiment_ratio double, daily_return double")
+    got = G.sentiment_sensitivity(df).collect()
+    news_days = [(ratio, ret) for _, _, ratio, ret in rows if ratio is not None]
+    if not news_days:
+        assert got == []
+        return
+    r = got[0]
+
+    def avg(kind):
+        vals = [ret for ratio, ret in news_days if (ratio > 0, ratio < 0, ratio == 0)[kind]]
+        return _r(statistics.fmean(vals), 4) if vals else None
+
+    bull, bear, mixed = avg(0), avg(1), avg(2)
+    assert (r.avg_return_bullish_news, r.avg_return_bearish_news, r.avg_return_mixed_news) == (bull, bear, mixed)
+    assert r.sentiment_days == len(news_days)
+    assert r.sentiment_sensitivity == _r((bull or 0.0) - (bear or 0.0), 4)
+    assert r.worst_day == _r(min(ret for _, ret in news_days), 4)
