@@ -8,7 +8,7 @@ round(|p - n| / (p + n), 4), 0 when no token matched.
 On the JVM the counts are ``regexp_count`` of the listed words with no
 letter or digit on either side, which counts exactly those tokens without
 building a token array per text (measured ~20% faster than split + filter
-on whole documents). The pandas scorer splits into tokens; both must agree.
+on whole documents). The pandas scorer uses the same pattern; both must agree.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from tidewatch.functions.exprs import case_chain, col_, rnd
 POSITIVE_WORDS = ["the", "on", "en"]
 NEGATIVE_WORDS = ["of", "to", "er", "in"]
 
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 LABELS = ("positive", "negative", "neutral")
 
 
@@ -56,21 +55,25 @@ def directional(label: str | Column = "sentiment_label", score: str | Column = "
 
 
 def lexicon_score_pandas(texts, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS):
-    """The same rule over a pandas Series; the default scorer for ``mapInPandas``.
+    """The same rule in Python; the default scorer for ``mapInPandas``.
 
-    Returns (labels, scores) lists. Rounding goes through Decimal so that
-    ties follow the same half-away-from-zero rule as the JVM expression.
+    Counts whole-token matches with the same pattern as the JVM expression
+    (one C-level ``findall`` per text). Returns (labels, scores) lists.
+    Rounding goes through Decimal so that ties follow the same
+    half-away-from-zero rule as the JVM expression.
     """
     import regex
     from decimal import ROUND_HALF_UP, Decimal
 
-    splitter = regex.compile(TOKEN_SPLIT)
-    pos, neg = set(positive), set(negative)
+    def pattern(words: Sequence[str]):
+        alternatives = "|".join(regex.escape(w) for w in words)
+        return regex.compile(f"{WORD_EDGE_BEFORE}(?:{alternatives}){WORD_EDGE_AFTER}")
+
+    pos_re, neg_re = pattern(positive), pattern(negative)
     labels, scores = [], []
     for t in texts:
-        toks = splitter.split((t or "").lower())
-        p = sum(1 for x in toks if x in pos)
-        n = sum(1 for x in toks if x in neg)
+        low = (t or "").lower()
+        p, n = len(pos_re.findall(low)), len(neg_re.findall(low))
         labels.append("positive" if p > n else "negative" if n > p else "neutral")
         if p + n == 0:
             scores.append(0.0)
