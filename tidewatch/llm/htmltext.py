@@ -194,9 +194,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
              .select("page_id", "url", F.col("lines").alias("own"), _furniture_mask("lines", "other").alias("mask")))
     masks = materialise(masks, "page-furniture")
     lines = F.transform(F.filter("blocks", lambda b: ~b["sure"]), lambda b: b["line"])
-    out = parsed.withColumn("own", lines).join(masks, (
-        parsed["page_id"].eqNullSafe(masks["page_id"]) & (parsed["url"] == masks["url"]) & (F.col("own") == masks["own"])), "left").select(
-        parsed["page_id"], parsed["url"], "blocks", "mask")
+    out = parsed.withColumn("own", lines).alias("p").join(masks.alias("f"), (
+        F.col("p.page_id").eqNullSafe(F.col("f.page_id")) & (F.col("p.url") == F.col("f.url")) & (F.col("p.own") == F.col("f.own"))),
+        "left").select("p.page_id", "p.url", "p.blocks", "f.mask")
     # Number the open blocks in page order, then keep what is sure or not shared.
     numbered = F.transform("blocks", lambda b, i: F.struct(b["sure"].alias("sure"), b["line"].alias("line"), F.size(
         F.filter(F.slice("blocks", F.lit(1), i), lambda x: ~x["sure"])).alias("n")))
