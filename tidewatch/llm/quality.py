@@ -131,19 +131,19 @@ def _gain(p0: float, n0: float, p1: float, n1: float) -> float:
     return p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0))) if p1 and p0 else 0.0
 
 
-def learn(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> list[Rule]:
-    """Fit the list on documents of ``stats`` whose ``label`` is 0 (bad) or 1 (good).
+def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", text: str = "text") -> list[Rule]:
+    """Fit the list on documents whose ``label`` is 0 (bad) or 1 (good).
 
-    ``stats`` is the lazy output of ``statistics``; only the documents of the
-    labelled sample (at most ``MAX_TRAIN_ROWS`` labels, in hash order) are counted.
+    Only the documents of the labelled sample (at most ``MAX_TRAIN_ROWS``
+    labels, in hash order) are counted: they are picked before their statistics.
     """
     sample = (labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y"))
               .where("_id is not null and _y in (0, 1)")
               .groupBy("_id").agg(F.min("_y").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(MAX_TRAIN_ROWS))
-    rows = stats.join(F.broadcast(sample), F.col(doc_id) == F.col("_id"), "left_semi").select(
-        F.col(doc_id).alias("_id"), *(F.col("_q")[f].alias(f) for f in FEATURES))
-    rows = rows.join(F.broadcast(sample), "_id")
+    picked = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")
+    # Written first, so that statistics are computed for the sample only and by several tasks.
+    rows = statistics(materialise(picked, "quality-picked"), "_text").select("_id", "_y", *(F.col("_q")[f].alias(f) for f in FEATURES))
     table = materialise(rows.withColumn("_prune", F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(3)) == 0), "quality-sample")
     # The sample is bounded, so one task holds it.
     table = table.coalesce(1)
@@ -236,7 +236,6 @@ def base_failed() -> Column:
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           rules: list[Rule] | None = None) -> DataFrame:
     """``docs`` with ``_q`` (statistics), ``_rule``, ``_base_failed`` and ``_kept``."""
-    stats = statistics(docs, text)
-    rules = learn(stats, labels, doc_id) if rules is None else rules
-    return (stats.withColumn("_rule", rule_column(rules)).withColumn("_base_failed", base_failed())
+    rules = learn(docs, labels, doc_id, text=text) if rules is None else rules
+    return (statistics(docs, text).withColumn("_rule", rule_column(rules)).withColumn("_base_failed", base_failed())
             .withColumn("_kept", ~F.col("_base_failed") & F.col("_rule").isNull()))
