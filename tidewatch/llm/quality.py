@@ -69,22 +69,22 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             lambda i: F.xxhash64(*(F.get("_q_hash", i + k) for k in range(5)))))
         .otherwise(F.array().cast("array<bigint>"))))
 
-    def without(chars: str) -> Column:
-        return (F.length("_q_text") - F.length(F.translate("_q_text", chars, ""))).cast("long")
+    def count(pattern: str) -> Column:
+        return F.regexp_count("_q_text", F.lit(pattern)).cast("long")
 
     counts = F.struct(
         F.size("_q_words").cast("long").alias("n_words"),
-        F.length(F.translate("_q_text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        without("#*$%&|<>").alias("n_symbols"),
+        (F.length("_q_text") - count(WS)).cast("long").alias("word_chars"),
+        count("[#*$%&|<>]").alias("n_symbols"),
         (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col("_q_win")).cast("long").alias("n_repeat_words"),
         F.size("_q_lines").cast("long").alias("n_lines"),
         F.length("_q_text").cast("long").alias("n_chars_all"),
-        F.regexp_count("_q_text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-        without("0123456789").alias("n_digits"),
+        count(r"\p{Lu}").alias("n_upper"),
+        count("[0-9]").alias("n_digits"),
         F.size(F.array_distinct("_q_hash")).cast("long").alias("n_distinct"),
-        without("|").alias("n_pipes"),
-        without("!?;:").alias("n_marks"),
+        count(r"\|").alias("n_pipes"),
+        count("[!?;:]").alias("n_marks"),
         F.coalesce(F.array_max(F.transform("_q_words", lambda w: F.length(w))), F.lit(0)).cast("long").alias("longest_word"),
     )
     out = t.withColumn("_q", counts).drop("_q_text", "_q_words", "_q_lines", "_q_hash", "_q_win")
