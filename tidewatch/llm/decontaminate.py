@@ -245,6 +245,10 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c, pos = _normal(item)[0], np.frombuffer(pos, np.int64)
             r = np.frombuffer(region.encode("utf-32-le", "surrogatepass"), np.uint32)
             k = _budget(len(c))
+            whole = region.find(c.tobytes().decode("utf-32-le", "surrogatepass"))
+            if whole >= 0:  # aligns without an edit
+                out.append((doc, item_id, int(pos[whole]), int(pos[whole + len(c) - 1]) + 1, 0, len(c)))
+                continue
             edits, end = _align(c, r, k)
             if edits <= k and end > 0:
                 _, back = _align(c[::-1], r[:end][::-1], k)
