@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType
 
 from tidewatch.llm.common import ship
 from tidewatch.operators.joins import materialise
@@ -153,7 +154,7 @@ def _shared_lines(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-@F.pandas_udf("array<boolean>")
+@F.pandas_udf(ArrayType(BooleanType()))
 def _furniture_mask(mine: pd.Series, other: pd.Series) -> pd.Series:
     """For each open block: is it aligned with one of the partner page?"""
     out = []
