@@ -35,13 +35,19 @@ def lexicon_factory() -> Scorer:
     return lexicon_score_pandas
 
 
+# Windows that go through the model at once, whatever the texts' lengths.
+WINDOWS_PER_RUN = 32
+
+
 def _onnx_scorer(model_path: str, tokenizer_path: str, labels: tuple[str, ...], max_length: int) -> Scorer:
     """Build the scorer on the executor: one ONNX session and tokenizer per task.
 
     A text longer than the model's input length is split into consecutive
-    windows of ``max_length`` tokens; the logits of all its windows are
-    averaged, so the whole text is scored, not its first window. Label =
-    argmax, score = softmax probability of that label.
+    windows of ``max_length`` tokens, each with the tokenizer's start and end
+    tokens; the logits of all its windows are averaged, so the whole text is
+    scored, not its first window. At most ``WINDOWS_PER_RUN`` windows are in
+    memory as one model input. Label = argmax, score = softmax probability of
+    that label.
     """
     import numpy as np
     import onnxruntime as ort
@@ -50,27 +56,29 @@ def _onnx_scorer(model_path: str, tokenizer_path: str, labels: tuple[str, ...],
     session = ort.InferenceSession(model_path, providers=["CPUExecutionProvider"])
     names = {i.name for i in session.get_inputs()}
     tok = Tokenizer.from_file(tokenizer_path)
+    tok.no_padding()
+    tok.enable_truncation(max_length)  # what is cut off comes as overflowing windows
     pad = tok.token_to_id("[PAD]") or 0
 
-    def score(texts: list[str]) -> tuple[list[str], list[float]]:
-        windows, owner = [], []
-        for i, enc in enumerate(tok.encode_batch([t or "" for t in texts])):
-            ids = enc.ids or [pad]
-            for start in range(0, len(ids), max_length):
-                windows.append(ids[start:start + max_length])
-                owner.append(i)
+    def logits_of(windows: list[list[int]]):
         width = max(len(w) for w in windows)
         input_ids = np.full((len(windows), width), pad, dtype=np.int64)
         mask = np.zeros((len(windows), width), dtype=np.int64)
         for r, w in enumerate(windows):
             input_ids[r, : len(w)] = w
             mask[r, : len(w)] = 1
-        feeds = {"input_ids": input_ids}
-        if "attention_mask" in names:
-            feeds["attention_mask"] = mask
-        logits = session.run(None, feeds)[0]
-        sums = np.zeros((len(texts), logits.shape[1]))
-        np.add.at(sums, np.asarray(owner), logits)
+        feeds = {"input_ids": input_ids, "attention_mask": mask, "token_type_ids": np.zeros_like(input_ids)}
+        return session.run(None, {k: v for k, v in feeds.items() if k in names})[0]
+
+    def score(texts: list[str]) -> tuple[list[str], list[float]]:
+        windows, owner = [], []
+        for i, enc in enumerate(tok.encode_batch([t or "" for t in texts])):
+            parts = [e.ids for e in (enc, *enc.overflowing)]
+            windows += [ids or [pad] for ids in parts]
+            owner += [i] * len(parts)
+        sums = np.zeros((len(texts), len(labels)))
+        for at in range(0, len(windows), WINDOWS_PER_RUN):
+            np.add.at(sums, np.asarray(owner[at:at + WINDOWS_PER_RUN]), logits_of(windows[at:at + WINDOWS_PER_RUN]))
         mean = sums / np.bincount(owner, minlength=len(texts))[:, None]
         probs = np.exp(mean - mean.max(axis=1, keepdims=True))
         probs /= probs.sum(axis=1, keepdims=True)

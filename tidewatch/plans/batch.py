@@ -21,8 +21,8 @@ marts/fct_market_signals) use one of three layouts:
   gold window reads silver without a shuffle, and the per-ticker aggregates
   (dimension, sensitivity, weekly) read gold without one: the partitioning
   is paid once, at the silver write, and reused by every later stage. The
-  bucket spec lives in the session catalog; a new process declares the
-  table again over the same files.
+  bucket spec lives in the session catalog and, as a count, beside the files;
+  a new process declares the table again with that count.
 ``by_ticker``: one folder per ticker (directory pruning for one-ticker
   reads). Costs at least one file per ticker and write task, so it suits
   few, long tickers rather than many short ones.
@@ -69,9 +69,21 @@ class RowCounts(dict):
         self[name] = obs
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
+    def watch_raw(self, name: str, df: DataFrame) -> DataFrame:
+        """Counts landed records and those that could not be parsed."""
+        obs = Observation(name)
+        self[name] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          F.count(io.CORRUPT).alias("corrupt")).drop(io.CORRUPT)
+
     def result(self) -> dict[str, int]:
         return {k: int(v.get["rows"]) for k, v in self.items()}
 
+    def corrupt(self) -> dict[str, int]:
+        """Unparsable records by landed table, where there are any."""
+        found = {k: int(v.get.get("corrupt", 0)) for k, v in self.items()}
+        return {k: n for k, n in found.items() if n}
+
 
 class Layout:
     """How the per-ticker tables under ``root`` are written and read back."""
@@ -98,7 +110,7 @@ class Layout:
     def read(self, layer: str, table: str, schema=None) -> DataFrame:
         path = _p(self.root, layer, table)
         if self.kind == "bucketed":
-            return io.bucketed_table(self.spark, self.table_name(layer, table), path, self.buckets)
+            return io.bucketed_table(self.spark, self.table_name(layer, table), path)
         df = io.read_table(self.spark, path, schema)
         # Partition discovery would type number-like tickers as numbers.
         return df if schema is not None else df.withColumn("ticker", df["ticker"].cast("string"))
@@ -109,17 +121,25 @@ def _layout(spark: SparkSession, root: str, layout: str | Layout) -> Layout:
 
 
 def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None,
-                layout: str | Layout = "clustered", counts: RowCounts | None = None) -> None:
+                layout: str | Layout = "clustered", counts: RowCounts | None = None,
+                multi_line: bool = False) -> None:
+    """Bronze to silver. ``multi_line``: each landed file is one JSON array.
+
+    The macro forward fill reads its input in two jobs; ``bronze.fred`` counts the first.
+    """
     lay = _layout(spark, root, layout)
     counts = RowCounts() if counts is None else counts
-    raw_s = io.read_raw_json(spark, _p(root, "bronze", "stocks"), schemas.RAW_STOCKS)
-    raw_n = io.read_raw_json(spark, _p(root, "bronze", "news"), schemas.RAW_NEWS)
-    raw_m = io.read_raw_json(spark, _p(root, "bronze", "fred"), schemas.RAW_MACRO)
-    lay.write(SV.clean_stocks(counts.watch("bronze.stocks", raw_s)), "silver", "stocks", counts)
-    news = SV.clean_news(counts.watch("bronze.news", raw_n))
+
+    def raw(name: str, schema) -> DataFrame:
+        found = io.read_raw_json(spark, _p(root, "bronze", name), schema, multi_line, with_corrupt=True)
+        return counts.watch_raw(f"bronze.{name}", found)
+
+    raw_s, raw_n, raw_m = raw("stocks", schemas.RAW_STOCKS), raw("news", schemas.RAW_NEWS), raw("fred", schemas.RAW_MACRO)
+    lay.write(SV.clean_stocks(raw_s), "silver", "stocks", counts)
+    news = SV.clean_news(raw_n)
     scored = SN.score_news(news) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
     io.write_flat(counts.watch("silver.news", scored), _p(root, "silver", "news"))
-    macro = SV.macro_ffill(SV.clean_macro(counts.watch("bronze.fred", raw_m)))
+    macro = SV.macro_ffill(SV.clean_macro(raw_m))
     io.write_flat(counts.watch("silver.fred", macro), _p(root, "silver", "fred"))
 
 
@@ -216,9 +236,14 @@ def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
 
 def run(spark: SparkSession, root: str, from_step: str | None = None,
         scorer_factory: Callable | None = None, layout: str = "clustered",
-        counts: RowCounts | None = None, buckets: int | None = None, strict: bool = True) -> DataFrame:
+        counts: RowCounts | None = None, buckets: int | None = None, strict: bool = True,
+        multi_line: bool = False) -> DataFrame:
     """Run the steps from ``from_step`` on; returns the registered-table listing.
 
+    ``multi_line`` reads landed files that each hold one JSON array. Records
+    that cannot be parsed (also arrays read line by line) stop a strict run
+    after the silver step, with ``QualityError``.
+
     Pass a ``RowCounts`` to get the rows read and written by each step
     (``counts.result()`` after the run). With ``strict`` (default) a failed
     data check stops the run after the quality step, with ``QualityError``.
@@ -230,7 +255,9 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
     listing = None
     for step in STEPS[start:]:
         if step == "silver":
-            silver_step(spark, root, scorer_factory, lay, counts)
+            silver_step(spark, root, scorer_factory, lay, counts, multi_line)
+            if strict and (bad := counts.corrupt()):
+                raise QualityError("unparsable landed records: " + ", ".join(f"{k}={n}" for k, n in bad.items()))
         elif step == "gold":
             gold_step(spark, root, lay, counts)
         elif step == "marts":
@@ -243,7 +270,8 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m tidewatch.plans.batch ROOT [--from STEP] [--layout L] [--buckets N]``.
+    """``python -m tidewatch.plans.batch ROOT [--from STEP] [--layout L] [--buckets N]
+    [--multi-line] [--model M --tokenizer T]``.
 
     Runs the batch on the session ``spark-submit`` provides (or a local one)
     and prints the rows each step read and wrote, then the loaded tables.
@@ -257,15 +285,22 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--layout", choices=LAYOUTS, default="bucketed",
                         help="per-ticker table layout (default: bucketed, reused partitioning)")
     parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
+    parser.add_argument("--multi-line", action="store_true", help="landed files hold one JSON array each")
+    parser.add_argument("--model", help="exported ONNX classifier that scores the news (default: the lexicon rule)")
+    parser.add_argument("--tokenizer", help="tokenizer.json of the model")
+    parser.add_argument("--labels", default="positive,negative,neutral", help="the model's labels, in output order")
     parser.add_argument("--no-strict", dest="strict", action="store_false",
                         help="do not stop when a data check fails")
     args = parser.parse_args(argv)
+    if bool(args.model) != bool(args.tokenizer):
+        parser.error("--model and --tokenizer go together")
+    scorer = SN.onnx_factory(args.model, args.tokenizer, args.labels.split(",")) if args.model else None
 
     spark = SparkSession.builder.appName("tidewatch-batch").getOrCreate()
     counts = RowCounts()
     try:
-        listing = run(spark, args.root, from_step=args.from_step, layout=args.layout, counts=counts,
-                      buckets=args.buckets, strict=args.strict)
+        listing = run(spark, args.root, from_step=args.from_step, scorer_factory=scorer, layout=args.layout,
+                      counts=counts, buckets=args.buckets, strict=args.strict, multi_line=args.multi_line)
     except QualityError as e:
         print(json.dumps({"rows": counts.result(), "failed": str(e)}))
         return 1

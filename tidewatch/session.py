@@ -29,7 +29,7 @@ _local_fallback: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created under /tmp only if unset."""
+    """The shared checkpoint folder; one of our own only if unset and the master is local."""
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session has no SparkContext
@@ -40,6 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get(_CKPT_KEY, None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set and the master is {master or 'unknown'!r}: "
+                "name a folder there that the driver and all executors share")
         # Local runs only: a cluster sets spark.checkpoint.dir to shared storage.
         configured = _local_fallback.setdefault("dir", tempfile.mkdtemp(prefix="tidewatch-ckpt-"))
     if sc is None:

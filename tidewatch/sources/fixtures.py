@@ -22,8 +22,10 @@ FIXTURE_CTES: list[tuple[str, str]] = [
     (
         "px",
         """
-  select 'T' || lpad(cast(user_id as string), 6, '0') as ticker,
-         cast(ts as date) as d, event_id, value,
+  select 'T' || lpad(cast(user_id as string), cast(greatest(6, length(cast(user_id as string))) as int), '0') as ticker,
+         -- no trading on days 9, 10, 20 and 21: what happened then counts on the next trading day
+         cast(ts as date) + cast(case extract(day from ts) when 9 then 2 when 10 then 1 when 20 then 2 when 21 then 1
+                                      else 0 end as int) as d, event_id, value,
          cast(1000000 + (case when event_type in ('click','view') then 2
                               when event_type = 'purchase' then 1
                               else -2 end) * cast(round(value * 100) as bigint) as double) / 10000 as price
@@ -35,7 +37,7 @@ FIXTURE_CTES: list[tuple[str, str]] = [
   select ticker, d, min_by(price, event_id) as open, max(price) as high,
          min(price) as low, max_by(price, event_id) as close,
          cast(sum(cast(round(value * 100) as bigint)) as bigint) as volume
-  from px where extract(day from d) not in (9, 10, 20, 21)
+  from px
   group by ticker, d""",
     ),
     (
@@ -56,32 +58,53 @@ FIXTURE_CTES: list[tuple[str, str]] = [
               when extract(day from d) = 5 then '2024-02-01T06:00:00.000001'
               else '2024-02-03T06:00:00.000001' end
   from bars where extract(day from d) % 7 = 0 or extract(day from d) in (5, 11)""",
+    ),
+    (
+        # Every text is a headline; some documents come once more without one.
+        "titled",
+        """
+  select doc_id, 0 as again, source, text as title,
+         'https://news.example/' || cast(doc_id - (case when doc_id % 10 = 9 then 1 else 0 end) as string) as url
+  from {documents}
+  union all
+  select doc_id, 1, source, cast(null as string), 'https://news.example/' || cast(doc_id as string) || '/untitled'
+  from {documents} where doc_id % 97 = 0""",
     ),
     (
         "raw_news",
         """
-  select case when doc_id % 97 = 0 then cast(null as string) else text end as title,
-         cast(null as string) as description,
-         source as source_name,
-         'https://news.example/' || cast(doc_id - (case when doc_id % 10 = 9 then 1 else 0 end) as string) as url,
+  select title, cast(null as string) as description, source as source_name, url,
          cast(date '2024-01-01' + cast(
            case when doc_id % 50 = 0 then 20 + cast(floor(doc_id / 50) as int) % 7
                 when doc_id % 50 in (1, 2) then 15 + cast(floor(doc_id / 50) as int) % 5
-                else (doc_id * doc_id) % 14 end as int) as string) || 'T09:00:00Z' as published_at,
+                else ((doc_id % 14) * (doc_id % 14)) % 14 end as int) as string) || 'T09:00:00Z' as published_at,
          cast(null as string) as content_snippet,
          'query ' || cast(doc_id % 20 as string) as search_query,
          'synthetic' as source,
          case when doc_id % 10 = 9 then '2024-02-01T07:00:00.000001'
               else '2024-02-01T06:00:00.000001' end as ingested_at
-  from {documents}""",
+  from titled""",
     ),
     (
         "ev",
         """
-  select event_type, cast(ts as date) as d, extract(day from ts) as dd,
+  select event_type, d0 + cast(dd - d0_day as int) as d, dd,
          cast(sum(cast(round(value * 100) as bigint)) as double) / count(*) as a
-  from {events} where extract(day from ts) not in (16, 30)
-  group by event_type, cast(ts as date), extract(day from ts)""",
+  from (
+    -- series have no observation on some days: what happened then counts on a day that has one
+    select event_type, value, d0, d0_day,
+           case event_type
+                when 'click' then least(day, 29)
+                when 'view' then least(greatest(day, 3), 26)
+                       - (case least(greatest(day, 3), 26) % 7 when 6 then 1 when 0 then 2 else 0 end)
+                when 'purchase' then day - (case day % 7 when 6 then 1 when 0 then 2 else 0 end)
+                when 'error' then day - (1 - day % 2)
+                when 'signup' then (case when day <= 11 then 2 else 12 end)
+                else day end as dd
+    from (select event_type, value, cast(ts as date) as d0, extract(day from ts) as d0_day,
+                 case extract(day from ts) when 16 then 15 when 30 then 29 else extract(day from ts) end as day
+          from {events}) e) m
+  group by event_type, d0 + cast(dd - d0_day as int), dd""",
     ),
     (
         "macro",
@@ -96,12 +119,10 @@ FIXTURE_CTES: list[tuple[str, str]] = [
                                    when 'T10Y2Y' then a when 'DGS10' then a * 8 when 'UNRATE' then a * 8
                                    else a * 600 end) as bigint) as v
   from (select *,
-               case when event_type = 'click' and dd <= 29 then 'DFF'
-                    when event_type = 'view' and dd between 3 and 28 and dd % 7 not in (6, 0) then 'VIXCLS'
-                    when event_type = 'purchase' and dd % 7 not in (6, 0) then 'T10Y2Y'
-                    when event_type = 'error' and dd % 2 = 1 then 'DGS10'
+               case when event_type = 'click' then 'DFF' when event_type = 'view' then 'VIXCLS'
+                    when event_type = 'purchase' then 'T10Y2Y' when event_type = 'error' then 'DGS10'
                     when event_type = 'signup' and dd = 2 then 'UNRATE'
-                    when event_type = 'signup' and dd = 12 then 'CPIAUCSL' end as series_id
+                    when event_type = 'signup' then 'CPIAUCSL' end as series_id
         from ev) t
   where series_id is not null""",
     ),
@@ -121,7 +142,7 @@ PAYLOAD_CTES: list[tuple[str, str]] = [
     (
         "price_history",
         """
-  select 'T' || lpad(cast(user_id as string), 6, '0') as ticker,
+  select 'T' || lpad(cast(user_id as string), cast(greatest(6, length(cast(user_id as string))) as int), '0') as ticker,
          cast(cast(ts as date) as timestamp) as day_ts,
          90 + min_by(value, event_id) / 7 as open_px,
          90 + max(value) / 7 as high_px,
@@ -130,28 +151,22 @@ PAYLOAD_CTES: list[tuple[str, str]] = [
          -- exact in binary (integer sum + 0.25), so truncation agrees across engines
          cast(sum(cast(round(value * 1000) as bigint)) as double) + 0.25 as volume_raw
   from {events}
-  group by 'T' || lpad(cast(user_id as string), 6, '0'), cast(cast(ts as date) as timestamp)""",
+  group by 'T' || lpad(cast(user_id as string), cast(greatest(6, length(cast(user_id as string))) as int), '0'), cast(cast(ts as date) as timestamp)""",
     ),
     (
         "news_articles",
         """
-  select doc_id % 20 as query_pos, cast(floor(doc_id / 200) as bigint) as page, doc_id as article_key,
-         case when doc_id % 97 = 0 then cast(null as string) else text end as title,
-         cast(null as string) as description,
-         cast(null as string) as content,
-         case when doc_id % 13 = 0 then cast(null as string)
-              else 'https://news.example/' || cast(doc_id - (case when doc_id % 10 = 9 then 1 else 0 end) as string)
-         end as url,
-         cast(date '2024-01-01' + cast((doc_id * doc_id) % 28 as int) as string) || 'T08:30:00Z' as published_at,
+  select doc_id % 20 as query_pos, cast(floor(doc_id / 200) as bigint) as page, doc_id * 2 + again as article_key,
+         title, cast(null as string) as description, cast(null as string) as content,
+         case when doc_id % 13 = 0 then cast(null as string) else url end as url,
+         cast(date '2024-01-01' + cast(((doc_id % 28) * (doc_id % 28)) % 28 as int) as string) || 'T08:30:00Z' as published_at,
          source as source_name
-  from {documents}""",
+  from titled""",
     ),
     (
-        "macro_obs",
+        "macro_days",
         """
-  select series_id, obs_date,
-         case when extract(day from obs_date) % 11 = 0 then cast('NaN' as double)
-              else avg(value) / 3 end as value
+  select series_id, obs_date, avg(value) / 3 as value
   from (select case event_type when 'click' then 'DFF' when 'view' then 'VIXCLS'
                                when 'purchase' then 'T10Y2Y' when 'error' then 'DGS10'
                                else 'UNRATE' end as series_id,
@@ -159,6 +174,14 @@ PAYLOAD_CTES: list[tuple[str, str]] = [
         from {events}) o
   group by series_id, obs_date""",
     ),
+    (
+        "macro_obs",
+        """
+  select series_id, obs_date, value from macro_days
+  union all
+  -- days on which an empty observation was sent as well
+  select series_id, obs_date, cast('NaN' as double) from macro_days where extract(day from obs_date) % 11 = 0""",
+    ),
 ]
 
 SOURCE_TABLES = ("events", "documents")
@@ -212,7 +235,8 @@ def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Shaped like the search API's JSON: ``articles`` is an array of structs
     with a nested ``source.name``. A page holds the documents of one residue
-    class in a block of 200 ids, so its size is fixed (ten) by construction.
+    class in a block of 200 ids (ten, and the few that come again untitled),
+    so its size is bounded by construction.
     """
     from pyspark.sql import functions as F
 

@@ -16,14 +16,23 @@ from pyspark.sql import types as T
 
 
 # --- sources -----------------------------------------------------------------
-def read_raw_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False,
+                  with_corrupt: bool = False) -> DataFrame:
     """Raw JSON records with an explicit schema (no inference pass).
 
     ``multi_line=True`` reads files that each hold one JSON array (the
     extractors' format); the default reads newline-delimited JSON, which
-    splits across tasks.
+    splits across tasks. ``with_corrupt=True`` adds the text of records that
+    cannot be parsed as ``_corrupt_record``, so the caller can count them.
     """
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    reader = spark.read.option("multiLine", multi_line)
+    if with_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(schema).json(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -106,19 +115,49 @@ def write_bucketed(df: DataFrame, path: str, table: str, buckets: int, by: str =
         .option("path", path)
         .saveAsTable(table)
     )
+    df.sparkSession.range(1).select(F.lit(buckets).cast("int").alias("buckets")).coalesce(1).write.mode("overwrite").json(
+        _bucket_mark(path))
 
 
-def bucketed_table(spark: SparkSession, table: str, path: str, buckets: int, by: str = "ticker",
-                   order: str = "date") -> DataFrame:
-    """The bucketed table ``table``; declared over the files at ``path`` if the
-    session's catalog does not know it (a new process resuming the batch)."""
-    if not spark.catalog.tableExists(table):
-        fields = spark.read.parquet(path).schema.fields
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{by}`) "
-            f"SORTED BY (`{by}`, `{order}`) INTO {buckets} BUCKETS LOCATION '{path}'"
-        )
+def _bucket_mark(path: str) -> str:
+    """Where the bucket count of the table at ``path`` is kept (a hidden folder of its layer)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_buckets/{name}"
+
+
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The bucket count that the table at ``path`` was written with, if it is known."""
+    try:
+        return spark.read.schema("buckets int").json(_bucket_mark(path)).first()["buckets"]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
+
+
+def bucketed_table(spark: SparkSession, table: str, path: str, by: str = "ticker", order: str = "date") -> DataFrame:
+    """The bucketed table ``table`` over the files at ``path``.
+
+    A session that does not know the table, or knows it with another bucket
+    count, declares it with the count kept beside the files: with any other
+    count Spark would skip files or look for keys in the wrong ones. Files
+    without a known count are read as plain Parquet.
+    """
+    written = bucket_count(spark, path)
+    if written is None:
+        return spark.read.parquet(path)
+    if spark.catalog.tableExists(table):
+        declared = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+        if declared is not None and int(declared["data_type"]) == written:
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
+    fields = spark.read.parquet(path).schema.fields
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{by}`) "
+        f"SORTED BY (`{by}`, `{order}`) INTO {written} BUCKETS LOCATION '{path}'"
+    )
     return spark.table(table)
 
 
