@@ -350,6 +350,21 @@ def test_main_text_of_articles(spark):
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
 
 
+def test_scripts_do_not_swallow_the_page():
+    page = ("""<p>A</p><script>for(i=0;i<n;i++){s='it"s'}</script><p>B</p><style>a<b>"c{}</STYLE ><p>C</p>"""
+            "<textarea><p>T</p></textarea><p>D<script src=x /> E</p><script>var open='")
+    assert [line for _, line in htmltext._blocks(page)] == ["A", "B", "C", "D E"]
+
+
+def test_shared_lines_of_very_long_pages():
+    a = [f"line {i % 9973}" for i in range(30_000)]
+    b = ["x", *a[:12_000], "y", *a[12_500:]]
+    hit = sorted(htmltext._shared_lines(a, b))
+    assert len(hit) >= 29_500
+    it = iter(b)
+    assert all(any(a[i] == y for y in it) for i in hit)
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rnd = random.Random(19)
     for _ in range(200):

@@ -23,6 +23,8 @@ columns are not read.
 from __future__ import annotations
 
 import html as _html
+import itertools
+import math
 import re
 from collections.abc import Iterator
 
@@ -47,6 +49,7 @@ _FURNITURE = re.compile(
     r"complementary|contentinfo|copyright)(?:$|[\s_-])", re.I)
 # Elements by what they hold.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "object"}
+_RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])[^>]*(?:>|\Z)", re.I) for tag in _RAW}
 _DROP = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "head"}
 _MAIN = {"article", "main"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
@@ -60,7 +63,7 @@ def _blocks(page: str) -> list[tuple[bool, str]]:
     words: list[str] = []
     stack: list[tuple[str, int, int]] = []  # tag, furniture elements and main elements it opens
     furniture = main = 0
-    raw = ""
+    at = 0  # up to here the page has been read; what a raw element holds is skipped unread
 
     def close() -> None:
         text = " ".join(_html.unescape("".join(words)).split())
@@ -68,23 +71,21 @@ def _blocks(page: str) -> list[tuple[bool, str]]:
         if text:
             out.append((main > 0, text))
 
-    for token in _TOKEN.finditer(page):
-        t = token[0]
+    while token := _TOKEN.match(page, at):
+        t, at = token[0], token.end()
         if t[0] != "<" or t == "<":
-            if not raw and not furniture:
+            if not furniture:
                 words.append(t)
             continue
         m = _TAG.match(t)
         if not m:
             continue
         end, tag, rest = m[1], m[2].lower(), m[3]
-        if raw:
-            if end and tag == raw:
-                raw = ""
-            continue
         if tag in _RAW and not end:
+            # A script may hold "<", quotes and what looks like tags: only its own end tag counts.
             if not rest.rstrip().endswith("/"):
-                raw = tag
+                over = _RAW_END[tag].search(page, at)
+                at = over.end() if over else len(page)
             continue
         if tag not in _INLINE:
             close()
@@ -116,41 +117,70 @@ def _blocks(page: str) -> list[tuple[bool, str]]:
     return out
 
 
-_PARSED = "page_id long, url string, blocks array<struct<sure:boolean,line:string>>"
+_PARSED = "page_id long, url string, blocks array<struct<sure:boolean,line:string,n:int>>"
+
+
+def _numbered(blocks: list[tuple[bool, str]]) -> list[dict]:
+    """The blocks, each with the number of open ones before it."""
+    before = itertools.accumulate((not sure for sure, _ in blocks), initial=0)
+    return [{"sure": sure, "line": line, "n": n} for (sure, line), n in zip(blocks, before)]
 
 
 def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        frame["blocks"] = [[{"sure": s, "line": x} for s, x in _blocks(p)] if p else [] for p in frame["html"].where(frame["html"].notna(), None)]
+        frame["blocks"] = [_numbered(_blocks(p)) if p else [] for p in frame["html"].where(frame["html"].notna(), None)]
         yield frame[["page_id", "url", "blocks"]].astype({"page_id": "Int64"})
 
 
+def _lcs_rows(x: list[str], places: dict[str, int], full: int, row: int) -> Iterator[int]:
+    """Rows of the bit-parallel LCS table: a zero bit where the length grows by one."""
+    for v in x:
+        hit = row & places[v]
+        row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
 def _shared_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``."""
+    """Places in ``a`` of a longest common subsequence with ``b``.
+
+    Rows of the table are bit sets, and only every n-th row is kept (n is the
+    root of their number); the rows between are made again on the way back. So
+    pages of very many lines need little memory.
+    """
     lo = 0
     while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
         lo += 1
     out = set(range(lo))
-    x, y = a[lo:], b[lo:]
+    y = b[lo:]
     common = set(y)
-    x = [(i + lo, v) for i, v in enumerate(x) if v in common]
+    x = [(i + lo, v) for i, v in enumerate(a[lo:]) if v in common]
     have = {v for _, v in x}
     y = [v for v in y if v in have]
-    rows = [[0] * (len(y) + 1)]
-    for _, v in x:
-        prev, now = rows[-1], [0]
-        for j, w in enumerate(y):
-            now.append(prev[j] + 1 if v == w else max(prev[j + 1], now[j]))
-        rows.append(now)
-    i, j = len(x), len(y)
-    while i and j:
-        if x[i - 1][1] == y[j - 1]:
-            out.add(x[i - 1][0])
-            i, j = i - 1, j - 1
-        elif rows[i - 1][j] >= rows[i][j - 1]:
-            i -= 1
-        else:
-            j -= 1
+    places = dict.fromkeys(have, 0)
+    for j, v in enumerate(y):
+        places[v] |= 1 << j
+    full = (1 << len(y)) - 1
+    step = math.isqrt(len(x)) + 1
+    lines = [v for _, v in x]
+    kept = [full]
+    for start in range(0, len(x), step):
+        row = kept[-1]
+        for row in _lcs_rows(lines[start: start + step], places, full, row):
+            pass
+        kept.append(row)
+    j = len(y)
+    for part in range(len(kept) - 2, -1, -1):
+        start = part * step
+        rows = [kept[part], *_lcs_rows(lines[start: start + step], places, full, kept[part])]
+        i = len(rows) - 1
+        while i and j:
+            if rows[i] >> (j - 1) & 1:  # no longer with the last line of b
+                j -= 1
+            elif not rows[i - 1] >> (j - 1) & 1:  # no longer with this line of a
+                i -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.add(x[start + i][0])
     return out
 
 
@@ -198,9 +228,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     out = parsed.withColumn("own", lines).alias("p").join(masks.alias("f"), (
         F.col("p.page_id").eqNullSafe(F.col("f.page_id")) & (F.col("p.url") == F.col("f.url")) & (F.col("p.own") == F.col("f.own"))),
         "left").select("p.page_id", "p.url", "p.blocks", "f.mask")
-    # Number the open blocks in page order, then keep what is sure or not shared.
-    numbered = F.transform("blocks", lambda b, i: F.struct(b["sure"].alias("sure"), b["line"].alias("line"), F.size(
-        F.filter(F.slice("blocks", F.lit(1), i), lambda x: ~x["sure"])).alias("n")))
+    # What is sure or not shared stays.
     kept = F.when(F.col("mask").isNull(), F.col("blocks")["line"]).otherwise(F.transform(F.filter(
-        numbered, lambda b: b["sure"] | ~F.get("mask", b["n"])), lambda b: b["line"]))
+        "blocks", lambda b: b["sure"] | ~F.get("mask", b["n"])), lambda b: b["line"]))
     return out.select("page_id", "url", F.array_join(kept, "\n").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
