@@ -6,6 +6,7 @@ layer chain up to what it reads. Nothing is collected here.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,10 @@ LOOKBACK_AS_OF = "2024-01-20"
 UNIVERSE = [f"T{i:06d}" for i in range(55)]
 
 
+# Buckets of the bucketed round trip.
+ROUNDTRIP_BUCKETS = 16
+
+
 def _price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return RW.price_records(fixtures.raw_table(spark, sf_dir, "price_history"))
@@ -95,14 +100,30 @@ def _roundtrip_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_table(spark, path, schemas.SILVER_STOCKS)
 
 
-def _roundtrip_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _roundtrip_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = Layers.from_testdata(spark, sf_dir)
+    path = scratch_path(spark, "silver-bucketed")
+    table = "silver_" + uuid.uuid4().hex
+    io.write_bucketed(L.silver_stocks, path, table, ROUNDTRIP_BUCKETS)
+    spark.sql(f"DROP TABLE {table}")  # an external table: its files stay, as for a new session
+    return io.bucketed_table(spark, table, path)
+
+
+def _gold_tables(spark: SparkSession, sf_dir: str) -> list[str]:
+    L = Layers.from_testdata(spark, sf_dir, shared=True)
     root = scratch_path(spark, "gold")
     io.write_partitioned(L.gold, f"{root}/fct_daily_market_summary")
     io.write_flat(L.dim_tickers, f"{root}/dim_tickers")
     io.write_flat(L.sensitivity, f"{root}/fct_sentiment_sensitivity")
-    names = io.register_tables(spark, root, P.GOLD_TABLES)
-    return io.table_listing(spark, names)
+    return io.register_tables(spark, root, P.GOLD_TABLES)
+
+
+def _roundtrip_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return io.table_listing(spark, _gold_tables(spark, sf_dir))
+
+
+def _table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return io.column_listing(spark, _gold_tables(spark, sf_dir))
 
 
 def _layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +144,9 @@ QUERIES: dict[str, Query] = {
     # storage round trips
     "roundtrip_json": _roundtrip_json,
     "roundtrip_partitioned": _roundtrip_partitioned,
+    "roundtrip_bucketed": _roundtrip_bucketed,
     "roundtrip_tables": _roundtrip_tables,
+    "table_catalog": _table_catalog,
     "layer_inventory": _layer_inventory,
     "table_preview": _on(lambda L: R.preview(L.dim_tickers, ["ticker"], 3)),
     # silver

@@ -189,6 +189,20 @@ def table_listing(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     return out
 
 
+def column_listing(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """Columns of registered tables: place, name, type and number of values; one pass per table."""
+    out = None
+    for name in names:
+        df = spark.table(name)
+        columns = F.array(*(F.struct(
+            F.lit(i).cast("long").alias("position"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"), F.count(F.col(f"`{f.name}`")).alias("value_count"))
+            for i, f in enumerate(df.schema.fields, 1)))
+        part = df.agg(columns.alias("c")).select(F.lit(name).alias("table_name"), F.inline("c"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def layer_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Files and bytes per (layer, table) under ``root/<layer>/<table>/…``.
 
