@@ -11,8 +11,10 @@ needed to name them, and after each step only suffixes whose rank is shared
 are kept: all others can start no repeated run. The doubling is run up to
 ``min_lines``; the intervals of that depth hold every copy of every repeated
 run of at least ``min_lines`` lines, and longer (maximal) runs are the chains
-of consecutive suffixes in such intervals. In each interval the first
-suffix (by doc_id, then line) is the original; the lines of all others go.
+of consecutive suffixes in such intervals. A line of at least ``long_words``
+words is a passage by itself: its run may be one line long, so its interval is
+taken at depth one. In each interval the first suffix (by doc_id, then line) is
+the original; the lines of all others go.
 
 Defined results: a null or empty text has no lines and stays as it is; rows
 that repeat a doc_id with the same text get the same result, and rows that
@@ -25,10 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import text_of
+from tidewatch.llm.common import WORD, let, prefix_sums, text_of
 from tidewatch.operators.joins import materialise
 
 MIN_LINES = 2
+LONG_WORDS = 50  # a line of so many words is a repeated run by itself
 
 _KEY = ["_d", "_h"]
 
@@ -50,14 +53,26 @@ def _shared(ranks: DataFrame) -> DataFrame:
     return ranks.join(first, "rank")
 
 
-def repeated_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                      min_lines: int = MIN_LINES) -> DataFrame:
-    """(_d, _h, pos) of the suffixes whose first ``min_lines`` lines have an earlier copy."""
+def _later(shared: DataFrame, n: int) -> DataFrame:
+    """Where a later copy of ``n`` lines starts."""
+    return shared.where(F.struct("_d", "_h", "pos") > F.col("first")).select(*_KEY, "pos", F.lit(n).alias("n"))
+
+
+def _is_long(line: Column, words: int) -> Column:
+    """Has the line at least ``words`` words? Only lines of enough characters are counted."""
+    return (F.length(line) >= 2 * words - 1) & (F.regexp_count(line, F.lit(WORD)) >= words)
+
+
+def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                  min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
+    """(_d, _h, pos, n): the ``n`` worded lines from ``pos`` on have an earlier copy."""
     lines = _keyed(docs, doc_id, text).select(*_KEY, F.filter(F.split(text_of(text), "\n"), _has_word).alias("l"))
-    ranks = lines.select(*_KEY, F.posexplode(F.transform("l", lambda x: F.xxhash64(x))).alias("pos", "rank"))
+    ranks = lines.select(*_KEY, F.posexplode("l").alias("pos", "line")).select(
+        *_KEY, "pos", F.xxhash64("line").alias("rank"), _is_long(F.col("line"), long_words).alias("long"))
     # Repeated rows are one document here.
     ranks = materialise(ranks.dropDuplicates([*_KEY, "pos"]), "line-ranks")
     shared = materialise(_shared(ranks), "line-shared")
+    passages = _later(shared.where("long"), 1)
     depth = 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)
@@ -66,28 +81,28 @@ def repeated_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         longer = here.join(ahead, [*_KEY, "pos"]).select(*_KEY, "pos", F.xxhash64("rank", "next").alias("rank"))
         depth += step
         shared = materialise(_shared(longer), "line-shared")
-    return shared.where(F.struct("_d", "_h", "pos") > F.col("first")).select(*_KEY, "pos")
+    return _later(shared, depth).union(passages)
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
+                long_words: int = LONG_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from ``text``.
 
     Adds ``_n_lines`` (lines with a word) and ``_n_deleted``.
     """
-    gone = (repeated_suffixes(docs, doc_id, text, min_lines)
-            .groupBy(*_KEY).agg(F.collect_set("pos").alias("_starts")))
+    gone = (repeated_runs(docs, doc_id, text, min_lines, long_words)
+            .groupBy(*_KEY).agg(F.collect_set(F.struct("pos", "n")).alias("_runs")))
     out = _keyed(docs, doc_id, text).join(gone, _KEY, "left")
     out = out.withColumn("_lines", F.split(text_of(text), "\n"))
     # Rank of each worded line, and which of them a deleted run covers.
     worded = F.transform("_lines", lambda x: _has_word(x).cast("int"))
     out = out.withColumn("_n_lines", F.aggregate(worded, F.lit(0), lambda a, x: a + x).cast("long"))
-    starts = F.array_sort(F.col("_starts"))
-    # Deleted line numbers, run by run, each once.
-    out = out.withColumn("_gone", F.when(F.col("_starts").isNotNull(), F.array_distinct(F.flatten(F.transform(
-        starts, lambda s: F.sequence(s, s + min_lines - 1))))))
+    # Deleted line numbers, each once.
+    out = out.withColumn("_gone", F.when(F.col("_runs").isNotNull(), F.array_sort(F.array_distinct(F.flatten(F.transform(
+        "_runs", lambda r: F.sequence(r["pos"], r["pos"] + r["n"] - 1)))))))
     out = out.withColumn("_n_deleted", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
     kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(_rebuilt(F.col("_lines"), F.col("_gone")))
-    return out.withColumn(text, kept).drop("_lines", "_starts", "_gone", *_KEY)
+    return out.withColumn(text, kept).drop("_lines", "_runs", "_gone", *_KEY)
 
 
 def _rebuilt(lines: Column, gone: Column) -> Column:
@@ -99,7 +114,6 @@ def _rebuilt(lines: Column, gone: Column) -> Column:
     # A mask over worded lines: 1 at deleted numbers, made by filling the gaps between them.
     gaps = F.transform(gone, lambda g, i: g - F.when(i == 0, F.lit(-1)).otherwise(F.get(gone, i - 1)) - 1)
     mask = F.concat(F.flatten(F.transform(gaps, lambda n: F.concat(F.array_repeat(F.lit(0), n), F.array(F.lit(1))))))
-    from tidewatch.llm.common import let, prefix_sums
 
     def walk(m: Column) -> Column:
         number = prefix_sums(F.transform(lines, lambda x: _has_word(x).cast("long")))

@@ -99,8 +99,12 @@ w as (
   from l where regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 later as (
   select doc_id, pos, row_number() over (partition by line, next order by doc_id, pos) as copy from w where next is not null),
+passages as (
+  select doc_id, pos, row_number() over (partition by line order by doc_id, pos) as copy
+  from w where len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 50),
 gone as (
-  select doc_id, pos from later where copy > 1 union select doc_id, pos + 1 from later where copy > 1),
+  select doc_id, pos from later where copy > 1 union select doc_id, pos + 1 from later where copy > 1
+  union select doc_id, pos from passages where copy > 1),
 marked as (
   select l.doc_id, l.line, l.i, w.pos, g.pos as gone
   from l left join w on l.doc_id = w.doc_id and l.i = w.i left join gone g on w.doc_id = g.doc_id and w.pos = g.pos)
