@@ -22,10 +22,10 @@ turn is never linked. Further columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import text_of
+from tidewatch.llm.common import let, text_of
 from tidewatch.operators.joins import materialise
 
 # The marks at the start of a line, at most this many levels are told apart.
@@ -56,11 +56,12 @@ def links(messages: DataFrame) -> DataFrame:
     # Number the passages of a message: a new one begins where the level changes.
     before = every.select("conv_id", "turn", (F.col("n") + 1).alias("n"), F.col("level").alias("prev"))
     marked = every.distinct().join(before.distinct(), ["conv_id", "turn", "n"], "left")
-    starts = marked.where("level > 0 and (prev is null or prev != level)").select("conv_id", "turn", F.col("n").alias("start"), "level").distinct()
-    quoted = marked.where("level > 0").select("conv_id", "turn", "n", "level", "h").distinct()
-    passage = (quoted.join(starts, ["conv_id", "turn", "level"]).where("start <= n")
-               .groupBy("conv_id", "turn", "level", "n", "h").agg(F.max("start").alias("start")))
-    wanted = quoted.select("conv_id", "h").distinct()
+    # A window holds the quoted lines of one message and level, so it is no larger than a row's text.
+    upto = Window.partitionBy("conv_id", "turn", "level").orderBy("n").rangeBetween(Window.unboundedPreceding, 0)
+    passage = marked.where("level > 0").withColumn(
+        "start", F.max(F.when(F.col("prev").isNull() | (F.col("prev") != F.col("level")), F.col("n"))).over(upto)).select(
+        "conv_id", "turn", "level", "n", "h", "start").distinct()
+    wanted = passage.select("conv_id", "h").distinct()
     first = (lines(messages).where("level = 0").join(wanted, ["conv_id", "h"], "left_semi")
              .groupBy("conv_id", "h").agg(F.min("turn").alias("original")))
     votes = (passage.join(first, ["conv_id", "h"]).where("original < turn")
@@ -75,7 +76,6 @@ def without_quotes(text: Column) -> Column:
     def kept(arr: Column) -> Column:
         return F.filter(arr, lambda x, i: (_level(x) == 0) & ~(x.rlike("(?i)" + _ANNOUNCES) & F.coalesce(_level(F.get(arr, i + 1)) > 0, F.lit(False))))
 
-    from tidewatch.llm.common import let
     whole = let(F.split(text, "\n"), lambda arr: F.array_join(kept(arr), "\n"))
     return F.when(text.rlike(r"(?m)" + _MARKS), F.trim(whole)).otherwise(text)
 
