@@ -15,9 +15,9 @@ so a host with a third of all pages is many groups. Only open blocks are moved
 between pages, never kept text.
 
 Defined results: a null or empty page has an empty text; a page without a
-partner keeps its open blocks; a null URL pairs with nothing; repeated rows
-are extracted alike (equal pages are not paired with each other). Further
-columns are not read.
+partner keeps its open blocks; a null URL pairs with nothing; pages of a host
+whose open blocks are equal (repeated rows, copies under other URLs) count as
+one page and are extracted alike. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from tidewatch.operators.joins import materialise
 ship(__name__)
 
 GROUP_ROWS = 512
+SALTS = 16  # parts of the rows that share one page's open blocks
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)(.*)>$", re.S)
@@ -197,37 +198,40 @@ def _furniture_mask(mine: pd.Series, other: pd.Series) -> pd.Series:
 
 def _common_prefix(a: Column, b: Column) -> Column:
     """Characters that two paths share from the start (null counts as none)."""
-    n = F.least(F.length(a), F.length(b), F.lit(512))
-    same = F.filter(F.sequence(F.lit(1), n), lambda i: F.substr(a, F.lit(1), i) == F.substr(b, F.lit(1), i))
-    return F.when(a.isNull() | b.isNull() | (n < 1), F.lit(0)).otherwise(F.size(same))
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    first = F.array_position(same, F.lit(False))
+    return F.when(a.isNull() | b.isNull(), F.lit(0)).otherwise(F.when(first > 0, first - 1).otherwise(F.length(a)))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
     parsed = materialise(pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                                       F.col(page).cast("string").alias("html")).mapInPandas(_parse, _PARSED), "page-blocks")
-    # Pages with open blocks, by host and path.
+    has_open = F.exists("blocks", lambda b: ~b["sure"])
     path = F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
-    open_pages = parsed.where(F.exists("blocks", lambda b: ~b["sure"])).where("url is not null").select(
-        "page_id", "url", F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1)).alias("host"), path.alias("path"),
-        F.transform(F.filter("blocks", lambda b: ~b["sure"]), lambda b: b["line"]).alias("lines"))
-    open_pages = open_pages.dropDuplicates(["page_id", "url", "lines"])
+    lines = F.transform(F.filter("blocks", lambda b: ~b["sure"]), lambda b: b["line"])
+    rows = parsed.where(has_open).withColumn("host", F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1))).withColumn("said", F.xxhash64(lines))
+    # Pages with open blocks, by host and path.
+    open_pages = rows.where("url is not null").select("host", "said", path.alias("path"), lines.alias("lines"))
+    # Pages of a host that say the same are one page, standing at their first path: copies are no furniture of each other.
+    open_pages = open_pages.groupBy("host", "said").agg(
+        F.min(F.struct("path", "lines")).alias("p")).select("host", "said", "p.path", "p.lines")
     folder = ["host", F.regexp_replace("path", "[^/]*/?$", "").alias("folder")]
     sizes = open_pages.groupBy(*folder).agg(F.count(F.lit(1)).alias("c"))
     grouped = open_pages.withColumn("folder", folder[1]).join(sizes, ["host", "folder"]).withColumn(
         "part", F.pmod(F.xxhash64("path"), F.ceil(F.col("c") / GROUP_ROWS).cast("long")))
-    near = Window.partitionBy("host", "folder", "part").orderBy("path", "url", F.col("page_id").asc_nulls_last())
+    near = Window.partitionBy("host", "folder", "part").orderBy("path", "said")
     paired = (grouped.withColumn("before", F.lag(F.struct("path", "lines")).over(near))
               .withColumn("after", F.lead(F.struct("path", "lines")).over(near)))
     partner = F.when(_common_prefix(F.col("path"), F.col("after.path")) > _common_prefix(F.col("path"), F.col("before.path")),
                      F.col("after")).otherwise(F.coalesce("before", "after"))
     masks = (paired.withColumn("other", partner["lines"]).where("other is not null")
-             .select("page_id", "url", F.col("lines").alias("own"), _furniture_mask("lines", "other").alias("mask")))
-    masks = materialise(masks, "page-furniture")
-    lines = F.transform(F.filter("blocks", lambda b: ~b["sure"]), lambda b: b["line"])
-    out = parsed.withColumn("own", lines).alias("p").join(masks.alias("f"), (
-        F.col("p.page_id").eqNullSafe(F.col("f.page_id")) & (F.col("p.url") == F.col("f.url")) & (F.col("p.own") == F.col("f.own"))),
-        "left").select("p.page_id", "p.url", "p.blocks", "f.mask")
+             .select("host", "said", _furniture_mask("lines", "other").alias("mask")))
+    # Copies of one page may be very many: each page's mask stands once in every part.
+    masks = materialise(masks, "page-furniture").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    marked = (rows.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+              .join(masks, ["host", "said", "part"], "left").select("page_id", "url", "blocks", "mask"))
+    out = marked.unionByName(parsed.where(~has_open).withColumn("mask", F.lit(None).cast("array<boolean>")))
     # What is sure or not shared stays.
     kept = F.when(F.col("mask").isNull(), F.col("blocks")["line"]).otherwise(F.transform(F.filter(
         "blocks", lambda b: b["sure"] | ~F.get("mask", b["n"])), lambda b: b["line"]))
