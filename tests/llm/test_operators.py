@@ -100,8 +100,8 @@ def test_components_of_long_chains(spark):
 # --- line dedup
 
 
-def brute_lines(rows, w):
-    """Rows with distinct ids, by id: later copies of runs of w worded lines go."""
+def brute_lines(rows, w, long=50):
+    """Rows with distinct ids, by id: later copies of runs of w worded lines, and of long lines, go."""
     seen, out = set(), {}
     for i, t in sorted(rows):
         lines = (t or "").split("\n")
@@ -112,6 +112,11 @@ def brute_lines(rows, w):
             if run in seen:
                 gone |= set(at[j:j + w])
             seen.add(run)
+        for k in at:
+            if len(words(lines[k])) >= long:
+                if lines[k] in seen:
+                    gone.add(k)
+                seen.add(lines[k])
         out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
@@ -125,6 +130,18 @@ def test_line_dedup_matches_brute_force(spark, w):
     assert got == brute_lines(rows, w)
 
 
+@pytest.mark.parametrize("w", [2, 3])
+def test_long_lines_are_runs_by_themselves(spark, w):
+    rnd = random.Random(40 + w)
+    rows = [(i, "\n".join(rnd.choice([f"a{rnd.randrange(30)}", "", "d e", "g h i", "k  l m n"]) for _ in range(rnd.randrange(1, 14)))) for i in range(40)]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_lines=w, long_words=3).collect()}
+    assert got == brute_lines(rows, w, 3)
+    passage = " ".join(f"p{i}" for i in range(50))
+    rows = [(1, f"one\n{passage}\ntwo"), (2, f"three\n{passage}\nfour"), (3, f"five\n{passage} more\nsix")]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "three\nfour", 3: rows[2][1]}
+
+
 def test_line_dedup_edge(edge, empty):
     got = linededup.dedup_lines(edge)
     assert set(edge.columns) <= set(got.columns)
@@ -339,6 +356,17 @@ def test_main_text(spark):
     assert htmltext.extract(df.limit(0)).collect() == []
 
 
+def test_copies_of_a_page_are_not_its_furniture(spark):
+    page = "<body><div>Head</div><p>Story {}</p><div>Foot</div>"
+    long = "/y" * 600  # two paths that differ after a very long common part
+    rows = [(i, f"http://a.com/x/{i}", page.format("one")) for i in range(40)] + [(90, "http://a.com/x/z", page.format("two"))] + [
+        (91, f"http://e.com{long}/1", page.format("three")), (92, f"http://e.com{long}/2", page.format("four"))] + [
+        (93, "http://f.com/1", page.format("five")), (94, "http://f.com/2", page.format("five"))]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "Story one" for i in range(40)) and got[90] == "Story two"
+    assert got[91] == "Story three" and got[92] == "Story four" and got[93] == got[94] == "Head\nStory five\nFoot"
+
+
 def test_main_text_of_articles(spark):
     import html
 
@@ -422,6 +450,13 @@ def test_quotation_linking(spark):
     assert chat.conversations(df.limit(0)).collect() == []
 
 
+def test_passages_start_where_the_level_changes(spark):
+    rows = [(1, 0, "alpha\nbeta"), (1, 1, "gamma\ndelta"), (1, 2, "> alpha\n> beta\nyes\n> gamma\n>> alpha\n> delta"), (1, 2, "> gamma")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = sorted((r.n, r.level, r.original, r.shared) for r in chat.links(df).where("turn = 2").collect())
+    assert (3, 1, 1, 1) in got and (4, 2, 0, 1) in got and (5, 1, 1, 1) in got and got[0][:2] == (0, 1)
+
+
 def test_quotation_links_match_brute_force(spark):
     rnd = random.Random(23)
     rows, said = [], defaultdict(list)
