@@ -55,7 +55,7 @@ def directional(label: str | Column = "sentiment_label", score: str | Column = "
 
 
 def lexicon_score_pandas(texts, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS):
-    """The same rule in Python; the default scorer for ``mapInPandas``.
+    """The same rule in Python; the default scorer of the model path.
 
     Counts whole-token matches with the same pattern as the JVM expression
     (one C-level ``findall`` per text). Returns (labels, scores) lists.

@@ -1,7 +1,7 @@
 """Headline sentiment on the executors.
 
 ``score_news`` is the built-in lexicon scorer as column expressions.
-``score_news_with_model`` runs any scorer through ``mapInPandas``: the
+``score_news_with_model`` runs any scorer through an iterator Pandas UDF: the
 factory is called once per task (load a model there), texts go in batches
 of ``batch_size``, and each label must be one of positive / negative /
 neutral. The whole text goes to the scorer; ``onnx_factory`` meets a
@@ -101,21 +101,17 @@ def onnx_factory(model_path: str, tokenizer_path: str, labels: tuple[str, ...] =
     return partial(_onnx_scorer, model_path, tokenizer_path, tuple(labels), max_length)
 
 
-def _scored_schema(news: DataFrame) -> str:
-    base = [f"`{f.name}` {f.dataType.simpleString()}" for f in news.schema.fields]
-    return ", ".join(base + ["sentiment_label string", "sentiment_score double"])
-
-
 def score_news_with_model(news: DataFrame, factory: Callable[[], Scorer] = lexicon_factory,
                           batch_size: int = 32, text: str = "title") -> DataFrame:
-    """Score ``text`` with a scorer built by ``factory`` on each task."""
+    """Score ``text`` with a scorer built by ``factory`` on each task; only the text leaves the JVM."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("label string, score double")
+    def model(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory()
-        for pdf in batches:
+        for column in batches:
             labels: list[str] = []
             scores: list[float] = []
-            texts = pdf[text].fillna("").tolist()
+            texts = column.fillna("").tolist()
             for i in range(0, len(texts), batch_size):
                 lab, sc = scorer(texts[i:i + batch_size])
                 bad = set(lab) - set(LABELS)
@@ -123,12 +119,11 @@ def score_news_with_model(news: DataFrame, factory: Callable[[], Scorer] = lexic
                     raise ValueError(f"scorer returned unknown labels: {sorted(bad)}")
                 labels.extend(lab)
                 scores.extend(float(s) for s in sc)
-            yield pdf.assign(sentiment_label=labels, sentiment_score=scores)
+            yield pd.DataFrame({"label": labels, "score": scores})
 
-    scored = news.mapInPandas(run, _scored_schema(news))
-    return scored.withColumns(
-        {"sentiment_score": rnd("sentiment_score", 4)}
-    ).withColumn("sentiment_directional", directional()).select(*SCORED_NEWS_COLUMNS)
+    scored = news.withColumn("_scored", model(text)).withColumns(
+        {"sentiment_label": F.col("_scored.label"), "sentiment_score": rnd("_scored.score", 4)})
+    return scored.withColumn("sentiment_directional", directional()).select(*SCORED_NEWS_COLUMNS)
 
 
 def label_breakdown(scored: DataFrame) -> DataFrame:

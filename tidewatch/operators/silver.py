@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import dedup_latest, parse_date, parse_ts, pct_change, rnd
-from tidewatch.operators.joins import bounded_broadcast
+from tidewatch.operators.joins import bounded_broadcast, materialise
 from tidewatch.sources.schemas import SERIES_NAMES
 
 STOCK_COLUMNS = [
@@ -111,9 +111,10 @@ def macro_ffill(long: DataFrame, series: list[str] = SERIES_NAMES, bucket: str =
     The fill runs in long form on the date spine (every date any series has,
     so a date with one series still gets the carried values of the others),
     partitioned by series and ``bucket`` (a ``trunc`` unit of the date): see
-    ``forward_fill``. Before a series starts its value stays NULL.
+    ``forward_fill``. Before a series starts its value stays NULL. The wide
+    table (a row per date) is stored once, as the fill reads it twice.
     """
-    wide = macro_wide(long, series)
+    wide = materialise(macro_wide(long, series), "macro-wide")
     stacked = wide.unpivot("date", [f"`{s}`" for s in series], "series_name", "value")
     filled = forward_fill(stacked, "series_name", "date", "value", F.trunc("date", bucket))
     return macro_wide(filled, series)

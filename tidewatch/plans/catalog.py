@@ -10,10 +10,12 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.operators import gold as G
 from tidewatch.operators import quality as Q
 from tidewatch.operators import sentiment as SN
+from tidewatch.operators.joins import materialise
 from tidewatch.plans import reports as R
 from tidewatch.plans import batch as P
 from tidewatch.plans.layers import Layers
@@ -67,6 +69,10 @@ LOOKBACK_AS_OF = "2024-01-20"
 UNIVERSE = [f"T{i:06d}" for i in range(55)]
 
 
+# The tables that a whole batch leaves in the lake.
+LAKE_TABLES = [("bronze", "stocks"), ("bronze", "news"), ("bronze", "fred"), ("silver", "stocks"), ("silver", "news"), ("silver", "fred"),
+               *(("gold", t) for t in P.GOLD_TABLES), ("marts", "fct_market_signals"), ("marts", "fct_weekly_summary"), ("marts", "quality_report")]
+
 # Buckets of the bucketed round trip.
 ROUNDTRIP_BUCKETS = 16
 
@@ -127,11 +133,28 @@ def _table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each table of the lake after a whole batch: has it files and bytes, and how many rows do they hold?"""
     L = Layers.from_testdata(spark, sf_dir)
     root = scratch_path(spark, "lake")
     P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
     P.run(spark, root)
-    return io.layer_inventory(spark, root)
+    rows = None
+    for layer, table in LAKE_TABLES:
+        path = f"{root}/{layer}/{table}"
+        stored = spark.read.text(path) if layer == "bronze" else spark.read.parquet(path)
+        part = stored.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), "row_count")
+        rows = part if rows is None else rows.unionByName(part)
+    found = io.layer_inventory(spark, root).select(
+        "layer", "table", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    return found.join(rows, ["layer", "table"], "left")
+
+
+def _run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every step's table; what later steps read is stored once."""
+    L = Layers.from_testdata(spark, sf_dir, shared=True)
+    L.silver_stocks = materialise(L.silver_stocks, "silver-stocks")
+    L.macro_long = materialise(L.macro_long, "silver-macro")
+    return R.run_counts(step_tables(L))
 
 
 QUERIES: dict[str, Query] = {
@@ -199,7 +222,7 @@ QUERIES: dict[str, Query] = {
     "divergences": _on(lambda L: R.divergences(L.signals)),
     "briefing_facts": _on(lambda L: R.briefing_facts(L.signals, L.sensitivity), shared=True),
     # run summaries
-    "run_counts": _on(lambda L: R.run_counts(step_tables(L)), shared=True),
+    "run_counts": _run_counts,
     "layer_date_range": _on(
         lambda L: R.layer_date_range({"silver_stocks": L.silver_stocks, "fct_daily_market_summary": L.gold}),
         shared=True,

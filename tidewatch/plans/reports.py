@@ -182,29 +182,33 @@ def divergences(sig: DataFrame) -> DataFrame:
 
 # --- Q-22: the assistant's context as rows -----------------------------------
 def briefing_facts(sig: DataFrame, sens: DataFrame) -> DataFrame:
-    """(section, rank, payload): the facts handed to the assistant, one JSON row each.
+    """(section, rank, ticker, date, field, text, value): the facts handed to the assistant, one a row.
 
-    Every section is a top-k or a count per fixed label, so the numbering
-    windows below run over at most ten rows.
+    A field is a text (labels and the overview's dates) or a number. Every
+    section is a top-k or a count per fixed label, so the numbering windows
+    below run over at most ten rows.
     """
     sections = [
-        ("overview", overview(sig), ["ticker_count"]),
-        ("signals", signal_distribution(sig), ["count", "market_signal"]),
-        ("gainers", top_movers(sig, 5, True), ["daily_return", "ticker"]),
-        ("losers", top_movers(sig, 5, False), ["daily_return", "ticker"]),
-        ("sensitive", top_sensitivity(sens, 10), ["sentiment_sensitivity", "ticker"]),
-        ("vix", latest_vix(sig), ["vix_volatility_index"]),
-        ("divergences", latest_divergences(sig, 10), ["date", "ticker"]),
+        ("overview", overview(sig), F.asc("ticker_count"), ["first_date", "last_date"], ["ticker_count", "row_count"]),
+        ("signals", signal_distribution(sig), F.desc("count"), ["market_signal"], ["count"]),
+        ("gainers", top_movers(sig, 5, True), F.desc_nulls_last("daily_return"), ["market_signal"], ["daily_return", "close"]),
+        ("losers", top_movers(sig, 5, False), F.asc_nulls_last("daily_return"), ["market_signal"], ["daily_return", "close"]),
+        ("sensitive", top_sensitivity(sens, 10), F.desc_nulls_last("sentiment_sensitivity"), [],
+         ["sentiment_sensitivity", "avg_return_bullish_news", "avg_return_bearish_news"]),
+        ("vix", latest_vix(sig), F.asc("vix_volatility_index"), [], ["vix_volatility_index"]),
+        ("divergences", latest_divergences(sig, 10), F.desc("date"), ["sentiment_price_alignment"], ["daily_return", "sentiment_ratio"]),
     ]
     out = None
-    for name, df, order in sections:
-        desc = name in ("signals", "gainers", "sensitive", "divergences")
-        keys = [F.desc(order[0]) if desc else F.asc(order[0]), *order[1:]]
+    for name, df, order, texts, values in sections:
+        ticker = F.col("ticker") if "ticker" in df.columns else F.lit(None).cast("string")
+        date = F.col("date") if "date" in df.columns else F.lit(None).cast("date")
+        tie = "market_signal" if name == "signals" else ticker
+        facts = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("text"), F.lit(None).cast("double").alias("value")) for c in texts]
+        facts += [F.struct(F.lit(c).alias("field"), F.lit(None).cast("string").alias("text"), F.col(c).cast("double").alias("value")) for c in values]
         part = df.select(
-            F.lit(name).alias("section"),
-            F.row_number().over(Window.orderBy(*keys)).alias("rank"),
-            F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("payload"),
-        )
+            F.lit(name).alias("section"), F.row_number().over(Window.orderBy(order, tie)).alias("rank"),
+            ticker.alias("ticker"), date.alias("date"), F.array(*facts).alias("facts"),
+        ).select("section", "rank", "ticker", "date", F.inline("facts"))
         out = part if out is None else out.unionByName(part)
     return out
 

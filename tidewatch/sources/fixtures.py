@@ -17,7 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Each CTE is (name, body). Placeholders {events} / {documents} name the
-# source tables; Spark binds DataFrames, the oracle binds view names.
+# source tables; Spark binds DataFrames, the oracle binds view names. {twice}
+# gives a row two copies, numbered 0 and 1, so that a table with re-ingested
+# rows reads its source once.
 FIXTURE_CTES: list[tuple[str, str]] = [
     (
         "px",
@@ -43,21 +45,16 @@ FIXTURE_CTES: list[tuple[str, str]] = [
     (
         "raw_stocks",
         """
-  select ticker, cast(d as string) as date, open, high, low, close, volume,
-         'synthetic' as source, '2024-02-01T06:00:00.000001' as ingested_at
-  from bars
-  union all
-  select ticker,
-         case when extract(day from d) = 5 then 'n/a' else cast(d as string) end,
-         open, high, low,
-         case when extract(day from d) % 7 = 0 then close + 0.25
-              when extract(day from d) = 5 then close
-              else cast(null as double) end,
-         volume, 'synthetic',
-         case when extract(day from d) % 7 = 0 then '2024-02-02T06:00:00.000001'
-              when extract(day from d) = 5 then '2024-02-01T06:00:00.000001'
-              else '2024-02-03T06:00:00.000001' end
-  from bars where extract(day from d) % 7 = 0 or extract(day from d) in (5, 11)""",
+  select ticker, case when again = 1 and day = 5 then 'n/a' else cast(d as string) end as date, open, high, low,
+         case when again = 0 or day = 5 then close
+              when day % 7 = 0 then close + 0.25
+              else cast(null as double) end as close,
+         volume, 'synthetic' as source,
+         case when again = 0 or day = 5 then '2024-02-01T06:00:00.000001'
+              when day % 7 = 0 then '2024-02-02T06:00:00.000001'
+              else '2024-02-03T06:00:00.000001' end as ingested_at
+  from (select *, extract(day from d) as day, {twice} as again from bars) b
+  where again = 0 or day % 7 = 0 or day in (5, 11)""",
     ),
     (
         # Every text is a headline; some documents come once more without one.
@@ -129,11 +126,11 @@ FIXTURE_CTES: list[tuple[str, str]] = [
     (
         "raw_macro",
         """
-  select series_id, series_name, cast(d as string) as date, cast(v as double) / 10000 as value,
-         frequency, 'synthetic' as source, '2024-02-01T06:00:00.000001' as ingested_at from macro
-  union all
-  select series_id, series_name, cast(d as string), cast(v + 100 as double) / 10000,
-         frequency, 'synthetic', '2024-02-02T06:00:00.000001' from macro where extract(day from d) % 9 = 0""",
+  select series_id, series_name, cast(d as string) as date, cast(v + 100 * again as double) / 10000 as value,
+         frequency, 'synthetic' as source,
+         case when again = 0 then '2024-02-01T06:00:00.000001' else '2024-02-02T06:00:00.000001' end as ingested_at
+  from (select *, {twice} as again from macro) m
+  where again = 0 or extract(day from d) % 9 = 0""",
     ),
 ]
 
@@ -213,7 +210,7 @@ def _mentions(body: str, name: str) -> bool:
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of ``raw_stocks``, ``raw_news``, ``raw_macro`` from the test tables."""
     deps = _deps(name)
-    text = f"with {cte_text(deps)}\nselect * from {name}"
+    text = f"with {cte_text(deps)}\nselect * from {name}".replace("{twice}", "explode(array(0, 1))")
     bound = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **bound)
 
@@ -254,4 +251,4 @@ def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle_ctes() -> list[tuple[str, str]]:
     """Fixture CTEs with DuckDB view names bound."""
-    return [(n, b.format(events="events", documents="documents")) for n, b in FIXTURE_CTES + PAYLOAD_CTES]
+    return [(n, b.format(events="events", documents="documents", twice="unnest([0, 1])")) for n, b in FIXTURE_CTES + PAYLOAD_CTES]
