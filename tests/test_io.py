@@ -251,10 +251,23 @@ def test_command_line_runs_and_resumes(spark, tmp_root, capsys):
     L = Layers.from_testdata(spark, SF_SMALL)
     root = f"file://{tmp_root}/lake"
     P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
-    assert P.main([root, "--buckets", "4"]) == 0
+    with pytest.raises(SystemExit):  # no scorer named
+        P.main([root, "--buckets", "4"])
+    words = f"{tmp_root}/words.json"
+    with open(words, "w") as f:
+        json.dump({"positive": ["the", "on", "en"], "negative": ["of", "to", "er", "in"]}, f)
+    spark.sql("DROP DATABASE IF EXISTS tw_test_market CASCADE")
+    assert P.main([root, "--buckets", "4", "--lexicon", words, "--database", "tw_test_market"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert lines[0]["rows"]["silver.stocks"] == L.silver_stocks.count()
     assert {x["table_name"] for x in lines[1:]} >= {"fct_daily_market_summary", "fct_market_signals"}
+    kept = {r.tableName for r in spark.sql("SHOW TABLES IN tw_test_market").where("not isTemporary").collect()}
+    assert kept == {"fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity", "fct_market_signals", "fct_weekly_summary"}
+    per_ticker = spark.table("tw_test_market.fct_market_signals").groupBy("ticker").count()
+    assert per_ticker.count() == L.silver_stocks.select("ticker").distinct().count()
+    news = spark.read.parquet(f"{root}/silver/news")
+    assert news.exceptAll(SN.score_news(L.news_clean).select(news.columns)).count() == 0
+    spark.sql("DROP DATABASE tw_test_market CASCADE")
     assert P.main([root, "--buckets", "4", "--from", "marts"]) == 0
     again = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert set(again[0]["rows"]) == {"marts.fct_market_signals", "marts.fct_weekly_summary"}

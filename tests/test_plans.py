@@ -46,6 +46,13 @@ def test_gold_plan_two_broadcasts_one_exchange_by_ticker(spark):
     assert len(window_exchanges) == 1
 
 
+@pytest.mark.parametrize("table", ["raw_stocks", "raw_macro"])
+def test_fixtures_read_their_source_once(spark, table):
+    text = plan_of(getattr(Layers.from_testdata(spark, SF_SMALL), table))
+    nodes = re.findall(r"^\(\d+\) (\w+)", text, re.M)
+    assert nodes.count("Scan") == 1 and "Union" not in nodes
+
+
 def test_macro_fill_is_partitioned_by_series(spark):
     L = Layers.from_testdata(spark, SF_SMALL)
     text = plan_of(L.macro_ffill)

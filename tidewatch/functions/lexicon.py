@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tidewatch.functions.exprs import case_chain, col_, rnd
 
 # --- fixed values: the lexicon used with the test documents ------------------
-# The test prose is invented, so the lists hold tokens that occur in it.
+# The test prose is invented, so the lists hold tokens that occur in it. They
+# are stand-ins for tests, not a sentiment model: give your own word lists.
 POSITIVE_WORDS = ["the", "on", "en"]
 NEGATIVE_WORDS = ["of", "to", "er", "in"]
 

@@ -11,22 +11,24 @@ no text is cut. No rows pass through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import rnd
-from tidewatch.functions.lexicon import LABELS, directional, lexicon_columns, lexicon_score_pandas
+from tidewatch.functions.lexicon import (LABELS, NEGATIVE_WORDS, POSITIVE_WORDS, directional, lexicon_columns,
+                                        lexicon_score_pandas)
 from tidewatch.operators.silver import SCORED_NEWS_COLUMNS
 
 Scorer = Callable[[list[str]], tuple[list[str], list[float]]]
 
 
-def score_news(news: DataFrame, text: str = "title") -> DataFrame:
-    """Silver news with label, score and directional score (lexicon rule)."""
-    scored = news.withColumns(lexicon_columns(text))
+def score_news(news: DataFrame, text: str = "title", positive: Sequence[str] = POSITIVE_WORDS,
+               negative: Sequence[str] = NEGATIVE_WORDS) -> DataFrame:
+    """Silver news with label, score and directional score (lexicon rule over the given word lists)."""
+    scored = news.withColumns(lexicon_columns(text, positive, negative))
     return scored.withColumn("sentiment_directional", directional()).select(*SCORED_NEWS_COLUMNS)
 
 

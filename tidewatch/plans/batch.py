@@ -122,10 +122,11 @@ def _layout(spark: SparkSession, root: str, layout: str | Layout) -> Layout:
 
 def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None,
                 layout: str | Layout = "clustered", counts: RowCounts | None = None,
-                multi_line: bool = False) -> None:
+                multi_line: bool = False, lexicon: dict[str, list[str]] | None = None) -> None:
     """Bronze to silver. ``multi_line``: each landed file is one JSON array.
 
-    The macro forward fill reads its input in two jobs; ``bronze.fred`` counts the first.
+    News are scored by ``scorer_factory``, else by the word lists of
+    ``lexicon`` (positive, negative), else by the lists for the test tables.
     """
     lay = _layout(spark, root, layout)
     counts = RowCounts() if counts is None else counts
@@ -137,7 +138,7 @@ def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None
     raw_s, raw_n, raw_m = raw("stocks", schemas.RAW_STOCKS), raw("news", schemas.RAW_NEWS), raw("fred", schemas.RAW_MACRO)
     lay.write(SV.clean_stocks(raw_s), "silver", "stocks", counts)
     news = SV.clean_news(raw_n)
-    scored = SN.score_news(news) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
+    scored = SN.score_news(news, **(lexicon or {})) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
     io.write_flat(counts.watch("silver.news", scored), _p(root, "silver", "news"))
     macro = SV.macro_ffill(SV.clean_macro(raw_m))
     io.write_flat(counts.watch("silver.fred", macro), _p(root, "silver", "fred"))
@@ -212,8 +213,11 @@ def quality_step(spark: SparkSession, root: str, layout: str | Layout = "cluster
     return stored
 
 
-def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
-    """Register the gold and mart tables as session views, and list them."""
+def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered", database: str | None = None) -> DataFrame:
+    """Register the gold and mart tables as session views, and list them.
+
+    With ``database`` the stored ones become tables of that catalog database too.
+    """
     lay = _layout(spark, root, layout)
     names = []
     for layer, table in [("gold", "fct_daily_market_summary"), ("marts", "fct_market_signals")]:
@@ -229,6 +233,10 @@ def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
         names.append("stg_daily_market")
     names += io.register_tables(spark, _p(root, "gold"), ["dim_tickers", "fct_sentiment_sensitivity"])
     names += io.register_tables(spark, _p(root, "marts"), ["fct_weekly_summary"])
+    if database is not None:
+        layer = {"fct_market_signals": "marts", "fct_weekly_summary": "marts"}
+        io.register_database(spark, database, {
+            n: _p(root, layer.get(n, "gold"), n) for n in names if n != "stg_daily_market"})
     order = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity",
              "stg_daily_market", "fct_market_signals", "fct_weekly_summary"]
     return io.table_listing(spark, [n for n in order if n in names])
@@ -237,7 +245,7 @@ def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
 def run(spark: SparkSession, root: str, from_step: str | None = None,
         scorer_factory: Callable | None = None, layout: str = "clustered",
         counts: RowCounts | None = None, buckets: int | None = None, strict: bool = True,
-        multi_line: bool = False) -> DataFrame:
+        multi_line: bool = False, lexicon: dict[str, list[str]] | None = None, database: str | None = None) -> DataFrame:
     """Run the steps from ``from_step`` on; returns the registered-table listing.
 
     ``multi_line`` reads landed files that each hold one JSON array. Records
@@ -247,6 +255,9 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
     Pass a ``RowCounts`` to get the rows read and written by each step
     (``counts.result()`` after the run). With ``strict`` (default) a failed
     data check stops the run after the quality step, with ``QualityError``.
+    ``scorer_factory`` or ``lexicon`` choose how news are scored (see
+    ``silver_step``). With ``database`` the load step also keeps the tables in
+    that catalog database, for later sessions.
     """
     prepare(spark)
     lay = Layout(spark, root, layout, buckets)
@@ -255,7 +266,7 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
     listing = None
     for step in STEPS[start:]:
         if step == "silver":
-            silver_step(spark, root, scorer_factory, lay, counts, multi_line)
+            silver_step(spark, root, scorer_factory, lay, counts, multi_line, lexicon)
             if strict and (bad := counts.corrupt()):
                 raise QualityError("unparsable landed records: " + ", ".join(f"{k}={n}" for k, n in bad.items()))
         elif step == "gold":
@@ -265,13 +276,15 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
         elif step == "quality":
             quality_step(spark, root, lay, strict)
         elif step == "load":
-            listing = load_step(spark, root, lay)
+            listing = load_step(spark, root, lay, database)
     return listing
 
 
 def main(argv: list[str] | None = None) -> int:
     """``python -m tidewatch.plans.batch ROOT [--from STEP] [--layout L] [--buckets N]
-    [--multi-line] [--model M --tokenizer T]``.
+    [--multi-line] [--database D] (--lexicon FILE | --model M --tokenizer T)``.
+
+    A run that scores news (from the silver step on) must name its scorer.
 
     Runs the batch on the session ``spark-submit`` provides (or a local one)
     and prints the rows each step read and wrote, then the loaded tables.
@@ -286,7 +299,9 @@ def main(argv: list[str] | None = None) -> int:
                         help="per-ticker table layout (default: bucketed, reused partitioning)")
     parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
     parser.add_argument("--multi-line", action="store_true", help="landed files hold one JSON array each")
-    parser.add_argument("--model", help="exported ONNX classifier that scores the news (default: the lexicon rule)")
+    parser.add_argument("--lexicon", help="JSON file of word lists that score the news: {\"positive\": [...], \"negative\": [...]}")
+    parser.add_argument("--database", help="catalog database that keeps the gold and mart tables")
+    parser.add_argument("--model", help="exported ONNX classifier that scores the news")
     parser.add_argument("--tokenizer", help="tokenizer.json of the model")
     parser.add_argument("--labels", default="positive,negative,neutral", help="the model's labels, in output order")
     parser.add_argument("--no-strict", dest="strict", action="store_false",
@@ -294,13 +309,21 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     if bool(args.model) != bool(args.tokenizer):
         parser.error("--model and --tokenizer go together")
+    if args.from_step in (None, "silver") and bool(args.model) == bool(args.lexicon):
+        parser.error("name one scorer of the news: --lexicon FILE or --model and --tokenizer")
+    lexicon = None
+    if args.lexicon:
+        with open(args.lexicon, encoding="utf-8") as f:
+            found = json.load(f)
+        lexicon = {k: list(found[k]) for k in ("positive", "negative")}
     scorer = SN.onnx_factory(args.model, args.tokenizer, args.labels.split(",")) if args.model else None
 
     spark = SparkSession.builder.appName("tidewatch-batch").getOrCreate()
     counts = RowCounts()
     try:
         listing = run(spark, args.root, from_step=args.from_step, scorer_factory=scorer, layout=args.layout,
-                      counts=counts, buckets=args.buckets, strict=args.strict, multi_line=args.multi_line)
+                      counts=counts, buckets=args.buckets, strict=args.strict, multi_line=args.multi_line,
+                      lexicon=lexicon, database=args.database)
     except QualityError as e:
         print(json.dumps({"rows": counts.result(), "failed": str(e)}))
         return 1

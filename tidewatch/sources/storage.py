@@ -177,6 +177,26 @@ def register_tables(spark: SparkSession, root: str, names: Iterable[str]) -> lis
     return done
 
 
+def register_database(spark: SparkSession, database: str, paths: dict[str, str]) -> DataFrame:
+    """Keep the Parquet tables at ``paths`` (name to URI) in a catalog database; lists all its tables.
+
+    The tables are external: the catalog keeps names and locations, and a
+    table that is named again is declared anew over its files. Bucketed files
+    are declared with the bucket count kept beside them.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, path in paths.items():
+        table = f"`{database}`.`{name}`"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if bucket_count(spark, path) is not None:
+            bucketed_table(spark, table, path)
+            continue
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        if spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = '# Partition Information'").count():
+            spark.catalog.recoverPartitions(table)
+    return spark.sql(f"SHOW TABLES IN `{database}`").where("not isTemporary").select(F.col("namespace").alias("database_name"), F.col("tableName").alias("table_name"))
+
+
 def table_listing(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     """Registered tables with row and column counts."""
     out = None
