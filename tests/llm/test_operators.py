@@ -431,6 +431,17 @@ def test_warc_records_link_and_round_trip(spark, tmp_path):
     assert warc.derive(warc.responses(df.limit(0))).collect() == []
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>x < 5 is fine</p><p>Next</p><p>Last</p>", "x < 5 is fine\nNext\nLast"),
+    ("<p>a < b &lt; c</p><P class='x>y'>if a<=b: <b\n title=\"1 > 0\">yes</b></P>", "a < b < c\nif a<=b: yes"),
+    ("<!DOCTYPE html><?xml v?><div>I <3 it<br/>end <", "I <3 it\nend <"),
+    ("<p>one</p><p>open <b and\nmore text", "one\nopen <b and\nmore text"),
+    ("<a title=it's href=x>A</a><a title=\"<p>\">B</a><p>it's</p><!-- <p>no --><i>C", "AB\nit's\nC"),
+    ("<a " * 200_000, " ".join(["<a"] * 200_000))])
+def test_only_markup_is_stripped(page, text):
+    assert warc._plain(page) == text
+
+
 # --- chat
 
 

@@ -40,8 +40,9 @@ _TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
 _LANG = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _CHARSET = re.compile(r"<meta[^>]*charset\s*=\s*[\"']?([\w-]+)", re.I)
 _LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|section|article|nav|header|footer|aside|main|form|title|head|body|html|blockquote|pre)\b[^>]*>", re.I)
-_MARK = re.compile(r"<[^>]*>?")
+# What begins a tag or a declaration is markup, every other "<" is text. Quotes hide a ">" only in attribute values.
+_MARK = re.compile(r"<[!?][^>]*+>|</?([A-Za-z][^\s/>]*+)(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+>")
+_BREAK = set("p div br li ul ol h1 h2 h3 h4 h5 h6 tr td th table section article nav header footer aside main form title head body html blockquote pre".split())
 
 
 def _digest(data: bytes) -> str:
@@ -53,7 +54,9 @@ def _record_id(*parts: str) -> str:
 
 
 def _plain(page: str) -> str:
-    text = _html.unescape(_MARK.sub("", _BREAK.sub("\n", _HIDDEN.sub("", page))))
+    page = _HIDDEN.sub("", page)
+    end = page.rfind(">") + 1  # no tag ends after it, so none is sought there
+    text = _html.unescape(_MARK.sub(lambda m: "\n" if m[1] and m[1].lower() in _BREAK else "", page[:end]) + page[end:])
     return "\n".join(x for x in (" ".join(line.split()) for line in text.split("\n")) if x)
 
 
