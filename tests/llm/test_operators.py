@@ -315,6 +315,36 @@ def test_pii_adds_and_never_removes(spark, edge, empty):
     assert len(pii.find(edge).collect()) == len(edge_rows()) and pii.find(empty).collect() == []
 
 
+def test_pii_adds_loosely_written_data_and_no_plain_numbers(spark):
+    rnd = random.Random(29)
+    card = ["4111.1111.1111.1111", "5500/0000/0000/0004", "3782 822463 10005"]
+    loose = {"mail1": lambda i: (f"write to me{i} (at) host{i} (dot) org please", f"me{i} (at) host{i} (dot) org"),
+             "mail2": lambda i: (f"or me{i} at host{i} dot com then", f"me{i} at host{i} dot com"),
+             "phone1": lambda i: ((p := f"({rnd.randrange(200, 999)}) {rnd.randrange(200, 999)}-{rnd.randrange(1000, 9999)}") and f"reach us on {p} today", p),
+             "phone2": lambda i: ((p := f"030/{rnd.randrange(10 ** 6, 10 ** 7)}") and f"Tel: {p}", p),
+             "card": lambda i: (f"pay with {card[i % 3]} now", card[i % 3])}
+    plain = [lambda: f"number {rnd.randrange(10 ** 9)} of {rnd.randrange(10 ** 6)}", lambda: f"built {rnd.randrange(10 ** 14, 2 * 10 ** 14)}",
+             lambda: f"on 2024-01-{rnd.randrange(10, 31)} 10:{rnd.randrange(10, 60)}:00 it ran", lambda: f"see 030/{rnd.randrange(10 ** 6, 10 ** 7)} there",
+             lambda: f"he looked at example{rnd.randrange(99)}.com first", lambda: "point at the dot in the middle",
+             lambda: f"id x{rnd.randrange(10 ** 8, 10 ** 9)}y", lambda: f"Tel: 2024-01-{rnd.randrange(10, 31)}",
+             lambda: "pay 4111.1111.1111.1112"]
+    strict = [lambda i: f"mail me{i}@host{i}.example.org now", lambda i: f"call +49 30 {rnd.randrange(10 ** 6, 10 ** 7)} today", lambda i: "card 4111 1111 1111 1111"]
+    rows, want = [], {}
+    for i in range(1500):
+        kind = rnd.choice([*loose, "plain", "plain", "plain", "strict"])
+        if kind in loose:
+            t, span = loose[kind](i)
+            want[i] = span
+        else:
+            t = rnd.choice(plain)() if kind == "plain" else rnd.choice(strict)(i)
+        rows.append((i, t, "x"))
+    added = {}
+    for r in pii.find(table(spark, rows)).select("doc_id", "text", "_base", "_spans").collect():
+        if new := [r.text[x.s:x.e] for x in r._spans if x not in r._base]:
+            added[r.doc_id] = new
+    assert added == {i: [span] for i, span in want.items()}
+
+
 # --- secrets
 
 
