@@ -359,6 +359,29 @@ def test_secrets_held_out_accuracy(spark):
     assert r.n > 5 and r.ok >= 0.9 * r.n
 
 
+def test_secrets_without_digits_and_short_values(spark):
+    rnd = random.Random(31)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(n))
+    forms = [lambda: ("password=", "", "correct" + letters(9).lower() + "staple", ""), lambda: ("pwd = ", "'", f"Tr0ub4{letters(3)}&{rnd.randrange(9)}", "'"),
+             lambda: ('"api_key": ', '"', letters(40), '"'), lambda: ("secret: ", "", f"{letters(5)}!{letters(4)}@{letters(3)}.{letters(2)}", "")]
+    plain = ["incomprehensibilities are long", "see src/main/resources/static then", "----------------------------", "a state-of-the-art-solution here",
+             "http://example.org/some-long-path-of-words", "pwd = 'short'", "the secret is out: internationalization"]
+    rows, want = [], set()
+    for i in range(400):
+        if i % 4 == 0:
+            name, quote, value, end = forms[i // 4 % 4]()
+            before = f"line {i} sets {name}{quote}"
+            rows.append((i, before + value + end + " here", "a.py"))
+            want.add((i, len(before), len(before) + len(value)))
+        else:
+            rows.append((i, f"{rnd.choice(plain)} and {rnd.choice(plain)}", "a.py"))
+    got = findings.find_secrets(table(spark, rows)).collect()
+    assert len({(r.doc_id, r.start, r.end) for r in got}) == len(got)
+    reported = {(r.doc_id, r.start, r.end) for r in got if r.reported}
+    assert want <= reported and all(i % 4 == 0 for i, _, _ in reported)
+    assert any(r.doc_id % 4 and not r.reported for r in got)
+
+
 def test_secrets_edge(spark, edge, empty):
     assert all(not r.reported for r in findings.find_secrets(edge.where("doc_id = 1")).collect())
     findings.find_secrets(edge).collect()

@@ -1,7 +1,9 @@
 """Secret scans: token candidates, false positives removed by a random forest.
 
 Every run of at least ``MIN_LENGTH`` characters of the token alphabet is a
-candidate. The forest judges it by its length, its character transitions
+candidate, and so is every value of at least ``MIN_VALUE`` characters other
+than white space (up to its closing quote) that is assigned to a credential
+name. The forest judges it by its length, its character transitions
 (changes between lower case, upper case, digits and signs), how much of it
 common words cover, the path it was found under and the words before it. It is
 fitted on labelled findings; ``labelled_findings`` derives them from provider
@@ -23,7 +25,7 @@ from tidewatch.llm.common import text_of
 from tidewatch.llm.spans import add_matches
 from tidewatch.operators.joins import materialise
 
-MIN_LENGTH = 16
+MIN_LENGTH, MIN_VALUE = 16, 8
 MAX_TRAIN_ROWS = 10_000
 THRESHOLD = 0.5
 TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}+"
@@ -32,18 +34,36 @@ TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}+"
 WORDS = ("the and for that with from this have are not you all can was one out use get set new old key token secret password pass "
          "user name test example sample value data file path http https www com org net html json text string number null true "
          "false default config local host port main class function return public private static import license version").split()
-HINT = r"(password|passwd|pwd|secret|token|api.?key|access.?key|credential|auth)[\"']?\s*(=|:|=>)\s*[\"']?$"
+NAMES = "password|passwd|pwd|secret|token|api.?key|access.?key|credential|auth"
+HINT = rf"({NAMES})[\"']?\s*(=|:|=>)\s*[\"']?$"
+# A credential name, what assigns to it, and the value up to a quote or white space.
+_ASSIGN = rf"(?i)(?:{NAMES})[\"']?\s{{0,8}}+(?:=>|[=:])\s{{0,8}}+"
+ASSIGNED = _ASSIGN + rf"(?:\"[^\s\"]{{{MIN_VALUE},}}+|'[^\s']{{{MIN_VALUE},}}+|[^\s\"']{{{MIN_VALUE},}}+)"
 
 FEATURES = ["length", "digits", "upper", "lower", "signs", "changes", "letter_digit", "case_changes", "distinct", "hex",
             "covered", "vowels", "path_length", "path_code", "path_test", "hint_before", "assign_before", "quote_around", "prefix"]
 
 
+def _value(x: Column) -> Column:
+    """The match of an assignment cut down to its value; name and sign go to the text before it."""
+    value = F.regexp_replace(x["m"], "^" + _ASSIGN + "[\"']?", "")
+    size = F.length(value)
+    return F.struct(value.alias("m"), (x["e"] - size).alias("s"), x["e"].alias("e"),
+                    F.right(F.concat(x["l"], F.left(x["m"], F.length(x["m"]) - size)), F.lit(32)).alias("l"), x["r"].alias("r"))
+
+
+def _is_token(x: Column) -> Column:
+    """Is the value a whole run of token characters, and so a candidate already?"""
+    return (x["m"].rlike(rf"^[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}$") & ~x["l"].rlike("[A-Za-z0-9+/_=-]$")
+            & ~x["r"].rlike("^[A-Za-z0-9+/_=-]"))
+
+
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", words=WORDS) -> DataFrame:
     """(doc_id, path, start, end, token, before) and a column per feature."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), text_of(text).alias("_t"))
-    # A candidate holds a digit, so texts without one have none.
-    found = add_matches(base, "_x", "_t", TOKEN, F.regexp_like("_t", F.lit("[0-9]")), context=32).select(
-        "doc_id", "path", F.filter("_x", lambda x: x["m"].rlike("[0-9]")).alias("_x"))
+    found = add_matches(base, "_x", "_t", TOKEN, F.lit(True), context=32)
+    found = add_matches(found, "_y", "_t", ASSIGNED, F.regexp_like("_t", F.lit("[=:]")), context=32)
+    found = found.select("doc_id", "path", F.concat("_x", F.filter(F.transform("_y", _value), lambda y: ~_is_token(y))).alias("_x"))
     # Written before it is exploded (see pii.fit).
     rows = materialise(found, "token-candidates").select("doc_id", "path", F.explode("_x").alias("x")).select(
         "doc_id", "path", F.col("x.s").alias("start"), F.col("x.e").alias("end"), F.col("x.m").alias("token"),
