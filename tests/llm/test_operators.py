@@ -420,6 +420,41 @@ def test_copies_of_a_page_are_not_its_furniture(spark):
     assert got[91] == "Story three" and got[92] == "Story four" and got[93] == got[94] == "Head\nStory five\nFoot"
 
 
+def test_pages_pair_across_folders_and_parts(spark):
+    # Each page alone in its folder; some hosts have one page, one host has most.
+    page = "<body><div>Head {0}</div><p>Story {1}</p><div>Foot {0}</div>"
+    paths = [("a.com", f"/2024/{m:02}/{d:02}/title/") for m in range(1, 13) for d in range(1, 29)] + [("b.com", f"/a/{i}/index.html") for i in range(3)]
+    rows = [(i, f"http://{h}{p}", page.format(h, i)) for i, (h, p) in enumerate([*paths, ("c.com", "/x"), ("d.com", "/x")])]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Story {i}" for i in range(len(paths)))
+    assert all(got[i] == f"Head {h}\nStory {i}\nFoot {h}" for i, h in ((len(paths), "c.com"), (len(paths) + 1, "d.com")))
+
+
+def test_partners_are_the_nearest_paths_of_the_host(spark):
+    rnd = random.Random(37)
+    keys = sorted({(rnd.choice(["a", "a", "a", "b", "c"]), "/" + "/".join(rnd.choice("xyz") * rnd.randrange(1, 3) for _ in range(rnd.randrange(1, 4))),
+                    i) for i in range(700)} | {("d", "/", 900)})
+
+    def shared(p, q):
+        return next((i for i, (x, y) in enumerate(zip(p, q)) if x != y), min(len(p), len(q)))
+
+    want = {}
+    for i, (h, p, k) in enumerate(keys):
+        near = [keys[j] if 0 <= j < len(keys) and keys[j][0] == h else None for j in (i - 1, i + 1)]
+        before, after = near
+        if before or after:
+            want[k] = (after if not before or after and shared(p, after[1]) > shared(p, before[1]) else before)[2]
+    df = spark.createDataFrame(keys, "host string, path string, said long")
+    aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    for coalesce in ("true", "false"):  # one part, and many
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        try:
+            got = htmltext._partners(df).collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
+        assert len(got) == len(want) and {r.said: r.partner for r in got} == want
+
+
 def test_main_text_of_articles(spark):
     import html
 

@@ -9,10 +9,11 @@ paired with the neighbour that shares the longer path prefix, the open blocks
 of both are aligned by their longest common subsequence, and aligned (shared)
 blocks are deleted as page furniture.
 
-Neighbours are found inside groups of one host and one path folder; a group of
-more than ``GROUP_ROWS`` pages is cut by a hash of the page's last path segment,
-so a host with a third of all pages is many groups. Only open blocks are moved
-between pages, never kept text.
+All pages are ranged by host and path into contiguous parts, so a host with a
+third of all pages is many parts; neighbours are found inside a part, and the
+first and last page of each part are carried to the parts beside it. So the
+partner is the nearest path of the host at every size and across folders. Only
+keys are ordered, and only open blocks are moved between pages, never kept text.
 
 Defined results: a null or empty page has an empty text; a page without a
 partner keeps its open blocks; a null URL pairs with nothing; pages of a host
@@ -38,7 +39,6 @@ from tidewatch.operators.joins import materialise
 
 ship(__name__)
 
-GROUP_ROWS = 512
 SALTS = 16  # parts of the rows that share one page's open blocks
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
@@ -203,6 +203,24 @@ def _common_prefix(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(0)).otherwise(F.when(first > 0, first - 1).otherwise(F.length(a)))
 
 
+def _partners(keys: DataFrame) -> DataFrame:
+    """(host, said, partner): the neighbour by path, of the same host, that shares the longer path prefix."""
+    place = F.struct("host", "path", "said")
+    # Written, so that a row's part is fixed; the parts follow each other in the order of host and path.
+    parts = materialise(keys.repartitionByRange("host", "path", "said").withColumn("part", F.spark_partition_id()), "page-order")
+    beside = Window.orderBy("part")  # one row a part
+    ends = parts.groupBy("part").agg(F.min(place).alias("first"), F.max(place).alias("last")).select(
+        "part", F.lag("last").over(beside).alias("left"), F.lead("first").over(beside).alias("right"))
+    near = Window.partitionBy("part").orderBy("host", "path", "said")
+    placed = (parts.withColumn("b", F.lag(place).over(near)).withColumn("a", F.lead(place).over(near))
+              .join(F.broadcast(ends), "part").withColumn("b", F.coalesce("b", "left")).withColumn("a", F.coalesce("a", "right"))
+              .withColumn("before", F.when(F.col("b.host") == F.col("host"), F.col("b")))
+              .withColumn("after", F.when(F.col("a.host") == F.col("host"), F.col("a"))))
+    partner = F.when(_common_prefix(F.col("path"), F.col("after.path")) > _common_prefix(F.col("path"), F.col("before.path")),
+                     F.col("after")).otherwise(F.coalesce("before", "after"))
+    return placed.select("host", "said", partner["said"].alias("partner")).where("partner is not null")
+
+
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
     parsed = materialise(pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
@@ -216,16 +234,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     # Pages of a host that say the same are one page, standing at their first path: copies are no furniture of each other.
     open_pages = open_pages.groupBy("host", "said").agg(
         F.min(F.struct("path", "lines")).alias("p")).select("host", "said", "p.path", "p.lines")
-    folder = ["host", F.regexp_replace("path", "[^/]*/?$", "").alias("folder")]
-    sizes = open_pages.groupBy(*folder).agg(F.count(F.lit(1)).alias("c"))
-    grouped = open_pages.withColumn("folder", folder[1]).join(sizes, ["host", "folder"]).withColumn(
-        "part", F.pmod(F.xxhash64("path"), F.ceil(F.col("c") / GROUP_ROWS).cast("long")))
-    near = Window.partitionBy("host", "folder", "part").orderBy("path", "said")
-    paired = (grouped.withColumn("before", F.lag(F.struct("path", "lines")).over(near))
-              .withColumn("after", F.lead(F.struct("path", "lines")).over(near)))
-    partner = F.when(_common_prefix(F.col("path"), F.col("after.path")) > _common_prefix(F.col("path"), F.col("before.path")),
-                     F.col("after")).otherwise(F.coalesce("before", "after"))
-    masks = (paired.withColumn("other", partner["lines"]).where("other is not null")
+    open_pages = materialise(open_pages, "page-open")
+    partners = _partners(open_pages.select("host", "path", "said"))
+    other = open_pages.select("host", F.col("said").alias("partner"), F.col("lines").alias("other"))
+    masks = (open_pages.select("host", "said", "lines").join(partners, ["host", "said"]).join(other, ["host", "partner"])
              .select("host", "said", _furniture_mask("lines", "other").alias("mask")))
     # Copies of one page may be very many: each page's mask stands once in every part.
     masks = materialise(masks, "page-furniture").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
