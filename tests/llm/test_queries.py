@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     want = con.execute(queries.SQL[name]).df()
     cols = sorted(want.columns)
@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 def test_stages_keep_columns_and_take_effect(spark):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat, decontaminate, findings, htmltext, linededup, mixing, neardup, pii, quality, warc
+from tidewatch.llm import (
+    chat, crosstok, decontaminate, findings, htmltext, linededup, mixing, neardup, pii, quality, suffixdedup, vectorcodes, warc)
 
 # The shingle width that the query's contract fixes.
 CONTRACT_SHINGLE = 4
@@ -67,8 +68,22 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup(_table(spark, sf_dir, "documents"), digest=True)
+
+
+def op12_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vectorcodes.encode(_table(spark, sf_dir, "embeddings"))
+    return vectorcodes.with_label_errors(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(coded.books_sha256()).alias("codebooks_sha256"))
+
+
+def op13_crosstok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_warc, op4_decontamination, op5_mixing, op6_neardup, op7_linededup,
-                                   op8_quality, op9_chat, op10_html)}
+                                   op8_quality, op9_chat, op10_html, op11_suffixdedup, op12_vectorcodes, op13_crosstok)}
 
 _OP6 = """
 with recursive w as (
@@ -113,4 +128,45 @@ select doc_id, count(pos)::bigint as n_lines, count(gone)::bigint as n_deleted,
 from marked group by doc_id
 """
 
-SQL = {"op5_mixing": mixing.SQL, "op6_neardup": _OP6, "op7_linededup": _OP7}
+def _op12(rounds: int = vectorcodes.ROUNDS, parts: int = vectorcodes.PARTS, entries: int = vectorcodes.ENTRIES) -> str:
+    """One codebook (part, entry, place, x) per round; every part goes to its nearest entry of each."""
+    sql = f"""
+with k as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(x::double * {vectorcodes.SCALE})::bigint) as q,
+         row_number() over (order by vec_id, embedding) as r
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (
+  select vec_id, label, r, u.part, len(q) // {parts} as width, q[u.part * (len(q) // {parts}) + 1:(u.part + 1) * (len(q) // {parts})] as v
+  from k, (select unnest(range({parts})) as part) u),
+b0 as (select part, r - 1 as entry, v as e from p where r <= {entries})"""
+    for i in range(rounds + 1):
+        sql += f""",
+d{i} as (
+  select p.vec_id, p.label, p.r, p.part, p.width, p.v, b.entry,
+         list_sum(list_transform(range(1, p.width + 1), lambda j: (p.v[j] - b.e[j]) * (p.v[j] - b.e[j])))::bigint as d
+  from p join b{i} b on p.part = b.part),
+a{i} as materialized (
+  select r, part, any_value(vec_id) as vec_id, any_value(label) as label, any_value(v) as v, any_value(width) as width,
+         min(struct_pack(d := d, entry := entry)) as best
+  from d{i} group by r, part)"""
+        if i < rounds:
+            sql += f""",
+s{i} as (
+  select part, entry, j, sum(x)::bigint as s, count(*)::bigint as c
+  from (select part, best.entry as entry, unnest(range(1, width + 1)) as j, unnest(v) as x from a{i}) group by part, entry, j),
+m{i} as (
+  select part, entry, list((s - ((s % c) + c) % c) // c order by j) as e from s{i} group by part, entry),
+b{i + 1} as materialized (
+  select b.part, b.entry, coalesce(m.e, b.e) as e from b{i} b left join m{i} m on b.part = m.part and b.entry = m.entry)"""
+    return sql + f""",
+c as (
+  select r, any_value(vec_id) as vec_id, any_value(label) as label, string_agg(lower(printf('%02x', best.entry)), '' order by part) as code,
+         sum(best.d)::bigint as error
+  from a{rounds} group by r),
+h as (select sha256(string_agg(array_to_string(e, ','), ',' order by part, entry)) as h from b{rounds})
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, h as codebooks_sha256 from c, h
+"""
+
+
+SQL = {"op5_mixing": mixing.SQL, "op6_neardup": _OP6, "op7_linededup": _OP7, "op12_vectorcodes": _op12()}
