@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -48,7 +49,8 @@ ship(__name__)
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_CHARS = 4_000_000
-MAX_STRETCHES = 400_000
+MAX_STRETCHES = 200_000
+_AT_ONCE = 2000  # stretches that one call of a library encodes
 
 _CUT = re.compile(r"(?<=[^\s▁])(?= )")  # the piece tokenizer writes a space as U+2581
 
@@ -131,7 +133,8 @@ class Pair:
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.n_a, self.n_b, self.groups, self.links, self.good = [], [], [], [], []
+        self.n_a, self.n_b, self.good, self.groups = array("q"), array("q"), array("b"), []
+        self.links, self.until = array("q"), array("q", [0])  # links of stretch k: until[k] to until[k + 1]
 
     def stretches(self, text: str) -> list[str]:
         """``text``, with a space before it, cut where both tokenizers must cut."""
@@ -149,20 +152,25 @@ class Pair:
     def learn(self, stretches: list[str]) -> None:
         """Encode and align what has not been seen."""
         new = [s for s in dict.fromkeys(stretches) if s not in self.place]
-        for s, a, b in zip(new, *self.encode(new)):
-            a_bytes, b_bytes, own = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], s.encode()
-            good = b"".join(a_bytes) == own and b"".join(b_bytes) == own
-            cuts = common_ends(_ends(a_bytes), _ends(b_bytes)) if good else []
-            parts, i, j = [], 0, 0
-            for x, y in cuts:
-                parts.append(",".join(map(str, a[i:x + 1])) + "|" + ",".join(map(str, b[j:y + 1])))
-                i, j = x + 1, y + 1
-            self.place[s] = len(self.n_a)
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            self.groups.append(";".join(parts))
-            self.links.append(np.array([a[x] << 32 | b[y] for x, y in cuts], np.int64))
-            self.good.append(good)
+        for start in range(0, len(new), _AT_ONCE):
+            some = new[start:start + _AT_ONCE]
+            for s, a, b in zip(some, *self.encode(some)):
+                self._align(s, a, b)
+
+    def _align(self, s: str, a: list[int], b: list[int]) -> None:
+        a_bytes, b_bytes, own = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], s.encode()
+        good = b"".join(a_bytes) == own and b"".join(b_bytes) == own
+        parts, i, j = [], 0, 0
+        for x, y in common_ends(_ends(a_bytes), _ends(b_bytes)) if good else []:
+            parts.append(f"{a[i]}|{b[j]}" if i == x and j == y else ",".join(map(str, a[i:x + 1])) + "|" + ",".join(map(str, b[j:y + 1])))
+            self.links.append(a[x] << 32 | b[y])
+            i, j = x + 1, y + 1
+        self.place[s] = len(self.n_a)
+        self.n_a.append(len(a))
+        self.n_b.append(len(b))
+        self.good.append(good)
+        self.groups.append(";".join(parts))
+        self.until.append(len(self.links))
 
 
 def _ends(tokens: list[bytes]) -> list[int]:
@@ -182,22 +190,21 @@ def _block(name: int, ids: pa.Array, texts: list[str], pair: Pair) -> pa.RecordB
     if len(pair.place) > MAX_STRETCHES:
         pair.clear()
     pair.learn([s for c in cut for s in c])
-    n_a, n_b, good = np.array(pair.n_a, np.int64), np.array(pair.n_b, np.int64), np.array(pair.good, bool)
-    sizes = np.array([len(x) for x in pair.links], np.int64)
-    figures = np.zeros((3, len(texts)), np.int64)
-    hashes, links, empty = [], [], np.zeros(0, np.int64)
+    n_a, n_b, until, known = (np.array(x, np.int64) for x in (pair.n_a, pair.n_b, pair.until, pair.links))
+    good, sizes = np.array(pair.good, bool), np.diff(until)
+    figures, hashes, links = np.zeros((3, len(texts)), np.int64), [], [np.zeros(0, np.int64)]
     for k, c in enumerate(cut):
         at = [pair.place[s] for s in c]
         if not at or not good[at].all():
             hashes.append("")
-            links.append(empty)
             continue
-        figures[:, k] = n_a[at].sum(), n_b[at].sum(), sizes[at].sum()
+        n = sizes[at]
+        figures[:, k] = n_a[at].sum(), n_b[at].sum(), n.sum()
         hashes.append(hashlib.sha256(";".join([pair.groups[i] for i in at]).encode()).hexdigest())
-        links.append(np.concatenate([pair.links[i] for i in at]))
-    pairs, place, totals = np.unique(np.concatenate([empty, *links]), return_inverse=True, return_counts=True)
+        links.append(known[np.arange(figures[2, k]) + np.repeat(until[at] - (np.cumsum(n) - n), n)])
+    pairs, place, totals = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
     # Per document its distinct links and how often it has each.
-    doc = np.repeat(np.arange(len(texts)), [len(x) for x in links])
+    doc = np.repeat(np.arange(len(texts)), figures[2])
     held, n = np.unique(doc * max(len(pairs), 1) + place, return_counts=True)
     per_doc = np.bincount(held // max(len(pairs), 1), minlength=len(texts))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)

@@ -354,8 +354,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFr
         F.sum("copies").alias("n"), F.min(F.struct("key", "bytes", "first", "windows", "off")).alias("one"))
     kinds = materialise(kinds, "passage-kinds")
     many = kinds.where("n > 1").select("core", "whole")
-    equal = shared.join(many, ["core", "whole"], "left_semi").select(
-        "key", "bytes", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
+    span = ["key", "bytes", "first", (F.col("first") + F.col("windows") - 1).alias("last")]
+    # What a task has met twice is known already; a frequent passage is then one row a task in the join.
+    equal = shared.where("copies <> 1").select(*span).unionByName(
+        shared.where("copies = 1").join(many, ["core", "whole"], "left_semi").select(*span))
     mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
     wanted = kinds.join(mixed, "core", "left_semi").select("core", "whole", "one.*")
     per_text = wanted.groupBy("key", "bytes").agg(F.collect_list(F.struct("core", "whole", "first", "windows", "off")).alias("w"))
