@@ -242,7 +242,11 @@ def test_galloping_and_overlaps():
     for _ in range(400):
         n = rng.randint(1, 60)
         a, b = (sorted(rng.sample(range(1, n + 1), rng.randint(0, n - 1) if n > 1 else 0) + [n + 1]) for _ in "ab")
-        cuts = crosstok.common_ends(a, b)
+        # Between an empty stretch and one of a single common end.
+        bounds = [np.array([0, 0, len(s), len(s) + 1]) for s in (a, b)]
+        x, y = crosstok.common_ends(np.array([*a, n + 2]), np.array([*b, n + 2]), *bounds)
+        assert (x[-1], y[-1]) == (len(a), len(b))
+        cuts = list(zip(x[:-1].tolist(), y[:-1].tolist()))
         assert cuts == [(i, b.index(e)) for i, e in enumerate(a) if e in b]
         starts_a, starts_b = [0, *a], [0, *b]
         want = []

@@ -3,7 +3,7 @@
 Both tokenizers encode the text; their tokens' byte ends are two ascending
 lists. Galloping intersection finds the common ends: each end of the shorter
 list doubles its step through the longer one until it is passed, and a binary
-search in the last step finds it. Common ends cut both token lists into groups;
+search in the last step finds it (all ends of many stretches at once). Common ends cut both token lists into groups;
 differences of ranks (places) inside a group tell which tokens overlap. Tokens
 that end a group together are linked, and each document's links are held
 against the counts of their id pairs over all documents.
@@ -33,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,30 +52,58 @@ MAX_STRETCHES = 200_000
 _AT_ONCE = 2000  # stretches that one call of a library encodes
 
 _CUT = re.compile(r"(?<=[^\s▁])(?= )")  # the piece tokenizer writes a space as U+2581
+_JOINED = re.compile(r"[\s▁] ")
 
 
 # --- alignment of two end lists
 
 
-def gallop(shorter: list[int], longer: list[int]) -> list[tuple[int, int]]:
-    """(place in ``shorter``, place in ``longer``) of the values that both ascending lists hold."""
-    found, low, n = [], 0, len(longer)
-    for i, end in enumerate(shorter):
-        step, high = 1, low
-        while high < n and longer[high] < end:
-            low, high, step = high + 1, high + step, step * 2
-        low = bisect_left(longer, end, low, min(high, n))
-        if low == n:
-            break
-        if longer[low] == end:
-            found.append((i, low))
-            low += 1
-    return found
+def gallop(ends: np.ndarray, longer: np.ndarray, low: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Per value of ``ends`` its place in the ascending ``longer`` between ``low`` and ``limit``, or -1 if it is not there.
 
-
-def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """(place in ``a``, place in ``b``) of the common ends; the shorter list drives the search."""
-    return gallop(a, b) if len(a) <= len(b) else [(i, j) for j, i in gallop(b, a)]
+    All values search at once: each doubles its step from ``low`` on until it
+    is passed, then halves what is left of the last step.
+    """
+    if not len(longer):
+        return np.full(len(ends), -1)
+    low, high = low.copy(), low.copy()
+    step, last = 1, len(longer) - 1
+    on = np.flatnonzero((high < limit) & (longer[np.minimum(high, last)] < ends))
+    while len(on):
+        low[on] = high[on] + 1
+        high[on] += step
+        step *= 2
+        on = on[high[on] < limit[on]]
+        on = on[longer[high[on]] < ends[on]]
+    high = np.minimum(high, limit)
+    on = np.flatnonzero(low < high)
+    while len(on):
+        mid = (low[on] + high[on]) >> 1
+        less = longer[mid] < ends[on]
+        low[on[less]], high[on[~less]] = mid[less] + 1, mid[~less]
+        on = on[low[on] < high[on]]
+    found = low < limit
+    found &= longer[np.minimum(low, last)] == ends
+    return np.where(found, low, -1)
+
+
+def common_ends(a: np.ndarray, b: np.ndarray, until_a: np.ndarray, until_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` of their common ends, stretch by stretch.
+
+    Stretch k has the places until[k] to until[k + 1] of either list. Its
+    shorter list drives the search through the longer one.
+    """
+    n_a, n_b = np.diff(until_a), np.diff(until_b)
+    a_drives = n_a <= n_b
+    out = []
+    for here, there, n, low, limit, drives in ((a, b, n_a, until_b[:-1], until_b[1:], a_drives), (b, a, n_b, until_a[:-1], until_a[1:], ~a_drives)):
+        mine = np.flatnonzero(np.repeat(drives, n))
+        of = np.repeat(np.arange(len(n)), n)[mine]
+        place = gallop(here[mine], there, low[of], limit[of])
+        out.append((mine[place >= 0], place[place >= 0]))
+    x, y = np.concatenate([out[0][0], out[1][1]]), np.concatenate([out[0][1], out[1][0]])
+    order = np.argsort(x)
+    return x[order], y[order]
 
 
 def overlaps(a: list[int], b: list[int], cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -129,6 +156,10 @@ class Pair:
         pre = before.get("pre_tokenizer") or {}
         self.cuts = (pre.get("type") == "ByteLevel" and bool(pre.get("use_regex")) and not pre.get("add_prefix_space")
                      and before.get("normalizer") is None and not any(re.search("[^▁]▁", p) for p in pieces))
+        self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, t in self.a_bytes.items():
+            self.a_size[i] = len(t)
+        self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
         self.clear()
 
     def clear(self) -> None:
@@ -137,48 +168,58 @@ class Pair:
         self.links, self.until = array("q"), array("q", [0])  # links of stretch k: until[k] to until[k + 1]
 
     def stretches(self, text: str) -> list[str]:
-        """``text``, with a space before it, cut where both tokenizers must cut."""
-        return _CUT.split(" " + text) if self.cuts else [" " + text]
+        """``text``, with a space before it, cut where both tokenizers must cut; the space that begins each is left out."""
+        if not self.cuts:
+            return [text]
+        if text[0] == " " or _JOINED.search(text):
+            return [s[1:] for s in _CUT.split(" " + text)]
+        return text.split(" ")
 
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each stretch as they are inside a text."""
-        a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
-        b = self.b.encode([s[1:] for s in stretches], num_threads=1)
+        a = [e.ids for e in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)]
+        b = self.b.encode(stretches, num_threads=1)
         for i, s in enumerate(stretches):
-            if s == " ":  # nothing after the space: encoded behind a letter, which is left out again
+            if not s:  # nothing after the space: encoded behind a letter, which is left out again
                 b[i] = self.b.encode("a ")[len(self.b.encode("a")):]
         return a, b
 
+    def aligned(self, stretches: list[str]) -> tuple:
+        """Ids of both kinds with the stretches' bounds, places of the common ends, and which stretches keep their bytes.
+
+        A stretch whose tokens' bytes are not its own has no tokens here.
+        """
+        a, b = self.encode(stretches)
+        good = np.ones(len(stretches), bool)
+        for table, side in ((self.a_bytes, a), (self.b_bytes, b)):
+            if b"".join([table[i] for ids in side for i in ids]) != (" " + " ".join(stretches)).encode():
+                good &= [b"".join([table[i] for i in ids]) == (" " + s).encode() for ids, s in zip(side, stretches)]
+        if not good.all():
+            a, b = ([ids if ok else [] for ids, ok in zip(side, good)] for side in (a, b))
+        flat_a, flat_b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
+        until_a, until_b = (np.cumsum([0, *map(len, side)]) for side in (a, b))
+        ends_a, ends_b = np.cumsum(self.a_size[flat_a]), np.cumsum(self.b_size[flat_b])
+        return flat_a, flat_b, until_a, until_b, ends_a, ends_b, *common_ends(ends_a, ends_b, until_a, until_b), good
+
     def learn(self, stretches: list[str]) -> None:
         """Encode and align what has not been seen."""
         new = [s for s in dict.fromkeys(stretches) if s not in self.place]
         for start in range(0, len(new), _AT_ONCE):
             some = new[start:start + _AT_ONCE]
-            for s, a, b in zip(some, *self.encode(some)):
-                self._align(s, a, b)
-
-    def _align(self, s: str, a: list[int], b: list[int]) -> None:
-        a_bytes, b_bytes, own = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], s.encode()
-        good = b"".join(a_bytes) == own and b"".join(b_bytes) == own
-        parts, i, j = [], 0, 0
-        for x, y in common_ends(_ends(a_bytes), _ends(b_bytes)) if good else []:
-            parts.append(f"{a[i]}|{b[j]}" if i == x and j == y else ",".join(map(str, a[i:x + 1])) + "|" + ",".join(map(str, b[j:y + 1])))
-            self.links.append(a[x] << 32 | b[y])
-            i, j = x + 1, y + 1
-        self.place[s] = len(self.n_a)
-        self.n_a.append(len(a))
-        self.n_b.append(len(b))
-        self.good.append(good)
-        self.groups.append(";".join(parts))
-        self.until.append(len(self.links))
-
-
-def _ends(tokens: list[bytes]) -> list[int]:
-    out, end = [], 0
-    for t in tokens:
-        end += len(t)
-        out.append(end)
-    return out
+            a, b, until_a, until_b, _, _, x, y, good = self.aligned(some)
+            self.place.update(zip(some, range(len(self.n_a), len(self.n_a) + len(some))))
+            self.n_a.frombytes(np.diff(until_a).astype(np.int64).tobytes())
+            self.n_b.frombytes(np.diff(until_b).astype(np.int64).tobytes())
+            self.good.frombytes(good.astype(np.int8).tobytes())
+            self.links.frombytes((a[x] << 32 | b[y]).tobytes())
+            cuts = np.searchsorted(x, until_a)
+            self.until.frombytes((self.until[-1] + cuts[1:]).astype(np.int64).tobytes())
+            # The groups as text: each goes from the place after the cut before it.
+            ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+            parts = [f"{ids_a[i]}|{ids_b[j]}" if i == p and j == q else ",".join(ids_a[i:p + 1]) + "|" + ",".join(ids_b[j:q + 1])
+                     for i, p, j, q in zip([0, *(x + 1).tolist()], x.tolist(), [0, *(y + 1).tolist()], y.tolist())]
+            cuts = cuts.tolist()
+            self.groups += [";".join(parts[i:j]) for i, j in zip(cuts, cuts[1:])]
 
 
 # --- blocks of documents
@@ -194,13 +235,14 @@ def _block(name: int, ids: pa.Array, texts: list[str], pair: Pair) -> pa.RecordB
     good, sizes = np.array(pair.good, bool), np.diff(until)
     figures, hashes, links = np.zeros((3, len(texts)), np.int64), [], [np.zeros(0, np.int64)]
     for k, c in enumerate(cut):
-        at = [pair.place[s] for s in c]
-        if not at or not good[at].all():
+        known_at = list(map(pair.place.__getitem__, c))
+        at = np.array(known_at, np.int64)
+        if not c or not good[at].all():
             hashes.append("")
             continue
         n = sizes[at]
         figures[:, k] = n_a[at].sum(), n_b[at].sum(), n.sum()
-        hashes.append(hashlib.sha256(";".join([pair.groups[i] for i in at]).encode()).hexdigest())
+        hashes.append(hashlib.sha256(";".join(map(pair.groups.__getitem__, known_at)).encode()).hexdigest())
         links.append(known[np.arange(figures[2, k]) + np.repeat(until[at] - (np.cumsum(n) - n), n)])
     pairs, place, totals = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
     # Per document its distinct links and how often it has each.
@@ -305,18 +347,15 @@ def token_groups(pair: Pair, text: str) -> list[tuple]:
     """(group, first byte, end byte, A ids, B ids, per A id its first and last partner in the group) of space + text."""
     if not text:
         return []
-    cut = pair.stretches(text)
-    a, b = ([i for ids in side for i in ids] for side in pair.encode(cut))
-    a_bytes, b_bytes = [pair.a_bytes[i] for i in a], [pair.b_bytes[i] for i in b]
-    if not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+    a, b, until_a, until_b, a_ends, b_ends, x, y, good = pair.aligned(pair.stretches(text))
+    if not good.all():
         return []
-    a_ends, b_ends = _ends(a_bytes), _ends(b_bytes)
-    cuts = common_ends(a_ends, b_ends)
+    a, b, a_ends, b_ends, cuts = a.tolist(), b.tolist(), a_ends.tolist(), b_ends.tolist(), list(zip(x.tolist(), y.tolist()))
     shared = overlaps(a_ends, b_ends, cuts)
     out, i, j, start = [], 0, 0, 0
-    for g, (x, y) in enumerate(cuts):
-        out.append((g, start, a_ends[x], a[i:x + 1], b[j:y + 1], [[p - j, q - j] for p, q in shared[i:x + 1]]))
-        i, j, start = x + 1, y + 1, a_ends[x]
+    for g, (p, q) in enumerate(cuts):
+        out.append((g, start, a_ends[p], a[i:p + 1], b[j:q + 1], [[u - j, v - j] for u, v in shared[i:p + 1]]))
+        i, j, start = p + 1, q + 1, a_ends[p]
     return out
 
 
