@@ -42,6 +42,7 @@ def main(sf_dir: str) -> None:
     from tidewatch.plans import batch as P
     from tidewatch.plans.layers import Layers
     from tidewatch.session import prepare
+    from tidewatch.sources import storage as io
 
     spark = (
         SparkSession.builder.master("local[4,3]")
@@ -58,7 +59,7 @@ def main(sf_dir: str) -> None:
     root = "file://" + tempfile.mkdtemp(prefix="tidewatch-fault-")
     P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
     P.run(spark, root, scorer_factory=flaky_factory)
-    news = spark.read.parquet(root + "/silver/news")
+    news = io.read_table(spark, root + "/silver/news")
     expected = L.news_sentiment
     gold = P.read_gold(spark, root).select(*L.gold.columns)
     marks = os.environ.get("TIDEWATCH_FAULT_MARKS")

@@ -11,6 +11,7 @@ from tidewatch.functions.lexicon import lexicon_score_pandas
 from tidewatch.operators import sentiment as SN
 from tidewatch.plans import batch as P
 from tidewatch.plans.layers import Layers
+from tidewatch.sources import publish as PB
 from tidewatch.sources import raw as RW
 from tidewatch.sources import schemas
 from tidewatch.sources import storage as io
@@ -125,7 +126,7 @@ def test_pipeline_equals_in_memory_chain(spark, tmp_root, layout):
     assert observed["marts.fct_weekly_summary"] == L.weekly.count()
     stored = P.read_gold(spark, root, layout).select(*L.gold.columns)
     assert stored.exceptAll(L.gold).count() == 0
-    report = spark.read.parquet(f"{root}/marts/quality_report")
+    report = io.read_table(spark, f"{root}/marts/quality_report")
     assert report.where(~F.col("passed")).count() == 0 and report.count() == 21
     inv = {(r.layer, r.table) for r in io.layer_inventory(spark, root).collect()}
     assert ("silver", "stocks") in inv and ("gold", "dim_tickers") in inv and ("bronze", "news") in inv
@@ -238,10 +239,10 @@ def test_batch_stops_when_a_data_check_fails(spark, tmp_root):
                                                  F.lit("sideways")).otherwise(F.col("market_signal")))
     side = f"file://{tmp_root}/bad_signals"  # written aside first: a path cannot be read and overwritten at once
     io.write_clustered(bad, side)
-    spark.read.parquet(side).write.mode("overwrite").parquet(f"{root}/marts/fct_market_signals")
+    PB.publish(spark, f"{root}/marts/fct_market_signals", spark.read.parquet(side).write.parquet)
     with pytest.raises(P.QualityError, match="accepted_values"):
         P.run(spark, root, from_step="quality", strict=True)
-    report = spark.read.parquet(f"{root}/marts/quality_report")
+    report = io.read_table(spark, f"{root}/marts/quality_report")
     assert report.where(~F.col("passed")).count() == 1  # the report is written before stopping
     listing = P.run(spark, root, from_step="quality", strict=False)
     assert listing.count() == 6
@@ -265,7 +266,7 @@ def test_command_line_runs_and_resumes(spark, tmp_root, capsys):
     assert kept == {"fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity", "fct_market_signals", "fct_weekly_summary"}
     per_ticker = spark.table("tw_test_market.fct_market_signals").groupBy("ticker").count()
     assert per_ticker.count() == L.silver_stocks.select("ticker").distinct().count()
-    news = spark.read.parquet(f"{root}/silver/news")
+    news = io.read_table(spark, f"{root}/silver/news")
     assert news.exceptAll(SN.score_news(L.news_clean).select(news.columns)).count() == 0
     spark.sql("DROP DATABASE tw_test_market CASCADE")
     assert P.main([root, "--buckets", "4", "--from", "marts"]) == 0

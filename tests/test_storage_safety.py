@@ -38,7 +38,7 @@ def test_bucketed_resume_keeps_all_tickers(spark, tmp_root):
     batch.run(spark, tmp_root, layout="bucketed", buckets=16)
 
     def weekly():
-        return sorted(map(tuple, spark.read.parquet(f"{tmp_root}/marts/fct_weekly_summary").groupBy("ticker").count().collect()))
+        return sorted(map(tuple, io.read_table(spark, f"{tmp_root}/marts/fct_weekly_summary").groupBy("ticker").count().collect()))
 
     want = weekly()
     for t in spark.catalog.listTables():

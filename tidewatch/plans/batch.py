@@ -2,7 +2,9 @@
 
 Each step reads the previous layer from storage and writes its own, so a
 lost executor costs at most the running step's tasks, and no step keeps a
-long lineage. Every write overwrites its target, so a step can be re-run.
+long lineage. Every write publishes a new version of its table as its last
+act (``sources.publish``), so a step can be re-run and a broken one leaves the
+tables as they were.
 Steps run in order; ``from_step`` starts later, as a re-run after a failure
 would. Layout under ``root``:
 
@@ -33,7 +35,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import gold as G
@@ -42,6 +44,7 @@ from tidewatch.operators import quality as Q
 from tidewatch.operators import sentiment as SN
 from tidewatch.operators import silver as SV
 from tidewatch.session import prepare
+from tidewatch.sources import publish as PB
 from tidewatch.sources import schemas
 from tidewatch.sources import storage as io
 
@@ -62,27 +65,30 @@ def land(root: str, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataF
 
 
 class RowCounts(dict):
-    """Rows written per table, observed during the writes (no extra pass)."""
+    """Rows per table, each settled once.
 
-    def watch(self, name: str, df: DataFrame) -> DataFrame:
-        obs = Observation(name)
-        self[name] = obs
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    Written tables are counted from the files of the published version, landed
+    ones by an aggregate over them. Neither depends on how often a task or a
+    stage ran, as counts taken along the way would.
+    """
+
+    def settle(self, name: str, rows: int) -> None:
+        self[name] = {"rows": rows, "corrupt": 0}
 
-    def watch_raw(self, name: str, df: DataFrame) -> DataFrame:
+    def count_raw(self, name: str, df: DataFrame) -> DataFrame:
         """Counts landed records and those that could not be parsed."""
-        obs = Observation(name)
-        self[name] = obs
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.count(io.CORRUPT).alias("corrupt")).drop(io.CORRUPT)
+        # All columns are counted, as a record is corrupt by any field that is read.
+        counts = [F.count(F.col(f"`{c}`")).alias(c) for c in df.columns if c != io.CORRUPT]
+        found = df.agg(F.count(F.lit(1)).alias("rows"), F.count(io.CORRUPT).alias("corrupt"), *counts).first()
+        self[name] = {"rows": found["rows"], "corrupt": found["corrupt"]}
+        return df.drop(io.CORRUPT)
 
     def result(self) -> dict[str, int]:
-        return {k: int(v.get["rows"]) for k, v in self.items()}
+        return {k: int(v["rows"]) for k, v in self.items()}
 
     def corrupt(self) -> dict[str, int]:
         """Unparsable records by landed table, where there are any."""
-        found = {k: int(v.get.get("corrupt", 0)) for k, v in self.items()}
-        return {k: n for k, n in found.items() if n}
+        return {k: int(v["corrupt"]) for k, v in self.items() if v["corrupt"]}
 
 
 class Layout:
@@ -100,12 +106,15 @@ class Layout:
 
     def write(self, df: DataFrame, layer: str, table: str, counts: RowCounts) -> None:
         path, name = _p(self.root, layer, table), f"{layer}.{table}"
-        if self.kind == "by_ticker":
-            io.write_partitioned(df, path, after_exchange=lambda d: counts.watch(name, d))
-        elif self.kind == "bucketed":
-            io.write_bucketed(counts.watch(name, df), path, self.table_name(layer, table), self.buckets)
+        if self.kind == "bucketed":
+            rows = io.write_bucketed(df, path, self.table_name(layer, table), self.buckets)
         else:
-            io.write_clustered(counts.watch(name, df), path)
+            writer = io.write_partitioned if self.kind == "by_ticker" else io.write_clustered
+            rows = PB.publish(self.spark, path, lambda folder: writer(df, folder))
+        counts.settle(name, rows)
+
+    def write_flat(self, df: DataFrame, layer: str, table: str, counts: RowCounts) -> None:
+        counts.settle(f"{layer}.{table}", PB.publish(self.spark, _p(self.root, layer, table), lambda folder: io.write_flat(df, folder)))
 
     def read(self, layer: str, table: str, schema=None) -> DataFrame:
         path = _p(self.root, layer, table)
@@ -133,15 +142,15 @@ def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None
 
     def raw(name: str, schema) -> DataFrame:
         found = io.read_raw_json(spark, _p(root, "bronze", name), schema, multi_line, with_corrupt=True)
-        return counts.watch_raw(f"bronze.{name}", found)
+        return counts.count_raw(f"bronze.{name}", found)
 
     raw_s, raw_n, raw_m = raw("stocks", schemas.RAW_STOCKS), raw("news", schemas.RAW_NEWS), raw("fred", schemas.RAW_MACRO)
     lay.write(SV.clean_stocks(raw_s), "silver", "stocks", counts)
     news = SV.clean_news(raw_n)
     scored = SN.score_news(news, **(lexicon or {})) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
-    io.write_flat(counts.watch("silver.news", scored), _p(root, "silver", "news"))
+    lay.write_flat(scored, "silver", "news", counts)
     macro = SV.macro_ffill(SV.clean_macro(raw_m))
-    io.write_flat(counts.watch("silver.fred", macro), _p(root, "silver", "fred"))
+    lay.write_flat(macro, "silver", "fred", counts)
 
 
 def gold_step(spark: SparkSession, root: str, layout: str | Layout = "clustered",
@@ -154,9 +163,8 @@ def gold_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
     gold = G.daily_market_summary(stocks, G.daily_news(news), macro)
     lay.write(gold, "gold", "fct_daily_market_summary", counts)
     stored = read_gold(spark, root, lay)
-    io.write_flat(counts.watch("gold.dim_tickers", G.dim_tickers(stored)), _p(root, "gold", "dim_tickers"))
-    io.write_flat(counts.watch("gold.fct_sentiment_sensitivity", G.sentiment_sensitivity(stored)),
-                  _p(root, "gold", "fct_sentiment_sensitivity"))
+    lay.write_flat(G.dim_tickers(stored), "gold", "dim_tickers", counts)
+    lay.write_flat(G.sentiment_sensitivity(stored), "gold", "fct_sentiment_sensitivity", counts)
 
 
 def read_gold(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
@@ -174,8 +182,7 @@ def marts_step(spark: SparkSession, root: str, layout: str | Layout = "clustered
     sig = M.market_signals(M.stg_daily_market(read_gold(spark, root, lay)))
     lay.write(sig, "marts", "fct_market_signals", counts)
     stored = read_signals(spark, root, lay)
-    io.write_flat(counts.watch("marts.fct_weekly_summary", M.weekly_summary(stored)),
-                  _p(root, "marts", "fct_weekly_summary"))
+    lay.write_flat(M.weekly_summary(stored), "marts", "fct_weekly_summary", counts)
 
 
 def model_tables(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> dict[str, DataFrame]:
@@ -183,11 +190,11 @@ def model_tables(spark: SparkSession, root: str, layout: str | Layout = "cluster
     gold = read_gold(spark, root, lay)
     return {
         "fct_daily_market_summary": gold,
-        "dim_tickers": spark.read.parquet(_p(root, "gold", "dim_tickers")),
-        "fct_sentiment_sensitivity": spark.read.parquet(_p(root, "gold", "fct_sentiment_sensitivity")),
+        "dim_tickers": io.read_table(spark, _p(root, "gold", "dim_tickers")),
+        "fct_sentiment_sensitivity": io.read_table(spark, _p(root, "gold", "fct_sentiment_sensitivity")),
         "stg_daily_market": M.stg_daily_market(gold),
         "fct_market_signals": read_signals(spark, root, lay),
-        "fct_weekly_summary": spark.read.parquet(_p(root, "marts", "fct_weekly_summary")),
+        "fct_weekly_summary": io.read_table(spark, _p(root, "marts", "fct_weekly_summary")),
     }
 
 
@@ -203,8 +210,9 @@ def quality_step(spark: SparkSession, root: str, layout: str | Layout = "cluster
     is bounded by the number of checks, not by the data.
     """
     report = Q.quality_report(model_tables(spark, root, layout))
-    io.write_flat(report.coalesce(1), _p(root, "marts", "quality_report"))
-    stored = spark.read.parquet(_p(root, "marts", "quality_report"))
+    path = _p(root, "marts", "quality_report")
+    PB.publish(spark, path, lambda folder: io.write_flat(report.coalesce(1), folder))
+    stored = io.read_table(spark, path)
     if strict:
         failed = stored.where(~F.col("passed")).collect()
         if failed:

@@ -141,7 +141,7 @@ def _layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = None
     for layer, table in LAKE_TABLES:
         path = f"{root}/{layer}/{table}"
-        stored = spark.read.text(path) if layer == "bronze" else spark.read.parquet(path)
+        stored = spark.read.text(path) if layer == "bronze" else io.read_table(spark, path)
         part = stored.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), "row_count")
         rows = part if rows is None else rows.unionByName(part)
     found = io.layer_inventory(spark, root).select(

@@ -7,6 +7,8 @@ nothing is staged on a machine-local disk and copied afterwards.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -14,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.sources import publish as PB
+
 
 # --- sources -----------------------------------------------------------------
 CORRUPT = "_corrupt_record"
@@ -36,11 +40,11 @@ def read_raw_json(spark: SparkSession, path: str, schema: T.StructType, multi_li
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet table; with a schema, partition columns keep their declared type."""
+    """Parquet table, published or plain; with a schema, partition columns keep their declared type."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(PB.location(spark, path))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -97,77 +101,81 @@ def write_clustered(df: DataFrame, path: str, by: str = "ticker", order: str = "
 
 
 def write_bucketed(df: DataFrame, path: str, table: str, buckets: int, by: str = "ticker",
-                   order: str = "date") -> None:
-    """Overwrite a Parquet table at ``path`` bucketed by ``by`` into ``buckets``,
-    sorted by (by, order), and register it as ``table`` in the session catalog.
+                   order: str = "date") -> int:
+    """Publish a Parquet table at ``path`` bucketed by ``by`` into ``buckets``, sorted by (by, order),
+    and declare it as ``table`` in the session catalog; returns its rows.
 
     Readers of the table that group or window by ``by`` reuse the bucketing
     instead of shuffling. Rows are hash-partitioned into the bucket count
     first (a no-op when the plan already has that partitioning), so each
     task writes one file per bucket rather than one per bucket it happens to see.
+    The bucket count is part of the version's manifest, so data and count
+    become visible together.
     """
-    (
-        df.repartition(buckets, F.col(by))
-        .write.format("parquet")
-        .mode("overwrite")
-        .bucketBy(buckets, by)
-        .sortBy(by, order)
-        .option("path", path)
-        .saveAsTable(table)
-    )
-    df.sparkSession.range(1).select(F.lit(buckets).cast("int").alias("buckets")).coalesce(1).write.mode("overwrite").json(
-        _bucket_mark(path))
-
+    spark = df.sparkSession
 
-def _bucket_mark(path: str) -> str:
-    """Where the bucket count of the table at ``path`` is kept (a hidden folder of its layer)."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_buckets/{name}"
+    def write(folder: str) -> None:
+        name = f"tw_writing_{uuid.uuid4().hex}"  # Spark buckets only what it saves as a table
+        try:
+            (
+                df.repartition(buckets, F.col(by))
+                .write.format("parquet")
+                .bucketBy(buckets, by)
+                .sortBy(by, order)
+                .option("path", folder)
+                .saveAsTable(name)
+            )
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: the files stay
+
+    rows = PB.publish(spark, path, write, buckets)
+    bucketed_table(spark, table, path, by, order)
+    return rows
 
 
 def bucket_count(spark: SparkSession, path: str) -> int | None:
-    """The bucket count that the table at ``path`` was written with, if it is known."""
-    try:
-        return spark.read.schema("buckets int").json(_bucket_mark(path)).first()["buckets"]
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
+    """The bucket count that the published table at ``path`` was written with, if it has one."""
+    whole = PB.totals(spark, path)
+    return None if whole is None else whole["buckets"]
 
 
 def bucketed_table(spark: SparkSession, table: str, path: str, by: str = "ticker", order: str = "date") -> DataFrame:
-    """The bucketed table ``table`` over the files at ``path``.
+    """The bucketed table ``table`` over the published version at ``path``.
 
-    A session that does not know the table, or knows it with another bucket
-    count, declares it with the count kept beside the files: with any other
-    count Spark would skip files or look for keys in the wrong ones. Files
-    without a known count are read as plain Parquet.
+    A session that does not know the table, or knows it over another version
+    or with another bucket count, declares it with the count of the manifest:
+    with any other count Spark would skip files or look for keys in the wrong
+    ones. Files without a known count are read as plain Parquet.
     """
-    written = bucket_count(spark, path)
+    written, folder = bucket_count(spark, path), PB.location(spark, path)
     if written is None:
-        return spark.read.parquet(path)
+        return spark.read.parquet(folder)
     if spark.catalog.tableExists(table):
-        declared = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
-        if declared is not None and int(declared["data_type"]) == written:
-            spark.catalog.refreshTable(table)
+        facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name in ('Num Buckets', 'Location')").collect()}
+        if facts.get("Num Buckets") == str(written) and _plain(facts.get("Location", "")) == _plain(folder):
             return spark.table(table)
         spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
-    fields = spark.read.parquet(path).schema.fields
+    fields = spark.read.parquet(folder).schema.fields
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{by}`) "
-        f"SORTED BY (`{by}`, `{order}`) INTO {written} BUCKETS LOCATION '{path}'"
+        f"SORTED BY (`{by}`, `{order}`) INTO {written} BUCKETS LOCATION '{folder}'"
     )
     return spark.table(table)
 
 
+def _plain(uri: str) -> str:
+    """A location without the spelling differences of its scheme (file:/x, file:///x, /x)."""
+    return re.sub(r"^file:/*", "/", uri.rstrip("/"))
+
+
 # --- tables ------------------------------------------------------------------
 def register_tables(spark: SparkSession, root: str, names: Iterable[str]) -> list[str]:
     """Register each ``root/name`` Parquet folder as a view ``name``; skip absent ones."""
     done = []
     for name in names:
         try:
-            df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+            df = read_table(spark, f"{root.rstrip('/')}/{name}")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 continue
@@ -191,7 +199,7 @@ def register_database(spark: SparkSession, database: str, paths: dict[str, str])
         if bucket_count(spark, path) is not None:
             bucketed_table(spark, table, path)
             continue
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{PB.location(spark, path)}'")
         if spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = '# Partition Information'").count():
             spark.catalog.recoverPartitions(table)
     return spark.sql(f"SHOW TABLES IN `{database}`").where("not isTemporary").select(F.col("namespace").alias("database_name"), F.col("tableName").alias("table_name"))
@@ -228,9 +236,21 @@ def layer_inventory(spark: SparkSession, root: str) -> DataFrame:
 
     Reads only file metadata: the binary source prunes the content column
     when just path and length are selected. Names starting with ``.`` or
-    ``_`` are skipped by Spark's listing.
+    ``_`` are skipped by Spark's listing. Of a published table only the
+    version counts that readers open.
     """
     base = root.rstrip("/")
+    found = _inventory_files(spark, base)
+    tables = [(r.layer, r.table) for r in found.where("version is not null").select("layer", "table").distinct().collect()]
+    current = [F.struct(F.lit(x).alias("layer"), F.lit(y).alias("table"), F.lit(PB.version(spark, f"{base}/{x}/{y}")).alias("version")) for x, y in tables]
+    counted = F.col("version").isNull()
+    for c in current:
+        counted |= F.struct("layer", "table", "version") == c
+    return found.where(counted).groupBy("layer", "table").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def _inventory_files(spark: SparkSession, base: str) -> DataFrame:
+    """layer, table, version (NULL if plain) and length of every data file."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -239,13 +259,24 @@ def layer_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
     layer_path = r"^.*?/(bronze|silver|gold|marts)/(.*)$"
     parts = F.split(F.regexp_extract(F.col("path"), layer_path, 2), "/")
-    return (
-        files.select(
-            F.regexp_extract(F.col("path"), layer_path, 1).alias("layer"),
-            F.element_at(parts, 1).alias("table"),
-            "length",
-        )
-        .where(F.col("layer") != "")
-        .groupBy("layer", "table")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    )
+    return files.select(
+        F.regexp_extract(F.col("path"), layer_path, 1).alias("layer"),
+        F.element_at(parts, 1).alias("table"),
+        F.when(F.get(parts, F.lit(1)) == "versions", F.get(parts, F.lit(2))).alias("version"),
+        "length",
+    ).where(F.col("layer") != "")
+
+
+def checked_inventory(spark: SparkSession, root: str, layers: Iterable[str] = ("silver", "gold", "marts")) -> DataFrame:
+    """Per published table under ``root``: files, bytes and rows of its manifest, files that are gone or of another
+    length, and whether all are there."""
+    out = None
+    for layer in layers:
+        for table in PB.published_tables(spark, f"{root.rstrip('/')}/{layer}"):
+            part = PB.checked_files(spark, f"{root.rstrip('/')}/{layer}/{table}").agg(
+                F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+                F.count_if(~F.col("passed")).alias("failed_files")).select(
+                F.lit(layer).alias("layer"), F.lit(table).alias("table"), "files", "bytes", "row_count", "failed_files",
+                (F.col("failed_files") == 0).alias("passed"))
+            out = part if out is None else out.unionByName(part)
+    return out
