@@ -80,6 +80,7 @@ def bucketed_section(spark, sf_dir: str, cols: list[str]) -> None:
     from tidewatch.plans import batch as P
     from tidewatch.plans.layers import Layers
     from tidewatch.session import scratch_path
+    from tidewatch.sources import storage
 
     L = Layers.from_testdata(spark, sf_dir)
     plans = {}
@@ -88,8 +89,8 @@ def bucketed_section(spark, sf_dir: str, cols: list[str]) -> None:
         P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
         P.run(spark, root, layout=layout, buckets=8)
         lay = P.Layout(spark, root, layout, 8)
-        news = io.read_table(spark, f"{root}/silver/news")
-        macro = io.read_table(spark, f"{root}/silver/fred")
+        news = storage.read_table(spark, f"{root}/silver/news")
+        macro = storage.read_table(spark, f"{root}/silver/fred")
         gold = lay.read("gold", "fct_daily_market_summary")
         plans[layout] = {
             "gold from stored silver": G.daily_market_summary(lay.read("silver", "stocks"), G.daily_news(news), macro),

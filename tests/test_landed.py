@@ -1,0 +1,70 @@
+"""Landed JSON of any form: array files cut at every byte range, records by line, and both in one folder."""
+
+import json
+import os
+import random
+
+import pytest
+
+from tidewatch.sources import landed, schemas
+
+AWKWARD = ['a } b', '{"x": [1, "}"]}', 'quote " and \\ back', "\\", '\\"', "}{", "é漢🙂}", "line\nend", "", "[", "]}", "tab\t{", '"}']
+
+
+def record(rng, i):
+    return {"title": f"{i} " + rng.choice(AWKWARD), "url": rng.choice([None, "u{", "https://n/" + str(i)]), "publishedAt": rng.choice(AWKWARD),
+            "source": rng.choice([{"name": rng.choice(AWKWARD)}, {"name": None}, None]), "content": rng.choice(AWKWARD) * rng.randint(0, 40)}
+
+
+def flat(r):
+    return (r["title"], r["url"], r["publishedAt"], (r["source"] or {}).get("name") if isinstance(r["source"], dict) or r["source"] is None
+            else r["source"].name, r["content"])
+
+
+def read(spark, path, bytes_a_range):
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_a_range)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        return landed.read_landed_json(spark, f"file://{path}", schemas.NEWS_ARTICLE, with_corrupt=True).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("bytes_a_range", [97, 1500])
+def test_mixed_folder_in_small_ranges(spark, tmp_root, bytes_a_range):
+    rng = random.Random(bytes_a_range)
+    want, forms = [], [lambda x: json.dumps(x), lambda x: json.dumps(x, indent=2, ensure_ascii=False), lambda x: "﻿ \n" + json.dumps(x, separators=(",", ":")),
+                       lambda x: "\n".join(map(json.dumps, x)) + "\n", lambda x: "\n".join(json.dumps(r, indent=1) for r in x)]
+    for k, form in enumerate(forms * 2):
+        rows = [record(rng, 100 * k + i) for i in range(rng.randint(1, 14))]
+        want += map(flat, rows)
+        with open(f"{tmp_root}/part {k}.json", "w", encoding="utf-8") as f:
+            f.write(form(rows))
+    for name, text in (("empty", ""), ("blank", " \n"), ("none", "[]"), ("spaced", " [ \n ] ")):
+        with open(f"{tmp_root}/{name}.json", "w") as f:
+            f.write(text)
+    got = read(spark, tmp_root, bytes_a_range)
+    assert all(r[landed.CORRUPT] is None for r in got)
+    assert sorted(map(str, ((r.title, r.url, r.publishedAt, r.source.name if r.source else None, r.content) for r in got))) == sorted(map(str, want))
+
+
+def test_broken_records_are_counted_and_cost_no_others(spark, tmp_root):
+    with open(f"{tmp_root}/a.json", "w") as f:
+        f.write('[{"title": "one"}, {"title": "two", "url": }, {"title": "three"}, {"title": "cut o')
+    with open(f"{tmp_root}/b.json", "w") as f:
+        f.write('{"title": "four"}\n{"title": "cut off\n{"title": "five"}\n')
+    got = read(spark, tmp_root, "128m")
+    assert sorted(r.title for r in got if r[landed.CORRUPT] is None) == ["five", "four", "one", "three"]
+    assert sum(r[landed.CORRUPT] is not None for r in got) == 3
+
+
+def test_arrays_written_and_read(spark, tmp_root):
+    path = f"{tmp_root}/w"
+    df = spark.range(500).selectExpr("concat('t}', id) as title", "if(id % 3 = 0, null, 'x') as url").repartition(3)
+    landed.write_json_arrays(df, f"file://{path}")
+    files = [f"{path}/{n}" for n in os.listdir(path) if n.endswith(".txt")]
+    assert sum(len(json.load(open(f))) for f in files) == 500
+    got = read(spark, path, 300)
+    assert len(got) == 500 and {r.title for r in got} == {f"t}}{i}" for i in range(500)}

@@ -1,4 +1,4 @@
-"""The daily batch: bronze -> silver -> gold -> marts -> checks -> views.
+"""The daily batch: (payloads -> bronze ->) silver -> gold -> marts -> checks -> views.
 
 Each step reads the previous layer from storage and writes its own, so a
 lost executor costs at most the running step's tasks, and no step keeps a
@@ -8,7 +8,8 @@ tables as they were.
 Steps run in order; ``from_step`` starts later, as a re-run after a failure
 would. Layout under ``root``:
 
-  bronze/{stocks,news,fred}        newline JSON landing batches
+  landing/{stocks,news,fred}       payload files as the sources sent them
+  bronze/{stocks,news,fred}        raw records: newline JSON landing batches, or the intake's plans
   silver/stocks, silver/news, silver/fred
   gold/fct_daily_market_summary, gold/dim_tickers, gold/fct_sentiment_sensitivity
   marts/fct_market_signals, marts/fct_weekly_summary, marts/quality_report
@@ -47,7 +48,10 @@ from tidewatch.session import prepare
 from tidewatch.sources import publish as PB
 from tidewatch.sources import schemas
 from tidewatch.sources import storage as io
+from tidewatch.sources.intake import PAYLOADS, CorruptPayload, take_in
 
+# A run starts at silver unless it is told to take in payloads first (``from_step="bronze"``).
+BRONZE = "bronze"
 STEPS = ["silver", "gold", "marts", "quality", "load"]
 LAYOUTS = ("clustered", "bucketed", "by_ticker")
 GOLD_TABLES = ["fct_daily_market_summary", "dim_tickers", "fct_sentiment_sensitivity"]
@@ -64,6 +68,11 @@ def land(root: str, raw_stocks: DataFrame, raw_news: DataFrame, raw_macro: DataF
     io.append_json(raw_macro, _p(root, "bronze", "fred"))
 
 
+def bronze_step(spark: SparkSession, root: str, stamp: str | None = None, strict: bool = True) -> dict[str, int]:
+    """Payload files that are new under ``landing`` to raw records in bronze; returns the files taken by source."""
+    return {s: take_in(spark, root, s, _p(root, "landing", s), stamp, strict) for s in PAYLOADS}
+
+
 class RowCounts(dict):
     """Rows per table, each settled once.
 
@@ -131,8 +140,8 @@ def _layout(spark: SparkSession, root: str, layout: str | Layout) -> Layout:
 
 def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None = None,
                 layout: str | Layout = "clustered", counts: RowCounts | None = None,
-                multi_line: bool = False, lexicon: dict[str, list[str]] | None = None) -> None:
-    """Bronze to silver. ``multi_line``: each landed file is one JSON array.
+                multi_line: bool | None = False, lexicon: dict[str, list[str]] | None = None) -> None:
+    """Bronze to silver. ``multi_line``: each landed file is one JSON array; None: files of any form.
 
     News are scored by ``scorer_factory``, else by the word lists of
     ``lexicon`` (positive, negative), else by the lists for the test tables.
@@ -253,10 +262,12 @@ def load_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
 def run(spark: SparkSession, root: str, from_step: str | None = None,
         scorer_factory: Callable | None = None, layout: str = "clustered",
         counts: RowCounts | None = None, buckets: int | None = None, strict: bool = True,
-        multi_line: bool = False, lexicon: dict[str, list[str]] | None = None, database: str | None = None) -> DataFrame:
+        multi_line: bool | None = False, lexicon: dict[str, list[str]] | None = None, database: str | None = None) -> DataFrame:
     """Run the steps from ``from_step`` on; returns the registered-table listing.
 
-    ``multi_line`` reads landed files that each hold one JSON array. Records
+    ``from_step="bronze"`` first takes in the payload files that have landed
+    since the last run (``sources.intake``). ``multi_line`` reads landed files
+    that each hold one JSON array, or any mix of forms if None. Records
     that cannot be parsed (also arrays read line by line) stop a strict run
     after the silver step, with ``QualityError``.
 
@@ -270,6 +281,9 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
     prepare(spark)
     lay = Layout(spark, root, layout, buckets)
     counts = RowCounts() if counts is None else counts
+    if from_step == BRONZE:
+        bronze_step(spark, root, strict=strict)
+        from_step = None
     start = STEPS.index(from_step) if from_step else 0
     listing = None
     for step in STEPS[start:]:
@@ -290,7 +304,7 @@ def run(spark: SparkSession, root: str, from_step: str | None = None,
 
 def main(argv: list[str] | None = None) -> int:
     """``python -m tidewatch.plans.batch ROOT [--from STEP] [--layout L] [--buckets N]
-    [--multi-line] [--database D] (--lexicon FILE | --model M --tokenizer T)``.
+    [--multi-line | --any-form] [--database D] (--lexicon FILE | --model M --tokenizer T)``.
 
     A run that scores news (from the silver step on) must name its scorer.
 
@@ -302,11 +316,12 @@ def main(argv: list[str] | None = None) -> int:
 
     parser = argparse.ArgumentParser(prog="tidewatch.plans.batch")
     parser.add_argument("root", help="lake root URI holding bronze/, silver/, gold/, marts/")
-    parser.add_argument("--from", dest="from_step", choices=STEPS, default=None, help="start at this step")
+    parser.add_argument("--from", dest="from_step", choices=[BRONZE, *STEPS], default=None, help="start at this step")
     parser.add_argument("--layout", choices=LAYOUTS, default="bucketed",
                         help="per-ticker table layout (default: bucketed, reused partitioning)")
     parser.add_argument("--buckets", type=int, default=None, help="bucket count for --layout bucketed")
     parser.add_argument("--multi-line", action="store_true", help="landed files hold one JSON array each")
+    parser.add_argument("--any-form", action="store_true", help="landed files hold records by line or arrays, in any mix and size")
     parser.add_argument("--lexicon", help="JSON file of word lists that score the news: {\"positive\": [...], \"negative\": [...]}")
     parser.add_argument("--database", help="catalog database that keeps the gold and mart tables")
     parser.add_argument("--model", help="exported ONNX classifier that scores the news")
@@ -317,7 +332,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     if bool(args.model) != bool(args.tokenizer):
         parser.error("--model and --tokenizer go together")
-    if args.from_step in (None, "silver") and bool(args.model) == bool(args.lexicon):
+    if args.from_step in (None, BRONZE, "silver") and bool(args.model) == bool(args.lexicon):
         parser.error("name one scorer of the news: --lexicon FILE or --model and --tokenizer")
     lexicon = None
     if args.lexicon:
@@ -330,9 +345,9 @@ def main(argv: list[str] | None = None) -> int:
     counts = RowCounts()
     try:
         listing = run(spark, args.root, from_step=args.from_step, scorer_factory=scorer, layout=args.layout,
-                      counts=counts, buckets=args.buckets, strict=args.strict, multi_line=args.multi_line,
+                      counts=counts, buckets=args.buckets, strict=args.strict, multi_line=None if args.any_form else args.multi_line,
                       lexicon=lexicon, database=args.database)
-    except QualityError as e:
+    except (QualityError, CorruptPayload) as e:
         print(json.dumps({"rows": counts.result(), "failed": str(e)}))
         return 1
     print(json.dumps({"rows": counts.result()}))

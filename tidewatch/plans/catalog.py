@@ -21,8 +21,10 @@ from tidewatch.plans import batch as P
 from tidewatch.plans.layers import Layers
 from tidewatch.session import prepare, scratch_path
 from tidewatch.sources import fixtures, schemas
+from tidewatch.sources import landed as LD
 from tidewatch.sources import raw as RW
 from tidewatch.sources import storage as io
+from tidewatch.sources.intake import take_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +101,29 @@ def _roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_raw_json(spark, path, schemas.RAW_STOCKS)
 
 
+def _intake(source: str, payloads: Callable[[SparkSession, str], DataFrame], schema) -> Query:
+    """Payload files taken in twice, as by a run that is repeated: each file counts once."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        root = scratch_path(spark, "intake")
+        LD.write_json_arrays(payloads(spark, sf_dir), f"{root}/landing/{source}")
+        for _ in range(2):
+            take_in(spark, root, source, f"{root}/landing/{source}", RW.DEFAULT_STAMP)
+        return io.read_raw_json(spark, f"{root}/bronze/{source}", schema)
+
+    return run
+
+
+def _roundtrip_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of array files and of files by line, read together."""
+    L = Layers.from_testdata(spark, sf_dir)
+    path = scratch_path(spark, "bronze-mixed")
+    as_array = F.col("date") < "2024-01-15"
+    LD.write_json_arrays(L.raw_stocks.where(as_array), path)
+    io.append_json(L.raw_stocks.where(~F.coalesce(as_array, F.lit(False))), path)
+    return LD.read_landed_json(spark, path, schemas.RAW_STOCKS)
+
+
 def _roundtrip_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = Layers.from_testdata(spark, sf_dir)
     path = scratch_path(spark, "silver-stocks")
@@ -162,10 +187,14 @@ QUERIES: dict[str, Query] = {
     "raw_price_records": _price_records,
     "raw_news_records": _news_records,
     "raw_macro_records": _macro_records,
+    "intake_price_records": _intake("stocks", lambda spark, sf_dir: fixtures.raw_table(spark, sf_dir, "price_history"), schemas.RAW_STOCKS),
+    "intake_news_records": _intake("news", fixtures.news_payloads, schemas.RAW_NEWS),
+    "intake_macro_records": _intake("fred", lambda spark, sf_dir: fixtures.raw_table(spark, sf_dir, "macro_obs"), schemas.RAW_MACRO),
     "lookback_window": lambda spark, sf_dir: RW.lookback(_macro_records(spark, sf_dir), LOOKBACK_AS_OF, schemas.LOOKBACK_DAYS),
     "ticker_universe": lambda spark, sf_dir: RW.ticker_universe(_price_records(spark, sf_dir), UNIVERSE),
     # storage round trips
     "roundtrip_json": _roundtrip_json,
+    "roundtrip_json_array": _roundtrip_json_array,
     "roundtrip_partitioned": _roundtrip_partitioned,
     "roundtrip_bucketed": _roundtrip_bucketed,
     "roundtrip_tables": _roundtrip_tables,

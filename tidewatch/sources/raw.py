@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import dedup_latest, parse_date, rnd
 from tidewatch.operators.joins import semi_join_list
-from tidewatch.sources.schemas import MACRO_SERIES, MACRO_SOURCE, NEWS_SOURCE, PRICE_SOURCE, SEARCH_QUERIES
+from tidewatch.sources.schemas import MACRO_SERIES, MACRO_SOURCE, NEWS_SOURCE, PRICE_SOURCE, SEARCH_QUERIES, TICKERS
 
 DEFAULT_STAMP = "2024-02-01T06:00:00.000001"
 
@@ -102,6 +102,6 @@ def lookback(records: DataFrame, as_of: str, days_back: int, date_col: str = "da
     return records.where(d.between(F.date_sub(end, days_back), end))
 
 
-def ticker_universe(records: DataFrame, universe) -> DataFrame:
-    """Keep rows of tickers in ``universe`` (a list, or a DataFrame with ``ticker``)."""
+def ticker_universe(records: DataFrame, universe=tuple(TICKERS)) -> DataFrame:
+    """Keep rows of tickers in ``universe`` (a list, or a DataFrame with ``ticker``; by default the usual tickers)."""
     return semi_join_list(records, "ticker", universe)

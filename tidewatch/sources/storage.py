@@ -17,22 +17,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.sources import publish as PB
+from tidewatch.sources.landed import CORRUPT, read_landed_json
 
 
 # --- sources -----------------------------------------------------------------
-CORRUPT = "_corrupt_record"
 
-
-def read_raw_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False,
+def read_raw_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool | None = False,
                   with_corrupt: bool = False) -> DataFrame:
     """Raw JSON records with an explicit schema (no inference pass).
 
     ``multi_line=True`` reads files that each hold one JSON array (the
     extractors' format); the default reads newline-delimited JSON, which
-    splits across tasks. ``with_corrupt=True`` adds the text of records that
+    splits across tasks; ``multi_line=None`` reads any mix of forms
+    (``sources.landed``). Folders below ``path``, such as those of intake
+    plans, are read too. ``with_corrupt=True`` adds the text of records that
     cannot be parsed as ``_corrupt_record``, so the caller can count them.
     """
-    reader = spark.read.option("multiLine", multi_line)
+    if multi_line is None:
+        return read_landed_json(spark, path, schema, with_corrupt)
+    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", "true")
     if with_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)

@@ -76,8 +76,3 @@ def silver_view(spark: SparkSession, source: str, increments_path: str) -> DataF
     src = SOURCES[source]
     inc = spark.read.parquet(increments_path).drop("batch_id")
     return src.finish(dedup_latest(inc, src.keys, src.order))
-
-
-def start_stock_ingest(spark: SparkSession, bronze_path: str, increments_path: str, checkpoint_path: str,
-                       available_now: bool = True) -> StreamingQuery:
-    return start_ingest(spark, "stocks", bronze_path, increments_path, checkpoint_path, available_now)
