@@ -29,9 +29,9 @@ SCORED_NEWS_COLUMNS = [
 ]
 
 
-def clean_stocks(raw: DataFrame) -> DataFrame:
-    """Silver stocks: one row per (ticker, date), the latest ingestion."""
-    typed = raw.select(
+def typed_stocks(raw: DataFrame) -> DataFrame:
+    """Typed price rows with close, date and ticker, before re-ingested days are resolved."""
+    return raw.select(
         F.col("ticker").cast("string").alias("ticker"),
         parse_date("date").alias("date"),
         F.col("open").try_cast("double").alias("open"),
@@ -42,7 +42,11 @@ def clean_stocks(raw: DataFrame) -> DataFrame:
         F.col("source").cast("string").alias("source"),
         parse_ts("ingested_at").alias("ingested_at"),
     ).where(F.col("close").isNotNull() & F.col("date").isNotNull() & F.col("ticker").isNotNull())
-    latest = dedup_latest(typed, ["ticker", "date"], ["ingested_at"])
+
+
+def clean_stocks(raw: DataFrame) -> DataFrame:
+    """Silver stocks: one row per (ticker, date), the latest ingestion."""
+    latest = dedup_latest(typed_stocks(raw), ["ticker", "date"], ["ingested_at"])
     return latest.withColumns(
         {
             "daily_return": rnd(pct_change("close", "open"), 4),
@@ -76,13 +80,42 @@ def clean_macro(raw: DataFrame) -> DataFrame:
     return dedup_latest(typed, ["series_name", "date"], ["ingested_at"])
 
 
+# More series than this are not columns any more; such a table is refused.
+MAX_SERIES = 2_000
+
+
+def series_found(long: DataFrame, known: list[str] = SERIES_NAMES) -> list[str]:
+    """The known series, then every other one that ``long`` holds, in order of its name.
+
+    Names are collected, at most ``MAX_SERIES`` of them: what an unknown series
+    holds is kept as a column of its own instead of being lost in the pivot.
+    """
+    new = long.where(F.col("series_name").isNotNull() & ~F.col("series_name").isin(list(known))).select("series_name").distinct()
+    found = sorted(r.series_name for r in new.limit(MAX_SERIES + 1).collect())
+    if len(found) > MAX_SERIES:
+        raise ValueError(f"more than {MAX_SERIES} unknown macro series")
+    # Names that differ in case only cannot both be columns.
+    taken = {"date", *(s.lower() for s in known)}
+    out = list(known)
+    for name in found:
+        if name.lower() in taken:
+            raise ValueError(f"macro series {name!r} clashes with another column")
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def macro_wide(long: DataFrame, series: list[str] = SERIES_NAMES) -> DataFrame:
-    """One row per date, one column per series (fixed list: absent -> NULL column)."""
+    """One row per date, one column per series of the list (absent -> NULL column)."""
     return long.groupBy("date").pivot("series_name", list(series)).agg(F.max("value")).select(
-        "date", *[F.col(f"`{s}`") for s in series]
+        "date", *[F.col(_quoted(s)) for s in series]
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def forward_fill(df: DataFrame, key: str, order: str, value: str, bucket: Column) -> DataFrame:
     """Carry the last non-NULL ``value`` forward within each ``key``, by ``order``.
 
@@ -115,6 +148,6 @@ def macro_ffill(long: DataFrame, series: list[str] = SERIES_NAMES, bucket: str =
     table (a row per date) is stored once, as the fill reads it twice.
     """
     wide = materialise(macro_wide(long, series), "macro-wide")
-    stacked = wide.unpivot("date", [f"`{s}`" for s in series], "series_name", "value")
+    stacked = wide.unpivot("date", [_quoted(s) for s in series], "series_name", "value")
     filled = forward_fill(stacked, "series_name", "date", "value", F.trunc("date", bucket))
     return macro_wide(filled, series)

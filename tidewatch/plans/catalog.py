@@ -230,21 +230,21 @@ QUERIES: dict[str, Query] = {
     # dashboard reads
     "overview": _on(lambda L: R.overview(L.signals)),
     "signal_distribution": _on(lambda L: R.signal_distribution(L.signals)),
-    "top_gainers": _on(lambda L: R.top_movers(L.signals, 5, True), shared=True),
-    "top_losers": _on(lambda L: R.top_movers(L.signals, 5, False), shared=True),
+    "top_gainers": _on(lambda L: R.top_movers(L.signals, 5, True, L.latest_date)),
+    "top_losers": _on(lambda L: R.top_movers(L.signals, 5, False, L.latest_date)),
     "top_sensitivity": _on(lambda L: R.top_sensitivity(L.sensitivity, 10)),
     "latest_vix": _on(lambda L: R.latest_vix(L.signals)),
     "latest_divergences": _on(lambda L: R.latest_divergences(L.signals, 10)),
     "ticker_list": _on(lambda L: R.ticker_list(L.signals)),
     "latest_date": _on(lambda L: R.latest_date(L.signals)),
-    "latest_day_stats": _on(lambda L: R.latest_day_stats(L.signals), shared=True),
+    "latest_day_stats": _on(lambda L: R.latest_day_stats(L.signals, L.latest_date)),
     "direction_breakdown": _on(lambda L: R.direction_breakdown(L.signals)),
-    "vix_series": _on(lambda L: R.vix_series(L.signals), shared=True),
-    "recent_returns": _on(lambda L: R.recent_returns(L.signals), shared=True),
-    "returns_heatmap": _on(lambda L: R.returns_heatmap(L.signals), shared=True),
-    "ticker_history": _on(lambda L: R.ticker_history(L.signals), shared=True),
-    "ticker_latest": _on(lambda L: R.ticker_latest(L.signals), shared=True),
-    "ticker_sentiment_days": _on(lambda L: R.ticker_sentiment_days(L.signals), shared=True),
+    "vix_series": _on(lambda L: R.vix_series(L.signals, L.first_ticker)),
+    "recent_returns": _on(lambda L: R.recent_returns(L.signals, latest=L.latest_date)),
+    "returns_heatmap": _on(lambda L: R.returns_heatmap(L.signals, latest=L.latest_date)),
+    "ticker_history": _on(lambda L: R.ticker_history(L.signals, L.first_ticker)),
+    "ticker_latest": _on(lambda L: R.ticker_latest(L.signals, L.first_ticker)),
+    "ticker_sentiment_days": _on(lambda L: R.ticker_sentiment_days(L.signals, L.first_ticker)),
     "sensitivity_ranking": _on(lambda L: R.sensitivity_ranking(L.sensitivity)),
     "top_bullish_returns": _on(lambda L: R.top_side_returns(L.sensitivity, "avg_return_bullish_news", 20)),
     "top_bearish_returns": _on(lambda L: R.top_side_returns(L.sensitivity, "avg_return_bearish_news", 20)),
@@ -258,5 +258,5 @@ QUERIES: dict[str, Query] = {
     ),
     "label_breakdown": _on(lambda L: SN.label_breakdown(L.news_sentiment)),
     "daily_sentiment_summary": _on(lambda L: R.daily_sentiment_summary(L.daily_news)),
-    "ticker_sentiment_sample": _on(lambda L: R.ticker_sentiment_sample(L.gold), shared=True),
+    "ticker_sentiment_sample": _on(lambda L: R.ticker_sentiment_sample(L.gold, L.first_ticker)),
 }

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.operators import gold as G
 from tidewatch.operators import marts as M
@@ -48,6 +49,16 @@ class Layers:
     def silver_stocks(self) -> DataFrame:
         return SV.clean_stocks(self.raw_stocks)
 
+    @cached_property
+    def latest_date(self) -> Column:
+        """The last trading day, read from the price rows alone (re-ingestion adds no day)."""
+        return SV.typed_stocks(self.raw_stocks).agg(F.max("date")).scalar()
+
+    @cached_property
+    def first_ticker(self) -> Column:
+        """The first ticker in sort order, read from the price rows alone."""
+        return SV.typed_stocks(self.raw_stocks).agg(F.min("ticker")).scalar()
+
     @cached_property
     def news_clean(self) -> DataFrame:
         return SV.clean_news(self.raw_news)

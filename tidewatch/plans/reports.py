@@ -4,7 +4,10 @@ Top-k reads compile to TakeOrderedAndProject (per-task top k, then a merge
 of k rows per task); "latest date" filters are scalar subqueries computed
 once, not joins. Ties in top-k reads are broken by (ticker, date) so the
 answer is deterministic. A selected ticker defaults to the first ticker in
-sort order, the dashboard's default selection.
+sort order, the dashboard's default selection. Where the caller knows the
+latest date or the ticker from a cheaper table (a literal, or a scalar subquery
+over the price rows), ``latest`` and ``ticker`` take it, so the marts are not
+read twice.
 """
 
 from __future__ import annotations
@@ -18,11 +21,11 @@ from tidewatch.functions.signals import direction, return_colour
 HEATMAP_DAYS = 14
 
 
-def _latest_date(df: DataFrame) -> Column:
-    return df.agg(F.max("date")).scalar()
+def _latest_date(df: DataFrame, latest: Column | None = None) -> Column:
+    return df.agg(F.max("date")).scalar() if latest is None else latest
 
 
-def _ticker(df: DataFrame, ticker: str | None) -> Column:
+def _ticker(df: DataFrame, ticker: str | Column | None) -> Column:
     return F.lit(ticker) if ticker is not None else df.agg(F.min("ticker")).scalar()
 
 
@@ -44,11 +47,11 @@ def signal_distribution(sig: DataFrame) -> DataFrame:
     )
 
 
-def top_movers(sig: DataFrame, k: int = 5, gainers: bool = True) -> DataFrame:
+def top_movers(sig: DataFrame, k: int = 5, gainers: bool = True, latest: Column | None = None) -> DataFrame:
     """Top ``k`` gainers (or losers) on the latest date; NULL returns last."""
-    latest = sig.where(F.col("date") == _latest_date(sig))
+    rows = sig.where(F.col("date") == _latest_date(sig, latest))
     key = F.desc_nulls_last("daily_return") if gainers else F.asc_nulls_last("daily_return")
-    return latest.orderBy(key, "ticker").limit(k).select("ticker", "daily_return", "close", "market_signal")
+    return rows.orderBy(key, "ticker").limit(k).select("ticker", "daily_return", "close", "market_signal")
 
 
 def top_sensitivity(sens: DataFrame, k: int = 10) -> DataFrame:
@@ -83,10 +86,10 @@ def latest_date(sig: DataFrame) -> DataFrame:
     return sig.agg(F.max("date").alias("latest_date"))
 
 
-def latest_day_stats(sig: DataFrame) -> DataFrame:
+def latest_day_stats(sig: DataFrame, latest: Column | None = None) -> DataFrame:
     """Average return, up and down counts and average VIX on the latest date."""
-    latest = sig.where(F.col("date") == _latest_date(sig))
-    return latest.agg(
+    rows = sig.where(F.col("date") == _latest_date(sig, latest))
+    return rows.agg(
         rnd(F.avg("daily_return"), 2).alias("avg_return"),
         F.sum(F.when(F.col("daily_return") > 0, 1).otherwise(0)).alias("up_count"),
         F.sum(F.when(F.col("daily_return") < 0, 1).otherwise(0)).alias("down_count"),
@@ -99,21 +102,21 @@ def direction_breakdown(sig: DataFrame) -> DataFrame:
     return sig.groupBy(direction().alias("direction")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def vix_series(sig: DataFrame, ticker: str | None = None) -> DataFrame:
+def vix_series(sig: DataFrame, ticker: str | Column | None = None) -> DataFrame:
     """VIX by date, read through one ticker's rows."""
     rows = sig.where(F.col("vix_volatility_index").isNotNull() & (F.col("ticker") == _ticker(sig, ticker)))
     return rows.select("date", "vix_volatility_index").orderBy("date")
 
 
-def recent_returns(sig: DataFrame, days: int = HEATMAP_DAYS) -> DataFrame:
+def recent_returns(sig: DataFrame, days: int = HEATMAP_DAYS, latest: Column | None = None) -> DataFrame:
     """Returns of the last ``days`` days back from the latest date, inclusive."""
-    since = F.date_sub(_latest_date(sig), days)
+    since = F.date_sub(_latest_date(sig, latest), days)
     return sig.where(F.col("date") >= since).select("date", "ticker", "daily_return").orderBy("date", "ticker")
 
 
-def returns_heatmap(sig: DataFrame, days: int = HEATMAP_DAYS) -> DataFrame:
+def returns_heatmap(sig: DataFrame, days: int = HEATMAP_DAYS, latest: Column | None = None) -> DataFrame:
     """Ticker x day matrix of daily returns; column ``ret_d{k}`` is k days before the latest date."""
-    latest = _latest_date(sig)
+    latest = _latest_date(sig, latest)
     recent = sig.select("ticker", "daily_return", F.date_diff(latest, F.col("date")).alias("days_back")).where(
         F.col("days_back").between(0, days)
     )
@@ -129,19 +132,19 @@ TICKER_HISTORY_COLUMNS = [
 ]
 
 
-def ticker_history(sig: DataFrame, ticker: str | None = None) -> DataFrame:
+def ticker_history(sig: DataFrame, ticker: str | Column | None = None) -> DataFrame:
     """History of one ticker by date (Parquet partition pruning when stored by ticker)."""
     rows = sig.where(F.col("ticker") == _ticker(sig, ticker))
     return rows.select(*TICKER_HISTORY_COLUMNS, return_colour().alias("return_colour")).orderBy("date")
 
 
-def ticker_latest(sig: DataFrame, ticker: str | None = None) -> DataFrame:
+def ticker_latest(sig: DataFrame, ticker: str | Column | None = None) -> DataFrame:
     """The last row of one ticker."""
     rows = sig.where(F.col("ticker") == _ticker(sig, ticker))
     return rows.orderBy(F.desc("date")).limit(1).select(*TICKER_HISTORY_COLUMNS)
 
 
-def ticker_sentiment_days(sig: DataFrame, ticker: str | None = None) -> DataFrame:
+def ticker_sentiment_days(sig: DataFrame, ticker: str | Column | None = None) -> DataFrame:
     """Days of one ticker whose sentiment ratio is not exactly 0."""
     rows = sig.where((F.col("ticker") == _ticker(sig, ticker)) & (F.col("sentiment_ratio") != 0))
     return rows.select(
@@ -249,7 +252,7 @@ def daily_sentiment_summary(news_by_day: DataFrame) -> DataFrame:
     ).orderBy("date")
 
 
-def ticker_sentiment_sample(gold: DataFrame, ticker: str | None = None, n: int = 10) -> DataFrame:
+def ticker_sentiment_sample(gold: DataFrame, ticker: str | Column | None = None, n: int = 10) -> DataFrame:
     """A sample of one ticker's days with news (the first ``n`` by date)."""
     rows = gold.where(F.col("sentiment_ratio").isNotNull() & (F.col("ticker") == _ticker(gold, ticker)))
     return rows.select(
