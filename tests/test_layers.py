@@ -190,3 +190,8 @@ def test_concurrent_size_checks_and_join_small(spark):
         assert via_helper.where(F.col("a") == F.col("k") * 2).count() == 2000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rounding_keeps_values_beyond_the_decimal(spark):
+    df = spark.createDataFrame([(1.23445,), (2e18,), (-3.5e30,), (float("inf"),), (float("nan"),), (None,)], "x double")
+    assert [r[0] for r in df.select(rnd("x", 4)).collect()] == [1.2345, 2e18, -3.5e30, float("inf"), None, None]

@@ -7,9 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from tidewatch.operators import sentiment as SN
+from tidewatch.operators import silver as SV
 from tidewatch.plans import batch as P
 from tidewatch.plans.layers import Layers
 from tidewatch.sources import publish as PB
+from tidewatch.sources import schemas
 from tidewatch.sources import storage as io
 
 
@@ -132,3 +135,47 @@ def test_inventory_shows_a_lost_file(spark, tmp_root):
     shutil.move(f"{folder}/{lost}", f"{tmp_root}/{lost}")
     bad = [r for r in io.checked_inventory(spark, root).collect() if not r.passed]
     assert [(r.table, r.failed_files) for r in bad] == [("news", 1)]
+
+
+def test_ordered_tables_hold_consecutive_ranges(spark, tmp_root):
+    L = Layers.from_testdata(spark, SF_SMALL)
+    path = f"file://{tmp_root}/news"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        PB.publish(spark, path, lambda f: io.write_ordered(L.news_clean.where("date is not null"), f, ["date", "url"], SN.score_news))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted((f.first_date, f.last_date) for f in PB.manifest(spark, path).where("file is not null").collect())
+    assert len(files) >= 4 and all(a[1] <= b[0] for a, b in zip(files, files[1:]))
+    day = files[0][0]
+    assert len(PB.files_between(spark, path, "date", day, day)) < len(files) / 2
+    want = L.news_sentiment.where(F.col("date") == F.lit(day).cast("date"))
+    got = PB.read_between(spark, path, "date", day, day).select(want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_a_seventh_series_is_kept_and_told(spark, tmp_root):
+    L = Layers.from_testdata(spark, SF_SMALL)
+    root = f"file://{tmp_root}/lake"
+    seventh = L.raw_macro.where("series_id = 'DFF'").withColumns({"series_id": F.lit("GOLD"), "series_name": F.lit("gold`s price")})
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro.unionByName(seventh))
+    listing = {r.table_name: r.row_count for r in P.run(spark, root).collect()}  # no check fails
+    macro = io.read_table(spark, f"{root}/silver/fred")
+    assert macro.columns[1:] == [*SV.SERIES_NAMES, "gold`s price"]
+    assert macro.where("not (`gold``s price` <=> federal_funds_rate)").count() == 0
+    assert macro.select("date", *SV.SERIES_NAMES).exceptAll(L.macro_ffill).count() == 0
+    told = io.read_table(spark, f"{root}/marts/quality_report").where("test_name = 'unknown_series'").collect()
+    assert [(r.column_name, r.passed) for r in told] == [("gold`s price", True)] and told[0].failures > 0
+    assert listing["fct_market_signals"] == L.signals.count()
+    with pytest.raises(ValueError, match="clashes"):
+        SV.series_found(L.raw_macro.withColumn("series_name", F.lit("Date")))
+
+
+def test_bronze_counts_are_exact_with_broken_records(spark, tmp_root):
+    counts = P.RowCounts()
+    path = f"{tmp_root}/r"
+    os.makedirs(path)
+    with open(f"{path}/a.json", "w") as f:
+        f.write('{"series_id": "DFF", "value": 1.0}\n{"series_id": \n{"series_id": "DFF", "value": "x"}\n')
+    counts.count_raw("bronze.fred", io.read_raw_json(spark, f"file://{path}", schemas.RAW_MACRO, with_corrupt=True))
+    assert counts.result() == {"bronze.fred": 3} and counts.corrupt() == {"bronze.fred": 2}

@@ -12,14 +12,23 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> str:
+    """A column name for ``F.col`` or SQL, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def rnd(c: str | Column, digits: int) -> Column:
     """Round half away from zero on the decimal value of ``c``.
 
     Plain ``round`` on a double rounds the binary value, so ties such as the
     mean of two 4-digit prices fall either way depending on float error and
     on the engine. Going through decimal(28,10) first fixes the tie rule.
+    Values from 1e18 on do not fit that type; they have no digits behind the
+    point and stay as they are, as do infinities; NaN becomes NULL.
     """
-    return F.round(col_(c).try_cast("decimal(28,10)"), digits).cast("double")
+    value = col_(c)
+    return F.coalesce(F.round(value.try_cast("decimal(28,10)"), digits).cast("double"), F.when(
+        (F.abs(value) >= 1e17) & ~F.isnan(value.cast("double")), value.cast("double")))
 
 
 def pct_change(new: str | Column, base: str | Column) -> Column:

@@ -14,6 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.exprs import quoted
+from tidewatch.sources.schemas import SERIES_NAMES
+
 from tidewatch.functions.signals import MARKET_SIGNALS, NEWS_INTENSITIES, TREND_POSITIONS, VOLUME_SIGNALS
 
 # (test, model, column, accepted values or None)
@@ -103,3 +106,17 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS
 def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """All checks with a pass flag."""
     return run_checks(tables, checks).withColumn("passed", F.col("failures") == 0)
+
+
+def unknown_series(macro: DataFrame, known: Sequence[str] = SERIES_NAMES) -> DataFrame | None:
+    """One passed row per macro column that no model knows, with its values counted; None if there is none.
+
+    The pivot keeps such a series, so it is told, and no data check fails.
+    """
+    new = [c for c in macro.columns if c != "date" and c not in known]
+    if not new:
+        return None
+    values = {c: F.col(quoted(c)) for c in new}
+    rows = F.array(*(F.struct(F.lit("unknown_series").alias("test_name"), F.lit("silver_macro").alias("model"), F.lit(c).alias("column_name"),
+                              F.count(values[c]).alias("failures"), F.lit(True).alias("passed")) for c in new))
+    return macro.agg(rows.alias("r")).select(F.inline("r"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.exprs import dedup_latest, parse_date, parse_ts, pct_change, rnd
+from tidewatch.functions.exprs import dedup_latest, parse_date, parse_ts, pct_change, quoted, rnd
 from tidewatch.operators.joins import bounded_broadcast, materialise
 from tidewatch.sources.schemas import SERIES_NAMES
 
@@ -68,16 +68,20 @@ def clean_news(raw: DataFrame) -> DataFrame:
     return latest.select(*NEWS_COLUMNS)
 
 
-def clean_macro(raw: DataFrame) -> DataFrame:
-    """Long macro records: typed, one value per (series_name, date), latest ingestion."""
-    typed = raw.select(
+def typed_macro(raw: DataFrame) -> DataFrame:
+    """Typed macro records with value and date, before re-ingested ones are resolved."""
+    return raw.select(
         "series_id", "series_name",
         parse_date("date").alias("date"),
         F.col("value").try_cast("double").alias("value"),
         "frequency", "source",
         parse_ts("ingested_at").alias("ingested_at"),
     ).where(F.col("value").isNotNull() & F.col("date").isNotNull())
-    return dedup_latest(typed, ["series_name", "date"], ["ingested_at"])
+
+
+def clean_macro(raw: DataFrame) -> DataFrame:
+    """Long macro records: typed, one value per (series_name, date), latest ingestion."""
+    return dedup_latest(typed_macro(raw), ["series_name", "date"], ["ingested_at"])
 
 
 # More series than this are not columns any more; such a table is refused.
@@ -108,14 +112,10 @@ def series_found(long: DataFrame, known: list[str] = SERIES_NAMES) -> list[str]:
 def macro_wide(long: DataFrame, series: list[str] = SERIES_NAMES) -> DataFrame:
     """One row per date, one column per series of the list (absent -> NULL column)."""
     return long.groupBy("date").pivot("series_name", list(series)).agg(F.max("value")).select(
-        "date", *[F.col(_quoted(s)) for s in series]
+        "date", *[F.col(quoted(s)) for s in series]
     )
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def forward_fill(df: DataFrame, key: str, order: str, value: str, bucket: Column) -> DataFrame:
     """Carry the last non-NULL ``value`` forward within each ``key``, by ``order``.
 
@@ -148,6 +148,6 @@ def macro_ffill(long: DataFrame, series: list[str] = SERIES_NAMES, bucket: str =
     table (a row per date) is stored once, as the fill reads it twice.
     """
     wide = materialise(macro_wide(long, series), "macro-wide")
-    stacked = wide.unpivot("date", [_quoted(s) for s in series], "series_name", "value")
+    stacked = wide.unpivot("date", [quoted(s) for s in series], "series_name", "value")
     filled = forward_fill(stacked, "series_name", "date", "value", F.trunc("date", bucket))
     return macro_wide(filled, series)

@@ -44,6 +44,7 @@ from tidewatch.operators import marts as M
 from tidewatch.operators import quality as Q
 from tidewatch.operators import sentiment as SN
 from tidewatch.operators import silver as SV
+from tidewatch.operators.joins import materialise
 from tidewatch.session import prepare
 from tidewatch.sources import publish as PB
 from tidewatch.sources import schemas
@@ -122,8 +123,10 @@ class Layout:
             rows = PB.publish(self.spark, path, lambda folder: writer(df, folder))
         counts.settle(name, rows)
 
-    def write_flat(self, df: DataFrame, layer: str, table: str, counts: RowCounts) -> None:
-        counts.settle(f"{layer}.{table}", PB.publish(self.spark, _p(self.root, layer, table), lambda folder: io.write_flat(df, folder)))
+    def write_ordered(self, df: DataFrame, layer: str, table: str, by: list, counts: RowCounts,
+                      after_exchange: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        path = _p(self.root, layer, table)
+        counts.settle(f"{layer}.{table}", PB.publish(self.spark, path, lambda folder: io.write_ordered(df, folder, by, after_exchange)))
 
     def read(self, layer: str, table: str, schema=None) -> DataFrame:
         path = _p(self.root, layer, table)
@@ -156,10 +159,13 @@ def silver_step(spark: SparkSession, root: str, scorer_factory: Callable | None
     raw_s, raw_n, raw_m = raw("stocks", schemas.RAW_STOCKS), raw("news", schemas.RAW_NEWS), raw("fred", schemas.RAW_MACRO)
     lay.write(SV.clean_stocks(raw_s), "silver", "stocks", counts)
     news = SV.clean_news(raw_n)
-    scored = SN.score_news(news, **(lexicon or {})) if scorer_factory is None else SN.score_news_with_model(news, scorer_factory)
-    lay.write_flat(scored, "silver", "news", counts)
-    macro = SV.macro_ffill(SV.clean_macro(raw_m))
-    lay.write_flat(macro, "silver", "fred", counts)
+
+    def scored(ranged: DataFrame) -> DataFrame:
+        return SN.score_news(ranged, **(lexicon or {})) if scorer_factory is None else SN.score_news_with_model(ranged, scorer_factory)
+
+    lay.write_ordered(news, "silver", "news", ["date", "published_at", "url"], counts, scored)
+    macro = SV.macro_ffill(SV.clean_macro(raw_m), SV.series_found(SV.typed_macro(raw_m)))
+    lay.write_ordered(macro, "silver", "fred", ["date"], counts)
 
 
 def gold_step(spark: SparkSession, root: str, layout: str | Layout = "clustered",
@@ -172,8 +178,10 @@ def gold_step(spark: SparkSession, root: str, layout: str | Layout = "clustered"
     gold = G.daily_market_summary(stocks, G.daily_news(news), macro)
     lay.write(gold, "gold", "fct_daily_market_summary", counts)
     stored = read_gold(spark, root, lay)
-    lay.write_flat(G.dim_tickers(stored), "gold", "dim_tickers", counts)
-    lay.write_flat(G.sentiment_sensitivity(stored), "gold", "fct_sentiment_sensitivity", counts)
+    # A row per ticker: stored once before the order is found, so gold is read once for each.
+    dim, sens = materialise(G.dim_tickers(stored), "dim"), materialise(G.sentiment_sensitivity(stored), "sensitivity")
+    lay.write_ordered(dim, "gold", "dim_tickers", ["ticker"], counts)
+    lay.write_ordered(sens, "gold", "fct_sentiment_sensitivity", [F.desc_nulls_last("sentiment_sensitivity"), F.asc("ticker")], counts)
 
 
 def read_gold(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> DataFrame:
@@ -191,7 +199,8 @@ def marts_step(spark: SparkSession, root: str, layout: str | Layout = "clustered
     sig = M.market_signals(M.stg_daily_market(read_gold(spark, root, lay)))
     lay.write(sig, "marts", "fct_market_signals", counts)
     stored = read_signals(spark, root, lay)
-    lay.write_flat(M.weekly_summary(stored), "marts", "fct_weekly_summary", counts)
+    weekly = materialise(M.weekly_summary(stored), "weekly")
+    lay.write_ordered(weekly, "marts", "fct_weekly_summary", ["ticker", "week_start"], counts)
 
 
 def model_tables(spark: SparkSession, root: str, layout: str | Layout = "clustered") -> dict[str, DataFrame]:
@@ -215,10 +224,13 @@ def quality_step(spark: SparkSession, root: str, layout: str | Layout = "cluster
                  strict: bool = True) -> DataFrame:
     """Write the check report; with ``strict``, stop the batch if any check failed.
 
-    The report has one row per declared check, so reading its failures back
-    is bounded by the number of checks, not by the data.
+    The report has one row per declared check, and one per macro series that
+    the models do not know (which is told, not failed), so reading its failures
+    back is bounded by the number of checks, not by the data.
     """
     report = Q.quality_report(model_tables(spark, root, layout))
+    if (unknown := Q.unknown_series(io.read_table(spark, _p(root, "silver", "fred")))) is not None:
+        report = report.unionByName(unknown)
     path = _p(root, "marts", "quality_report")
     PB.publish(spark, path, lambda folder: io.write_flat(report.coalesce(1), folder))
     stored = io.read_table(spark, path)

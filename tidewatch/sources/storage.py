@@ -12,10 +12,11 @@ import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.exprs import quoted
 from tidewatch.sources import publish as PB
 from tidewatch.sources.landed import CORRUPT, read_landed_json
 
@@ -86,6 +87,22 @@ def write_flat(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, by: Iterable[str | Column],
+                  after_exchange: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Overwrite flat Parquet in the order ``by``: files hold consecutive ranges, rows are sorted inside.
+
+    Ranges are over all of ``by``, so one frequent leading value spans several
+    files, and a filter on the leading column opens few files and row groups.
+    ``after_exchange`` is applied above the range exchange, so it runs only in
+    the write job and not in the sampling job that finds the ranges.
+    """
+    by = list(by)
+    ranged = df.repartitionByRange(*by)
+    if after_exchange is not None:
+        ranged = after_exchange(ranged)
+    write_flat(ranged.sortWithinPartitions(*by), path)
+
+
 def write_clustered(df: DataFrame, path: str, by: str = "ticker", order: str = "date") -> None:
     """Overwrite flat Parquet with rows sorted by (by, order) inside each file.
 
@@ -159,7 +176,7 @@ def bucketed_table(spark: SparkSession, table: str, path: str, by: str = "ticker
             return spark.table(table)
         spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
     fields = spark.read.parquet(folder).schema.fields
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{by}`) "
         f"SORTED BY (`{by}`, `{order}`) INTO {written} BUCKETS LOCATION '{folder}'"
@@ -227,7 +244,7 @@ def column_listing(spark: SparkSession, names: Iterable[str]) -> DataFrame:
         df = spark.table(name)
         columns = F.array(*(F.struct(
             F.lit(i).cast("long").alias("position"), F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"), F.count(F.col(f"`{f.name}`")).alias("value_count"))
+            F.lit(f.dataType.simpleString()).alias("data_type"), F.count(F.col(quoted(f.name))).alias("value_count"))
             for i, f in enumerate(df.schema.fields, 1)))
         part = df.agg(columns.alias("c")).select(F.lit(name).alias("table_name"), F.inline("c"))
         out = part if out is None else out.unionByName(part)

@@ -49,7 +49,7 @@ SOURCES: dict[str, Source] = {
     "fred": Source(
         schemas.RAW_MACRO, SV.clean_macro, ["series_name", "date"],
         ["ingested_at", "series_id", "value", "frequency", "source"],
-        lambda df: SV.macro_ffill(df),
+        lambda df: SV.macro_ffill(df, SV.series_found(df)),
     ),
 }
 
