@@ -56,7 +56,7 @@ ship(__name__)
 LENGTH = 200
 CORE = 64
 GROUP = 4096  # passages of one core that one task sorts at most
-SALTS = 64
+SALTS = 4096
 PIECE = 1 << 18  # bytes of one numpy step; also the places that fit a sort key
 TASK_BYTES = 1 << 20  # bytes after which a suffix array is full
 
@@ -163,7 +163,7 @@ def _anchored(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        salt = 1 + TaskContext.get().partitionId() % SALTS
+        salt = TaskContext.get().partitionId()
         for batch in batches:
             texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
             key, size = batch.column("key").to_numpy(), np.array([len(t) for t in texts], np.int32)
@@ -186,7 +186,7 @@ def _anchored(length: int):
             copies[begin] = np.diff(np.append(begin, len(order)))
             # Slot 0: the first passage of a core, for the comparison with other tasks; -1: known to be repeated.
             met = np.bincount(np.cumsum(new_core) - 1)[np.cumsum(new_core) - 1] > 1
-            slot = np.where(new_core, np.where(met, -1, 0), salt).astype(np.int32)
+            slot = np.where(new_core, np.where(met, -1, 0), 1 + (salt + np.arange(len(order))) % SALTS).astype(np.int32)
             columns = (k[order], b[order], first[order], windows[order], off[order], c, w, copies, slot)
             for s in range(0, len(order), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[s:s + 100_000]) for x in columns],
