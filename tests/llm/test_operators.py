@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -466,6 +467,41 @@ def test_main_text_of_articles(spark):
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize("page, lines", [
+    ("<article><section id='related-work'>a</section><h2 id='social-history'>b</h2></article>", ["a", "b"]),
+    ("<article><div class='entry-header'><h1>T</h1></div>x</article>", ["T", "x"]),
+    ("<div class='content no-sidebar'>x</div><div class='post has-comments'>y</div>", ["x", "y"]),
+    ("<article><p class='share'>s<p>one<ul><li class=ad>buy<li>two</ul>three</article>", ["one", "two", "three"]),
+    ("<article>a<ul><li class=ad><ul><li>x</li>y</ul></li><li>z</ul></article>", ["a", "z"]),
+    ("<table><tr><td class=ad>n<td>x<tr class='nav'><td>n<tr><td>y</table>", ["x", "y"]),
+    ("<article class='comment'>no</article><article class='post has-comments'>yes</article>", ["yes"]),
+    ("<article>x<section id='comments'>n</section><div class='comment-list'><article>n</article></div></article>y", ["x", "y"]),
+    ("<main class='no-sidebar'><header class='header'><h1>T</h1></header><div id='cookie-notice'>n</div>m</main>", ["T", "m"]),
+    ("<div id=sidebar-left>n</div><div class='site-header'>n</div><div class='adBanner'>n</div><div class='related-posts'>n</div>z", ["z"]),
+    ("<p>Hello <b>wor</b>ld <a href=x>and</a> more</p>", ["Hello world and more"]),
+    ("<p>a <span class='ad'>buy</span> b</p><!-- <p>no", ["a b"])])
+def test_names_and_unclosed_elements(page, lines):
+    assert [line for _, line in htmltext._blocks(page)] == lines
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 200_000, "<a " * 200_000 + ">", "<" + "a" * 1_000_000, '<a ="' * 200_000 + ">", "<a x='" * 200_000 + '">"', "<html" * 200_000 + ">",
+    "<title" * 200_000, "<div>" * 100_000 + "</b>" * 100_000, "<ul><li>" * 50_000 + "<li>" * 50_000, "<" * 200_000 + ">", "<!--" * 200_000 + ">",
+    "<p class=share>" + "<b>" * 50_000 + "<div></div>" * 50_000, "<meta " * 200_000 + ">", "<a href" * 200_000 + ">"])
+def test_odd_pages_take_linear_time(page):
+    start = time.process_time()
+    htmltext._blocks(page)
+    warc._plain(page)
+    warc._facts(page)
+    assert time.process_time() - start < 20  # a quadratic walk takes many minutes
+
+
+def test_page_facts():
+    page = ("<!DOCTYPE html><HTML class=x lang=\"EN-gb\"><meta name=a><meta http-equiv=c content='text/html; charset=Latin-1'><title a='>'>T &amp;\n u</title>"
+            "<a href='/a?x=1&amp;y'>1</a><a title='href=no'>2</a><A data-href=n HREF=/b>3</A><!-- > <a href=/no> --><script>'<a href=/no>'</script><a href=\"\">4</a><title>V")
+    assert warc._facts(page) == ("latin-1", "en-gb", "T & u", ["/a?x=1&y", "/b", ""])
+
+
 def test_scripts_do_not_swallow_the_page():
     page = ("""<p>A</p><script>for(i=0;i<n;i++){s='it"s'}</script><p>B</p><style>a<b>"c{}</STYLE ><p>C</p>"""
             "<textarea><p>T</p></textarea><p>D<script src=x /> E</p><script>var open='")

@@ -2,8 +2,12 @@
 
 A page is read into text blocks in page order. A block inside an element that
 holds menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles or comments (by tag or by class, id or role) is dropped; a block inside
-an article or main element is kept. What the structure leaves open is decided
+styles or comments is dropped. The tag tells it, or a whole class, id or role
+name whose noun is furniture ("site-nav", "related-posts"; not "related-work",
+"has-comments" or "entry-header"); inside an article, ids are anchors. A block
+inside an article or main element is kept, but an article that is itself a
+reader's comment is not. Paragraphs, list items and table cells without an end
+tag end where HTML ends them; inline tags never cut a block. What the structure leaves open is decided
 by differencing: pages of a host are put in order of their URL path, each is
 paired with the neighbour that shares the longer path prefix, the open blocks
 of both are aligned by their longest common subsequence, and aligned (shared)
@@ -41,13 +45,23 @@ ship(__name__)
 
 SALTS = 16  # parts of the rows that share one page's open blocks
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
-_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)(.*)>$", re.S)
-_NAMES = re.compile(r"(?:\b(?:class|id|role)\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+# Quotes hide a ">" only in attribute values. No repeat gives back what it took, so a token costs its own length.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"
+                    r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+)>|[^<]++|<", re.S)
+_ATTR = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?")
+_NAME_PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
+# Names of page furniture, words that say which part or form of it, words that make a name a
+# state of something else ("has-comments"), and what has a header of its own ("entry-header").
 _FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|menu|nav\w*|breadcrumbs?|sidebar|aside|"
-    r"footer|header|masthead|comments?|disqus|related|share|social|subscribe|newsletter|search|login|signup|widget|toolbar|skip|pagination|pager|"
-    r"complementary|contentinfo|copyright)(?:$|[\s_-])", re.I)
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|popups?|modal|menus?|nav\w*|breadcrumbs?|sidebars?|aside|"
+    r"footer|header|masthead|comments?|disqus|respond|related|share|sharing|social|subscribe|newsletter|search|login|signin|signup|widgets?|toolbar|"
+    r"skip|pagination|pager|complementary|contentinfo|copyright")
+_READERS = re.compile(r"comments?|disqus|respond")
+_PARTS = set("area articles bar block body bottom box btn button buttons col column container content desktop field form group icon icons inner "
+             "input item items label left link links list main media mobile outer panel posts primary region right row secondary section "
+             "slot stories text thread title to top unit wrap wrapper zone".split())
+_STATES = set("has hide is no non not show with without".split())
+_HEADED = set("article content entry page post story".split())
 # Elements by what they hold.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "object"}
 _RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])[^>]*(?:>|\Z)", re.I) for tag in _RAW}
@@ -55,65 +69,148 @@ _DROP = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog",
 _MAIN = {"article", "main"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
            "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
+_HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# What ends an open paragraph, the lists and tables whose items end each other, and the items that a new one ends.
+_ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "header",
+           "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul", *_HEADING}
+_HOLDERS = {"ul", "ol", "menu", "dl", "table"}
+_ENDS_ITEM = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"),
+              "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th"), "tfoot": ("tr", "td", "th")}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
 
+def _furniture(name: str) -> str:
+    """The furniture that a whole class, id or role name stands for, or an empty string."""
+    parts = [x.lower() for x in _NAME_PARTS.split(name.partition("--")[0].strip("-_"))]
+    if parts[0] in _STATES:
+        return ""
+    while len(parts) > 1 and (parts[-1] in _PARTS or parts[-1].isdigit()):
+        parts.pop()
+    if not _FURNITURE.fullmatch(parts[-1]) or parts[-1] == "header" and len(parts) > 1 and parts[-2] in _HEADED:
+        return ""
+    return parts[-1]
+
+
+def _drops(tag: str, attributes: dict[str, str], in_main: bool, in_article: bool) -> bool:
+    """Is the element page furniture, by its tag or by a name?
+
+    Inside an article a header is the article's own, and an id is an anchor
+    unless it names the readers' comments. Headings have no names that count.
+    """
+    if tag in _HEADING or tag in ("body", "html", "main"):
+        return False
+    named = {_furniture(x) for a in ("class", "role") for x in attributes.get(a, "").split()}
+    ids = {_furniture(x) for x in attributes.get("id", "").split()}
+    readers = any(_READERS.fullmatch(x) for x in named | ids)
+    if tag == "article":
+        return readers or any(x.startswith(("ad", "sponsor", "promo")) for x in named)
+    if tag in _DROP and not (tag == "header" and in_main):
+        return True
+    if in_article:
+        return readers or bool(named - {"", "header"})
+    if tag == "header" and in_main:
+        named -= {"header"}
+    return bool((named | ids) - {""})
+
+
+class _Open:
+    """The open elements of a page, and how many of them are furniture, main elements and articles."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, int, int]] = []
+        self.furniture = self.main = self.article = 0
+        self.places: dict[str, list[int]] = {}  # where each tag is open
+        self.items: list[tuple[int, dict[str, int]]] = [(-1, {})]  # lists and tables, with their open items
+
+    def push(self, tag: str, drops: bool, keeps: bool) -> None:
+        if tag in _HOLDERS:
+            self.items.append((len(self.stack), {}))
+        elif tag in _ENDS_ITEM:
+            self.items[-1][1][tag] = len(self.stack)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, drops, keeps, tag == "article"))
+        self.furniture += drops
+        self.main += keeps
+        self.article += tag == "article"
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from ``depth`` on."""
+        while len(self.stack) > depth:
+            tag, drops, keeps, article = self.stack.pop()
+            self.places[tag].pop()
+            self.furniture -= drops
+            self.main -= keeps
+            self.article -= article
+            if self.items[-1][0] == len(self.stack):
+                self.items.pop()
+            elif self.items[-1][1].get(tag) == len(self.stack):
+                del self.items[-1][1][tag]
+
+    def end(self, tag: str) -> None:
+        """An end tag closes the nearest element of its name, if there is one."""
+        if self.places.get(tag):
+            self.cut(self.places[tag][-1])
+
+    def end_before(self, tag: str) -> None:
+        """Elements that end by themselves where ``tag`` begins."""
+        if tag in _ENDS_P and self.places.get("p"):
+            self.cut(self.places["p"][-1])
+        if tag in _ENDS_ITEM:
+            here = self.items[-1][1]
+            self.cut(min((here[x] for x in _ENDS_ITEM[tag] if x in here), default=len(self.stack)))
+
+
 def _blocks(page: str) -> list[tuple[bool, str]]:
-    """(kept for sure, text) of the blocks that the structure does not drop."""
+    """(kept for sure, text) of the blocks that the structure does not drop, in time linear in the page."""
     out: list[tuple[bool, str]] = []
     words: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # tag, furniture elements and main elements it opens
-    furniture = main = 0
-    at = 0  # up to here the page has been read; what a raw element holds is skipped unread
+    opened = _Open()
 
     def close() -> None:
         text = " ".join(_html.unescape("".join(words)).split())
         words.clear()
         if text:
-            out.append((main > 0, text))
+            out.append((opened.main > 0, text))
 
-    while token := _TOKEN.match(page, at):
+    at = 0  # up to here the page has been read; what a raw element holds is skipped unread
+    last = page.rfind(">") + 1  # no tag ends after it, so none is sought there
+    while at < last:
+        token = _TOKEN.match(page, at, last)
         t, at = token[0], token.end()
         if t[0] != "<" or t == "<":
-            if not furniture:
+            if not opened.furniture:
                 words.append(t)
             continue
-        m = _TAG.match(t)
-        if not m:
+        if not token["tag"]:
+            if t.startswith(("<!--", "<![CDATA[")) and not t.endswith(("-->", "]]>")):
+                at = len(page)  # never closed
             continue
-        end, tag, rest = m[1], m[2].lower(), m[3]
-        if tag in _RAW and not end:
+        tag, rest = token["tag"].lower(), token["rest"]
+        closed = rest.rstrip().endswith("/")
+        if tag in _RAW and not token["end"]:
             # A script may hold "<", quotes and what looks like tags: only its own end tag counts.
-            if not rest.rstrip().endswith("/"):
+            if not closed:
                 over = _RAW_END[tag].search(page, at)
                 at = over.end() if over else len(page)
             continue
         if tag not in _INLINE:
             close()
-        if end:
-            # Close up to the matching element, if there is one.
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    close()
-                    for _, f, k in stack[depth:]:
-                        furniture -= f
-                        main -= k
-                    del stack[depth:]
-                    break
-        elif tag not in _VOID and not rest.rstrip().endswith("/"):
-            names = " ".join(x.strip("\"'") for x in _NAMES.findall(rest))
-            drops = int(tag in _DROP and not (tag == "header" and main) or tag not in _MAIN and tag != "body" and tag != "html"
-                        and bool(names and _FURNITURE.search(names)))
-            keeps = int(tag in _MAIN)
-            if drops or keeps:
-                close()
-            if tag not in ("p", "li"):  # these end by themselves
-                stack.append((tag, drops, keeps))
-                furniture += drops
-                main += keeps
-            elif drops:
-                stack.append((tag, drops, 0))
-                furniture += drops
+        if token["end"]:
+            opened.end(tag)
+            continue
+        opened.end_before(tag)
+        if tag in _VOID or closed:
+            continue
+        attributes: dict[str, str] = {}
+        for name, value in _ATTR.findall(rest):
+            attributes.setdefault(name.lower(), value.strip("\"'"))
+        drops = _drops(tag, attributes, opened.main > 0, opened.article > 0)
+        keeps = not drops and (tag in _MAIN or attributes.get("role", "").lower() in _MAIN)
+        if keeps:
+            close()
+        opened.push(tag, drops, keeps)
+    if not opened.furniture:
+        words.append(page[max(at, last):].partition("<!--")[0])
     close()
     return out
 

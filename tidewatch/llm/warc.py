@@ -36,10 +36,9 @@ RECORD = ("page_id long, warc_type string, record_id string, refers_to string, t
           "content_type string, block_digest string, payload_digest string, content_length long, headers map<string,string>, block binary")
 
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_CHARSET = re.compile(r"<meta[^>]*charset\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE_END = re.compile(r"</title|\Z", re.I)
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w-]+)", re.I)
+_ATTR = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?")
 # What begins a tag or a declaration is markup, every other "<" is text. Quotes hide a ">" only in attribute values.
 _MARK = re.compile(r"<[!?][^>]*+>|</?([A-Za-z][^\s/>]*+)(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+>")
 _BREAK = set("p div br li ul ol h1 h2 h3 h4 h5 h6 tr td th table section article nav header footer aside main form title head body html blockquote pre".split())
@@ -60,6 +59,36 @@ def _plain(page: str) -> str:
     return "\n".join(x for x in (" ".join(line.split()) for line in text.split("\n")) if x)
 
 
+def _attributes(tag: str) -> dict[str, str]:
+    """Attributes of a start tag by lower-case name; of equal names the first counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTR.findall(tag):
+        out.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') else value)
+    return out
+
+
+def _facts(page: str) -> tuple[str, str, str, list[str]]:
+    """Charset, language, title and link targets of a page, from one walk over its tags outside scripts and comments."""
+    charset = lang = title = None
+    links = []
+    page = _HIDDEN.sub("", page)
+    end = page.rfind(">") + 1
+    for m in _MARK.finditer(page, 0, end):
+        tag = (m[1] or "").lower()
+        if m[0][1] == "/" or tag not in ("a", "html", "meta", "title"):
+            continue
+        attributes = _attributes(m[0][1 + len(tag): -1])
+        if tag == "a" and "href" in attributes:
+            links.append(_html.unescape(attributes["href"]))
+        elif tag == "html" and lang is None and attributes.get("lang"):
+            lang = attributes["lang"].lower()
+        elif tag == "meta" and charset is None and (found := _CHARSET.search(m[0])):
+            charset = found[1].lower()
+        elif tag == "title" and title is None:
+            title = " ".join(_html.unescape(page[m.end(): _TITLE_END.search(page, m.end()).start()]).split())
+    return charset or "", lang or "", title or "", links
+
+
 def _row(page_id, kind: str, record_id: str, refers_to, uri, date: str, content_type: str, payload_digest, block: bytes, headers: dict) -> tuple:
     return (page_id, kind, record_id, refers_to, uri, date, content_type, _digest(block), payload_digest, len(block), headers, block)
 
@@ -100,12 +129,10 @@ def derive(records: DataFrame) -> DataFrame:
                 page = payload.decode("utf-8", "replace")
                 source = dict(r.headers or {})
                 uri = r.target_uri if isinstance(r.target_uri, str) else None
-                charset, lang, title = _CHARSET.search(page), _LANG.search(page), _TITLE.search(page)
-                links = _LINK.findall(page)
+                charset, lang, title, links = _facts(page)
                 fields = [("status", head.split(b" ")[1].decode() if head.count(b" ") else ""), ("content-type", source.get("Content-Type", "")),
-                          ("payload-digest", r.payload_digest or ""), ("charset", charset[1].lower() if charset else ""),
-                          ("language", lang[1].lower() if lang else ""), ("title", " ".join(_html.unescape(title[1]).split()) if title else ""),
-                          ("outlinks", str(len(links)))] + [("outlink", _html.unescape(a or b or c)) for a, b, c in links]
+                          ("payload-digest", r.payload_digest or ""), ("charset", charset),
+                          ("language", lang), ("title", title), ("outlinks", str(len(links)))] + [("outlink", x) for x in links]
                 meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields if v).encode()
                 text = _plain(page).encode()
                 kept = {f"X-Source-{k}": v for k, v in source.items()} | {"X-Source-Payload-Digest": r.payload_digest or ""}
