@@ -1,6 +1,7 @@
 """Text operators against brute force, and their defined results on edge cases."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -580,7 +581,7 @@ def test_quotation_linking(spark):
     assert len(chat.conversations(df).collect()) == len(rows)
     assert got[1, 2].reply_to == 0 and got[1, 2].text == "In reverse I mean."
     assert got[1, 3].reply_to == 2 and got[1, 3].thread == 0 and got[1, 3].depth == 2 and got[1, 3].n_quotes == 2
-    assert got[1, 4].reply_to is None and got[1, 4].text == "Thanks" and got[2, 0].reply_to is None and got[2, 1].text == ""
+    assert got[1, 4].reply_to is None and got[1, 4].text == "> never said\nThanks" and got[2, 0].reply_to is None and got[2, 1].text == ""
     assert got[None, 0].thread == 0 and got[3, None].text == "How"
     assert chat.conversations(df.limit(0)).collect() == []
 
@@ -592,6 +593,44 @@ def test_passages_start_where_the_level_changes(spark):
     assert (3, 1, 1, 1) in got and (4, 2, 0, 1) in got and (5, 1, 1, 1) in got and got[0][:2] == (0, 1)
 
 
+def test_the_message_that_says_the_whole_passage_is_the_original(spark):
+    rows = [(1, 0, "alpha"), (1, 3, "alpha\nbeta"), (1, 4, "beta\nalpha"), (1, 5, "B wrote:\n> alpha\n>\n> beta\n\n>>> x = 1\nmine"),
+            (1, 6, "> alpha\n> beta"), (1, 7, ">>> print(1)\n> nobody"), (1, 8, "A wrote:\n> gamma\nB writes:\n> Alpha\n>  BETA \nok"), (1, 9, "")]
+    rows += [(2, 0, "\n".join(f"l{i}" for i in range(3000))), (2, 1, "\n".join(f"> l{i}" for i in range(3000)) + "\nend")]
+    df = spark.createDataFrame([(*r, "user") for r in rows], "conv_id long, turn long, text string, role string")
+    got = {(r.conv_id, r.turn): r for r in chat.conversations(df).collect()}
+    assert got[1, 5].reply_to == 0 and got[1, 5].text == "\n>>> x = 1\nmine".strip() and got[1, 5].n_quotes == 2  # an empty quoted line parts passages
+    assert got[1, 6].reply_to == 3 and got[1, 6].text == "" and got[1, 8].reply_to == 3 and got[1, 8].text == "A wrote:\n> gamma\nB writes:\nok".replace(
+        "B writes:\n", "")
+    assert got[1, 7].reply_to is None and got[1, 7].text == rows[5][2] and got[1, 9].text == ""
+    assert got[2, 1].reply_to == 0 and got[2, 1].text == "end"
+
+
+def test_passage_originals_match_brute_force(spark):
+    rnd = random.Random(29)
+    rows = [(c, t, [(rnd.random() < 0.5, rnd.choice("abcde")) for _ in range(rnd.randrange(1, 9))]) for c in range(20) for t in range(8)]
+    df = spark.createDataFrame([(c, t, "u", "\n".join("> " * q + x for q, x in m)) for c, t, m in rows], "conv_id long, turn long, role string, text string")
+
+    def runs(letters, d):
+        return [tuple(letters[i:i + d]) for i in range(len(letters) - d + 1)]
+
+    first, want = {}, {}
+    for c, t, m in rows:  # by turn
+        for d in (1, 2, 4, 8):
+            for w in runs([x for q, x in m if not q], d):
+                first.setdefault((c, w), t)
+    for c, t, m in rows:
+        for i, (q, _) in enumerate(m):
+            if q and (i == 0 or not m[i - 1][0]):
+                passage = [x for _, x in itertools.takewhile(lambda v: v[0], m[i:])]
+                for d in (8, 4, 2, 1):
+                    votes = Counter(first[c, w] for w in runs(passage, d) if first.get((c, w), t) < t)
+                    if votes:
+                        want[c, t, i] = min(votes, key=lambda o: (-votes[o], o))
+                        break
+    assert {(r.conv_id, r.turn, r.n): r.original for r in chat.links(df).collect()} == want and len(want) > 50
+
+
 def test_quotation_links_match_brute_force(spark):
     rnd = random.Random(23)
     rows, said = [], defaultdict(list)

@@ -59,6 +59,12 @@ def prefix_sums(steps: Column) -> Column:
                .otherwise(blocked(a)))
 
 
+def mask_of(places: Column) -> Column:
+    """1 at the given ascending places and 0 between them; the gaps are filled, so it costs linear time."""
+    gaps = F.transform(places, lambda g, i: g - F.when(i == 0, F.lit(-1)).otherwise(F.get(places, i - 1)) - 1)
+    return F.concat(F.flatten(F.transform(gaps, lambda n: F.concat(F.array_repeat(F.lit(0), n), F.array(F.lit(1))))))
+
+
 def ship(module_name: str) -> None:
     """Send a module's functions to the executors by value.
 
