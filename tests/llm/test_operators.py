@@ -102,7 +102,7 @@ def test_components_of_long_chains(spark):
 # --- line dedup
 
 
-def brute_lines(rows, w, long=50):
+def brute_lines(rows, w, long=5):
     """Rows with distinct ids, by id: later copies of runs of w worded lines, and of long lines, go."""
     seen, out = set(), {}
     for i, t in sorted(rows):
@@ -136,7 +136,7 @@ def test_line_dedup_matches_brute_force(spark, w):
 def test_long_lines_are_runs_by_themselves(spark, w):
     rnd = random.Random(40 + w)
     rows = [(i, "\n".join(rnd.choice([f"a{rnd.randrange(30)}", "", "d e", "g h i", "k  l m n"]) for _ in range(rnd.randrange(1, 14)))) for i in range(40)]
-    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_lines=w, long_words=3).collect()}
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_lines=w, line_words=3).collect()}
     assert got == brute_lines(rows, w, 3)
     passage = " ".join(f"p{i}" for i in range(50))
     rows = [(1, f"one\n{passage}\ntwo"), (2, f"three\n{passage}\nfour"), (3, f"five\n{passage} more\nsix")]
@@ -144,6 +144,44 @@ def test_long_lines_are_runs_by_themselves(spark, w):
     assert got == {1: rows[0][1], 2: "three\nfour", 3: rows[2][1]}
 
 
+def brute_runs(rows, w):
+    """(id, pos, n, first id, first pos) of maximal runs: by the deepest of w, 2w, 4w, ... lines said before."""
+    lines = {i: [x for x in t.split("\n") if words(x)] for i, t in rows}
+    first, later = {}, {}
+    for d in (w << k for k in range(8)):
+        for i in sorted(lines):
+            for j in range(len(lines[i]) - d + 1):
+                if first.setdefault(tuple(lines[i][j:j + d]), (i, j)) != (i, j):
+                    later[i, j] = (d, *first[tuple(lines[i][j:j + d])])
+    out = []
+    for (i, j), (d, a, b) in sorted(later.items()):
+        if later.get((i, j - 1), (0, None, None))[1:] == (a, b - 1):
+            out[-1][2] = max(out[-1][2], j + d - out[-1][1])
+        else:
+            out.append([i, j, d, a, b])
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("w", [1, 2, 3])
+def test_maximal_runs_match_brute_force(spark, w):
+    rnd = random.Random(60 + w)
+    parts = [[rnd.choice("abcdefgh") for _ in range(rnd.randrange(1, 20))] for _ in range(6)]
+    rows = [(i, "\n".join(sum((rnd.choice(parts) for _ in range(rnd.randrange(1, 4))), []) + [rnd.choice("xyz")])) for i in range(40)]
+    rows += [(50, "\n".join("q" * 70))]  # every suffix copies an earlier one
+    df = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string")
+    got = sorted((r._d, r.pos, r.n, r.first._d, r.first.pos) for r in linededup.repeated_runs(df, min_lines=w).collect())
+    assert got == brute_runs(rows, w) and max(n for _, _, n, _, _ in got) >= 48
+    text = {r.doc_id: r.text for r in linededup.dedup_lines(df, min_lines=w).collect()}
+    assert text == brute_lines(rows, w)
+
+
+def test_line_dedup_keeps_columns_with_internal_names(spark):
+    df = spark.createDataFrame([(1, "a\nb", 7, "h", [1], "r", 5), (2, "a\nb\nc", 8, "i", [2], "s", 6)],
+                               "doc_id long, text string, _d long, _h string, gone array<int>, row string, _n_lines long")
+    got = {r.doc_id: (r.text, r._d, r._h, r.gone, r.row, r._n_lines, r._n_deleted) for r in linededup.dedup_lines(df).collect()}
+    assert got == {1: ("a\nb", 7, "h", [1], "r", 2, 0), 2: ("c", 8, "i", [2], "s", 3, 2)}
+
+
 def test_line_dedup_edge(edge, empty):
     got = linededup.dedup_lines(edge)
     assert set(edge.columns) <= set(got.columns)

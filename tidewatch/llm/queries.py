@@ -116,7 +116,7 @@ later as (
   select doc_id, pos, row_number() over (partition by line, next order by doc_id, pos) as copy from w where next is not null),
 passages as (
   select doc_id, pos, row_number() over (partition by line order by doc_id, pos) as copy
-  from w where len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 50),
+  from w where len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 5),
 gone as (
   select doc_id, pos from later where copy > 1 union select doc_id, pos + 1 from later where copy > 1
   union select doc_id, pos from passages where copy > 1),
