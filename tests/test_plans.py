@@ -14,7 +14,7 @@ from tidewatch.plans.layers import Layers
 from tidewatch.sources import storage as io
 
 # Keys whose work is writing files or a file listing, checked elsewhere.
-WRITERS = {"roundtrip_json", "roundtrip_partitioned", "roundtrip_tables", "layer_inventory"}
+WRITERS = {"roundtrip_json", "roundtrip_partitioned", "roundtrip_tables", "layer_inventory", "layer_copy"}
 
 
 def plan_of(df, mode="formatted") -> str:

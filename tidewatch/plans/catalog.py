@@ -24,6 +24,7 @@ from tidewatch.sources import fixtures, schemas
 from tidewatch.sources import landed as LD
 from tidewatch.sources import raw as RW
 from tidewatch.sources import storage as io
+from tidewatch.sources.copying import copy_layers
 from tidewatch.sources.intake import take_in
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +175,15 @@ def _layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(rows, ["layer", "table"], "left")
 
 
+def _layer_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each table of the lake's copy under another root, and whether the copy is whole."""
+    L = Layers.from_testdata(spark, sf_dir)
+    root = scratch_path(spark, "lake")
+    P.land(root, L.raw_stocks, L.raw_news, L.raw_macro)
+    P.run(spark, root)
+    return copy_layers(spark, root, scratch_path(spark, "lake-copy")).select("layer", "table", "row_count", "passed")
+
+
 def _run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every step's table; what later steps read is stored once."""
     L = Layers.from_testdata(spark, sf_dir, shared=True)
@@ -200,6 +210,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_tables": _roundtrip_tables,
     "table_catalog": _table_catalog,
     "layer_inventory": _layer_inventory,
+    "layer_copy": _layer_copy,
     "table_preview": _on(lambda L: R.preview(L.dim_tickers, ["ticker"], 3)),
     # silver
     "silver_stocks": _on(lambda L: L.silver_stocks),

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,7 +165,7 @@ def files_between(spark: SparkSession, path: str, column: str, low: str, high: s
         raise ValueError(f"{path} is not published")
     rows = found.where("file is not null").where((F.col(f"last_{column}") >= low) & (F.col(f"first_{column}") <= high)).select("file")
     base = location(spark, path)
-    return [f"{base}/{r.file}" for r in rows.collect()]
+    return [f"{base}/{unquote(r.file)}" for r in rows.collect()]  # the manifest has names as URIs
 
 
 def read_between(spark: SparkSession, path: str, column: str, low: str, high: str) -> DataFrame:
@@ -184,6 +185,6 @@ def checked_files(spark: SparkSession, path: str) -> DataFrame:
     base = location(spark, path)
     name = base.rpartition("/")[2]
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select(
-        F.regexp_extract(F.col("path"), f"/versions/{name}/(.*)$", 1).alias("file"), F.col("length").alias("found_bytes"))
+        F.regexp_extract(F.col("_metadata.file_path"), f"/versions/{name}/(.*)$", 1).alias("file"), F.col("length").alias("found_bytes"))
     named = manifest(spark, path).where("file is not null").select("file", "rows", "bytes")
     return named.join(found, "file", "left").withColumn("passed", F.coalesce(F.col("bytes") == F.col("found_bytes"), F.lit(False)))
