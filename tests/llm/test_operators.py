@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat, decontaminate, findings, htmltext, linededup, mixing, neardup, pii, quality, warc
+from tidewatch.llm import chat, decontaminate, findings, htmltext, linededup, mixing, neardup, pii, quality, spans, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, rank int, pos int, keys string, _q string"
 SF = "/root/testdata/sf0.001"
@@ -385,6 +385,31 @@ def test_pii_adds_loosely_written_data_and_no_plain_numbers(spark):
     assert added == {i: [span] for i, span in want.items()}
 
 
+def test_spans_apart_and_in_clusters_match_brute_force(spark):
+    rnd = random.Random(41)
+    span = lambda n: [(s := rnd.randrange(n * 3), s + rnd.randrange(1, 9)) for _ in range(rnd.randrange(n))]
+    rows = [(i, span(30), span(10)) for i in range(80)] + [(90, span(1500), span(900)), (91, [], [(0, 1)]), (92, [(0, 1)], [])]
+    df = spark.createDataFrame(rows, "i int, a array<struct<s:bigint,e:bigint>>, b array<struct<s:bigint,e:bigint>>")
+    for r in df.select("*", spans.apart_from(F.col("a"), F.col("b")).alias("apart"), spans.clusters(F.col("a")).alias("groups")).collect():
+        assert sorted(r.apart) == sorted(x for x in r.a if not any(y.s < x.e and x.s < y.e for y in r.b))
+        assert sorted(x for g in r.groups for x in g) == sorted(r.a)
+        ends = [max(x.e for x in g) for g in r.groups]
+        assert all(e <= min(x.s for x in g) for e, g in zip(ends, r.groups[1:]))
+        assert all(any(x.s < y.e for y in g[:k]) for g in r.groups for k, x in enumerate(g) if k)
+
+
+def test_pii_keeps_columns_and_takes_long_texts(spark):
+    rnd = random.Random(43)
+    loose = [f"write to me{i} (at) host{i} (dot) org please" if i % 2 else f"mail me{i}@host{i}.org or number {rnd.randrange(10 ** 9)}" for i in range(600)]
+    long = " ".join(f"x{i}@y{i}.org or z{i} (at) w{i} (dot) org," for i in range(8000))
+    df = spark.createDataFrame([(i, t, f"t{i}", i, "r") for i, t in enumerate([*loose, long])], "doc_id long, text string, _t string, _spans long, row string")
+    start = time.time()
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    assert time.time() - start < 200  # a comparison of all pairs takes far longer
+    assert all(r._t == f"t{i}" and r.row == "r" for i, r in got.items()) and len(got) == 601
+    assert len(got[600]._base) == 8000 and len(got[600]._spans) == 16_000 and len(got[1]._spans) == 1
+
+
 # --- secrets
 
 
