@@ -300,6 +300,36 @@ def test_decontamination_finds_edited_passages_only(spark):
         assert r.edits <= decontaminate._budget(r.item_chars)
 
 
+def least_edits(item, text):
+    """Edits between ``item`` and the nearest part of ``text``, by the whole table."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(text, 1):
+            before, row[j] = row[j], min(before + (x != y), row[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def test_decontamination_matches_edit_distances(spark):
+    rnd = random.Random(47)
+    said = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    items = [(i, said(rnd.randrange(60, 160), "abcdefgh"[: 2 + i % 7])) for i in range(12)]
+
+    def edited(t, n):
+        for _ in range(n):
+            i, kind = rnd.randrange(len(t)), rnd.randrange(3)
+            t = t[:i] + ("" if kind == 0 else rnd.choice("abcx")) + t[i + (kind != 1):]
+        return t
+
+    rows = [(d, said(rnd.randrange(40), "abcdwxyz") + edited(items[d % 12][1], rnd.randrange(13)) + said(rnd.randrange(40), "abcdwxyz")) for d in range(150)]
+    rows += [(200, "".join(t for _, t in items)), (201, items[0][1][:-1]), (202, items[0][1][1:]), (203, "")]
+    want = {(d, i): e for d, t in rows for i, x in items if (e := least_edits(x, t)) <= decontaminate._budget(len(x))}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id): r.edits for r in decontaminate.matches(docs, bench).collect()} == want
+    assert len(want) > 80 and len({e for e in want.values()}) > 5 and len(want) < 150
+
+
 def test_decontamination_in_blocks_and_edge(spark, edge, empty, monkeypatch):
     items = [(1, edge_rows()[0][1]), (1, edge_rows()[0][1]), (2, None), (3, ""), (4, "tiny"), (None, LONG[:300])]
     bench = spark.createDataFrame(items, "item_id long, text string")
