@@ -104,6 +104,16 @@ def test_partitioned_roundtrip_keeps_string_tickers(spark, tmp_root):
     assert os.path.isdir(os.path.join(tmp_root, "silver", "ticker=0700"))
 
 
+def test_partitioned_write_keeps_its_ranges_apart_however_few_bytes_they_hold(spark, tmp_root):
+    df = spark.range(200).select(F.format_string("T%03d", "id").alias("ticker"), F.date_add(F.lit("2024-01-02").cast("date"), F.col("id").cast("int") % 5).alias("date"))
+    io.write_partitioned(df, f"file://{tmp_root}/many")
+    names = [f for _, _, files in os.walk(os.path.join(tmp_root, "many")) for f in files if f.endswith(".parquet")]
+    # Every ticker has its folder and file; the files come from as many tasks as there are ranges, not from a few merged ones.
+    assert len(names) == 200 and len({n.split("-")[1] for n in names}) >= spark.sparkContext.defaultParallelism
+    back = spark.read.parquet(f"file://{tmp_root}/many").select("ticker", "date")
+    assert back.exceptAll(df).count() == 0 and back.count() == 200
+
+
 def test_register_tables_skips_absent(spark, tmp_root):
     spark.range(3).write.parquet(f"file://{tmp_root}/present")
     names = io.register_tables(spark, f"file://{tmp_root}", ["present", "absent"])

@@ -56,6 +56,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 # files instead of one very large one.
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# Ranges per core of a partitioned write, so that cores which finish early get more.
+RANGES_PER_CORE = 4
+
+
+def _write_tasks(spark: SparkSession) -> int:
+    """Ranges of a partitioned write: the session's shuffle partitions, and several for each core if there are more."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # a remote (Connect) session has no SparkContext
+        cores = 1
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), RANGES_PER_CORE * cores)
+
+
 def append_json(df: DataFrame, path: str) -> None:
     """Append newline-delimited JSON files (one landing batch) under ``path``."""
     df.write.mode("append").json(path)
@@ -68,10 +81,13 @@ def write_partitioned(df: DataFrame, path: str, by: str = "ticker", order: str =
     Range partitioning on (by, order) bounds the files per folder (a key
     spans few tasks) and splits a very large key across tasks instead of
     sending it to one. No global sort is needed: readers order at read time.
+    The ranges have a given number: making a file per key costs far more than
+    its bytes, and adaptive execution would merge ranges by bytes alone, into
+    about a task a core, where one late task leaves the other cores idle.
     ``after_exchange`` is applied above the range exchange, so it runs only
     in the write job and not in the sampling job that finds the ranges.
     """
-    ranged = df.repartitionByRange(F.col(by), F.col(order))
+    ranged = df.repartitionByRange(_write_tasks(df.sparkSession), F.col(by), F.col(order))
     if after_exchange is not None:
         ranged = after_exchange(ranged)
     (
