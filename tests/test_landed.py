@@ -4,6 +4,7 @@ import json
 import os
 import random
 
+import pyarrow as pa
 import pytest
 
 from tidewatch.sources import landed, schemas
@@ -68,3 +69,42 @@ def test_arrays_written_and_read(spark, tmp_root):
     assert sum(len(json.load(open(f))) for f in files) == 500
     got = read(spark, path, 300)
     assert len(got) == 500 and {r.title for r in got} == {f"t}}{i}" for i in range(500)}
+
+
+def cut_rows(n, size):
+    """Arrow batches as the second pass gets them: ``n`` records of ``size`` characters of one array file, each in two pieces."""
+    rows = []
+    for i in range(n):
+        text = ("[" if i == 0 else ",") + '{"title":"' + "x" * size + '"'
+        rows += [("f", 0, False, 0, text[:size // 2], False), ("f", 0, False, 0, text[size // 2:], True)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["file", "start", "inside", "depth", "value", "last"])
+
+
+def test_records_leave_python_in_batches_bounded_by_their_characters():
+    n, size = 60, 200_000
+    sizes, texts = [], []
+    for batch in landed._cut(iter([cut_rows(n, size)])):
+        got = [t for t, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist()) if part == 0]
+        texts += got
+        sizes.append(sum(map(len, got)))
+    assert [json.loads(t) for t in texts] == [{"title": "x" * size}] * n
+    assert max(sizes) <= landed.BATCH_CHARS + size + 100
+
+
+@pytest.mark.parametrize("chars", [1, 7, 2048])
+def test_texts_go_to_python_in_bounded_pieces_and_come_back_whole(spark, chars, monkeypatch):
+    monkeypatch.setattr(landed, "PIECE_CHARS", chars)
+    texts = ["", "a", "é漢🙂" * 1500, "line\nend\\\"" * 900, "\r\n", "x" * 2048, "y" * 2049]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, value string").coalesce(1)
+    rows = landed._pieces(df, "value").collect()
+    assert max(len(r.value) for r in rows) <= chars
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["k", "value", "last"])
+    assert list(landed._joined(iter([batch.slice(0, 5), batch.slice(5)]))) == list(enumerate(texts))
+
+
+def test_long_records_survive_a_round_trip(spark, tmp_root):
+    texts = [w * 1500 for w in AWKWARD] * 3
+    df = spark.createDataFrame([(f"{i} {t}", None) for i, t in enumerate(texts)], "title string, url string").repartition(2)
+    landed.write_json_arrays(df, f"file://{tmp_root}/long")
+    got = read(spark, f"{tmp_root}/long", 5000)
+    assert sorted(r.title for r in got) == sorted(f"{i} {t}" for i, t in enumerate(texts))

@@ -18,6 +18,10 @@ ranges, two a range at most, are put together by file.
 A record is an object that is not inside another one. Its text is parsed with
 the given schema; what cannot be parsed is kept as ``_corrupt_record``, as for
 records by line. Text after an array's last record is not looked at.
+
+Text goes to Python in pieces of bounded length and is put together there, one
+fragment or record at a time, so a batch of rows is bounded in bytes too,
+however long the records are; what Python gives back is bounded likewise.
 """
 
 from __future__ import annotations
@@ -41,6 +45,9 @@ _IN = re.compile(r'\\.|"', re.S)
 _OUT = re.compile(r'["{]')
 _MOVED = "byte ranges differ between the two passes"
 _BLANK = "\ufeff \t\r\n"
+PIECE_CHARS = 2048  # of a row that goes to Python
+SLICE_ROWS = 500  # of a batch that are Python objects at a time
+BATCH_CHARS, BATCH_ROWS = 4_000_000, 5000  # of what Python gives back at a time
 
 _RANGES = "file string, start long, cut boolean, out_in boolean, out_depth long, in_in boolean, in_depth long"
 _PIECES = "file string, start long, part int, opens boolean, text string"
@@ -52,6 +59,26 @@ def _fragments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
+def _pieces(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the column ``text`` last, cut into pieces that follow each other, and whether a piece ends its text."""
+    cut = F.when(F.length(text) > PIECE_CHARS, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))).otherwise(F.array(text))
+    others = [c for c in df.columns if c != text]
+    dealt = df.select(*others, cut.alias("_p")).select(*others, F.size("_p").alias("_n"), F.posexplode_outer("_p").alias("_i", text))
+    return dealt.select(*others, text, (F.col("_i") == F.col("_n") - 1).alias("last"))
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of ``_pieces`` with their whole texts, one at a time."""
+    held = []
+    for batch in batches:
+        for at in range(0, len(batch), SLICE_ROWS):
+            for *others, piece, last in zip(*(c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns)):
+                held.append(piece)
+                if last:
+                    text, held = held[0] if len(held) == 1 else "".join(held), []
+                    yield (*others, text)
+
+
 def _walk(text: str, inside: bool) -> tuple[bool, list[int]]:
     """(inside a string at the end, places of the braces that open) of a fragment that begins ``inside`` or not."""
     at, opens = 0, []
@@ -68,8 +95,7 @@ def _walk(text: str, inside: bool) -> tuple[bool, list[int]]:
 
 def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[str]]]:
     """(file, start, fragments) of each byte range; a range's rows follow each other."""
-    rows = ((f, s, v) for b in batches for f, s, v in zip(*(b.column(i).to_pylist() for i in range(3))))
-    for (file, start), group in groupby(rows, lambda r: r[:2]):
+    for (file, start), group in groupby(_joined(batches), lambda r: r[:2]):
         yield file, start, (v for _, _, v in group)
 
 
@@ -111,9 +137,8 @@ def _starts(ranges: DataFrame) -> DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole records (part 0) and the pieces of those that cross ranges (part 1 ends one, part 2 begins one or goes on)."""
-    rows = ((f, s, i, d, v) for b in batches for f, s, i, d, v in zip(*(b.column(k).to_pylist() for k in range(5))))
-    for (file, start), group in groupby(rows, lambda r: r[:2]):
-        out, held, depth, inside, whole = [], [], None, False, True
+    for (file, start), group in groupby(_joined(batches), lambda r: r[:2]):
+        out, chars, held, depth, inside, whole = [], 0, [], None, False, True
         for _, _, was_inside, was_depth, text in group:
             if depth is None:
                 depth, inside = was_depth, was_inside
@@ -133,10 +158,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 depth -= 1
                 if depth == 0:
                     out.append((file, start, 0 if whole else 1, whole, "".join(held)))
-                    held, whole = [], True
-            if len(out) >= 5000:
+                    held, whole, chars = [], True, chars + len(out[-1][-1])
+            if len(out) >= BATCH_ROWS or chars >= BATCH_CHARS:
                 yield _rows(out)
-                out = []
+                out, chars = [], 0
         if depth:
             out.append((file, start, 2, whole, "".join(held)))
         if out:
@@ -160,7 +185,7 @@ def cut_records(spark: SparkSession, files: list[str], ranges: DataFrame) -> Dat
         fragments = fragments.repartition("file", "start").sortWithinPartitions("file", "start", "n")
     fragments = fragments.withColumn("depth", F.coalesce("depth", F.raise_error(F.lit(_MOVED)).cast("long")))
     # Stored once: the records and the pieces are two reads of the same cuts.
-    cut = materialise(fragments.select("file", "start", "inside", "depth", "value").mapInArrow(_cut, _PIECES), "json-records")
+    cut = materialise(_pieces(fragments.select("file", "start", "inside", "depth", "value"), "value").mapInArrow(_cut, _PIECES), "json-records")
     in_order = Window.partitionBy("file").orderBy("start", "part")
     pieces = cut.where("part > 0").withColumn("record", F.sum(F.col("opens").cast("int")).over(in_order))
     joined = pieces.groupBy("file", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
@@ -177,7 +202,7 @@ def read_landed_json(spark: SparkSession, path: str | list[str], schema: T.Struc
     """
     # Both passes read one list of files, so that files which land meanwhile change no range.
     files = [unquote(f) for f in spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()]
-    ranges = materialise(_fragments(spark, files).mapInArrow(_summed, _RANGES), "json-ranges") if files else spark.createDataFrame([], _RANGES)
+    ranges = materialise(_pieces(_fragments(spark, files), "value").mapInArrow(_summed, _RANGES), "json-ranges") if files else spark.createDataFrame([], _RANGES)
     forms = ranges.groupBy("file").agg(F.min_by("cut", "start").alias("cut")).collect()  # a row per file
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     lines = [unquote(r.file) for r in forms if not r.cut]
@@ -197,13 +222,14 @@ def read_landed_json(spark: SparkSession, path: str | list[str], schema: T.Struc
 def write_json_arrays(df: DataFrame, path: str) -> None:
     """Append files that each hold one JSON array, one per task."""
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = "["
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            if texts:
-                yield pa.RecordBatch.from_pydict({"value": [(before if i == 0 else ",") + t for i, t in enumerate(texts)]})
-                before = ","
-        yield pa.RecordBatch.from_pydict({"value": ["[]" if before == "[" else "]"]})
+        before, out, chars = "[", [], 0
+        for (text,) in _joined(batches):
+            out.append(before + text)
+            before, chars = ",", chars + len(text)
+            if len(out) >= BATCH_ROWS or chars >= BATCH_CHARS:
+                yield pa.RecordBatch.from_pydict({"value": out})
+                out, chars = [], 0
+        yield pa.RecordBatch.from_pydict({"value": [*out, "[]" if before == "[" else "]"]})
 
     records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    records.mapInArrow(lines, "value string").write.mode("append").option("lineSep", "\n").text(path)
+    _pieces(records, "value").mapInArrow(lines, "value string").write.mode("append").option("lineSep", "\n").text(path)
