@@ -428,6 +428,29 @@ def test_spans_apart_and_in_clusters_match_brute_force(spark):
         assert all(any(x.s < y.e for y in g[:k]) for g in r.groups for k, x in enumerate(g) if k)
 
 
+def test_pii_model_and_thresholds_use_every_candidate(spark, monkeypatch):
+    rows = [(i, " ; ".join(f"{i % 250}.{j}.{j + 1}.{(7 * i + j) % 250}" for j in range(60)), "x") for i in range(300)]
+    seen = []
+
+    def fitted(data, *args, **kwargs):
+        seen.append(data.agg(F.sum("_n") if "_n" in data.columns else F.count(F.lit(1))).first()[0])
+
+    monkeypatch.setattr(pii.trees, "fit_boosted", fitted)
+    assert pii.fit(table(spark, rows)) == (None, {})
+    every = pii.with_candidates(pii.with_base(table(spark, rows))).agg(F.sum(F.size("_cand"))).first()[0]
+    assert every >= 18_000 and 0.6 * every < seen[0] < 0.73 * every  # two thirds of them; the others are held out
+
+
+def test_counted_cut_points_are_exact_percentiles_and_rows_keep_their_number(spark):
+    data = [(i % 2 == 0, float(i * i % 37), float(i % 3)) for i in range(500)]
+    rows, cuts = pii.trees.prepare_counted(spark.createDataFrame(data, "y boolean, a double, b double").repartition(5), ["a", "b"], ["y"], "test")
+    for f, k in (("a", 1), ("b", 2)):
+        v = sorted(r[k] for r in data)
+        want = {v[-(-500 * i // 16) - 1] for i in range(1, 16)} | {v[0], (v[0] + v[-1]) / 2}
+        assert cuts[f] == sorted(x for x in want if x < v[-1])
+    assert rows.agg(F.sum("_n")).first()[0] == 500 and rows.count() == rows.select("y", "_b_a", "_b_b").distinct().count()
+
+
 def test_pii_keeps_columns_and_takes_long_texts(spark):
     rnd = random.Random(43)
     loose = [f"write to me{i} (at) host{i} (dot) org please" if i % 2 else f"mail me{i}@host{i}.org or number {rnd.randrange(10 ** 9)}" for i in range(600)]

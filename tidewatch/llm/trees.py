@@ -1,6 +1,7 @@
-"""Binned decision trees, grown by Spark aggregations over a bounded sample.
+"""Binned decision trees, grown by Spark aggregations over a bounded sample or over all rows.
 
-The sample is written once with every feature cut into bins; each level of a
+The rows are written once with every feature cut into bins; of all rows
+(``prepare_counted``) equal ones become one with its count. Each level of a
 tree is one job that adds up a histogram by node, feature and bin. A tree is a
 nested tuple ``(feature, bin, low, high)`` with numbers as leaves; it becomes
 a conditional Spark expression over bins (fitting) or raw values (scoring).
@@ -12,12 +13,14 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.joins import materialise
 
 N_CUTS = 15
+# Counted rows add up gradients as whole numbers of this unit, so that sums do not depend on the order of tasks.
+_UNIT = 1 << 30
 Getter = Callable[[str], Column]
 
 
@@ -61,22 +64,47 @@ def prepare(sample: DataFrame, features: list[str], keep: list[str], name: str)
     table = materialise(sample.select(*keep, *(F.col(f).cast("double").alias(f) for f in features)), f"{name}-sample").coalesce(1)
     row = table.agg(*(F.percentile_approx(f, [i / (N_CUTS + 1) for i in range(1, N_CUTS + 1)], 2000).alias(f)
                       for f in features), *(F.array(F.min(f), F.max(f)).alias(f"_r_{f}") for f in features)).first()
+    cuts = {f: _cuts({float(x) for x in (row[f] or [])}, *(row[f"_r_{f}"] or (None, None))) for f in features}
+    return materialise(table.select(*keep, *_bins(features, cuts)), f"{name}-bins").coalesce(1), cuts
+
+
+def _cuts(values: set[float], low: float | None, high: float | None) -> list[float]:
+    if low is not None and high > low:
+        values = values | {float(low), (float(low) + float(high)) / 2}
+    return sorted(v for v in values if high is not None and v < high)
+
+
+def _bins(features: list[str], cuts: dict[str, list[float]]) -> list[Column]:
+    return [sum(((F.col(f) > c).cast("int") for c in cuts[f]), F.lit(0)).alias(f"_b_{f}") for f in features]
+
+
+def prepare_counted(rows: DataFrame, features: list[str], keep: list[str], name: str) -> tuple[DataFrame, dict[str, list[float]]]:
+    """As ``prepare`` for any number of rows: those that are equal in ``keep`` and bins are one, ``_n`` is their number.
+
+    Cut points are exact percentiles, from the counts of each feature's values.
+    """
+    table = materialise(rows.select(*keep, *(F.col(f).cast("double").alias(f) for f in features)), f"{name}-rows")
+    cells = table.select(F.inline(F.array(*(F.struct(F.lit(k).alias("f"), F.col(f).alias("v")) for k, f in enumerate(features))))).groupBy("f", "v").agg(
+        F.count(F.lit(1)).alias("n"))
+    of_f = Window.partitionBy("f")
+    ranked = cells.withColumn("to", F.sum("n").over(of_f.orderBy("v"))).withColumn("all", F.sum("n").over(of_f))
+    is_cut = F.exists(F.sequence(F.lit(1), F.lit(N_CUTS)), lambda i: F.ceil(i * F.col("all") / (N_CUTS + 1)).between(F.col("to") - F.col("n") + 1, F.col("to")))
+    ends = {"low": F.col("to") == F.col("n"), "high": F.col("to") == F.col("all")}
+    found = ranked.select("f", "v", is_cut.alias("cut"), *(c.alias(k) for k, c in ends.items())).where("cut or low or high").collect()
     cuts = {}
-    for f in features:
-        low, high = row[f"_r_{f}"] if row[f"_r_{f}"] else (None, None)
-        values = {float(x) for x in (row[f] or [])}
-        if low is not None and high > low:
-            values |= {float(low), (float(low) + float(high)) / 2}
-        cuts[f] = sorted(v for v in values if high is not None and v < high)
-    bins = [sum(((F.col(f) > c).cast("int") for c in cuts[f]), F.lit(0)).alias(f"_b_{f}") for f in features]
-    return materialise(table.select(*keep, *bins), f"{name}-bins").coalesce(1), cuts
-
-
-def _histogram(rows: DataFrame, features: list[str], extra: list[str]) -> list:
-    """Sums of ``_g`` and ``_h`` by ``extra``, feature and bin: a bounded result."""
+    for k, f in enumerate(features):
+        mine = [r for r in found if r["f"] == k]
+        low, high = (next((r["v"] for r in mine if r[end]), None) for end in ends)
+        cuts[f] = _cuts({r["v"] for r in mine if r["cut"]}, low, high)
+    binned = table.select(*keep, *_bins(features, cuts))
+    return materialise(binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("_n")), f"{name}-bins"), cuts
+
+
+def _histogram(rows: DataFrame, features: list[str], extra: list[str], unit: int = 1) -> list:
+    """Sums of ``_g`` and ``_h``, given in ``unit``ths, by ``extra``, feature and bin: a bounded result."""
     cells = F.explode(F.array(*(F.struct(F.lit(k).alias("f"), F.col(f"_b_{f}").alias("b")) for k, f in enumerate(features))))
     return (rows.select(*extra, "_g", "_h", cells.alias("x")).groupBy(*extra, "x.f", "x.b")
-            .agg(F.sum("_g").alias("g"), F.sum("_h").alias("h")).collect())
+            .agg((F.sum("_g") / unit).alias("g"), (F.sum("_h") / unit).alias("h")).collect())
 
 
 def _best(cells: list, features: list[str], cuts: dict, gain, least: float, allowed=None):
@@ -136,21 +164,23 @@ def _grow(histogram, split, leaf, depth: int):
 
 
 def fit_boosted(rows: DataFrame, features: list[str], cuts: dict, label: str = "_y", rounds: int = 10, depth: int = 3,
-                rate: float = 0.4, ridge: float = 1.0) -> Model | None:
-    """Gradient boosting on the logistic loss; None without both classes."""
-    n, p = rows.agg(F.count(F.lit(1)), F.sum(label)).first()
+                rate: float = 0.4, ridge: float = 1.0, counted: bool = False) -> Model | None:
+    """Gradient boosting on the logistic loss; None without both classes. ``counted`` rows stand for ``_n`` rows each."""
+    times = ["_n"] if counted else []
+    n, p = rows.agg(*((F.sum("_n"), F.sum(F.col("_n") * F.col(label))) if counted else (F.count(F.lit(1)), F.sum(label)))).first()
     if not n or not p or p == n:
         return None
     model = Model(features, cuts, [], math.log(p / (n - p)), rate)
     binned = [F.col(f"_b_{f}") for f in features]
-    now = rows.select(label, *binned, F.lit(model.base).alias("_raw"))
+    now = rows.select(label, *times, *binned, F.lit(model.base).alias("_raw"))
+    total = (lambda c: F.round(c * _UNIT).cast("long") * F.col("_n")) if counted else (lambda c: c)
     for _ in range(rounds):
         if model.trees:  # the sum so far is written, so each job holds one tree only
             now = now.withColumn("_raw", F.col("_raw") + rate * _value(model.trees[-1], lambda f, b: F.col(f"_b_{f}") > b))
         prob = 1 / (1 + F.exp(-F.col("_raw")))
-        now = materialise(now.select(label, *binned, "_raw", (F.col(label) - prob).alias("_g"), (prob * (1 - prob)).alias("_h")),
-                          "boosting").coalesce(1)
-        tree = _grow(lambda node: _histogram(now.withColumn("node", node), features, ["node"]),
+        now = materialise(now.select(label, *times, *binned, "_raw", total(F.col(label) - prob).alias("_g"), total(prob * (1 - prob)).alias("_h")), "boosting")
+        now = now if counted else now.coalesce(1)
+        tree = _grow(lambda node: _histogram(now.withColumn("node", node), features, ["node"], _UNIT if counted else 1),
                      lambda cells: _best(cells, features, cuts, lambda g, h: g * g / (h + ridge), 1e-3),
                      lambda g, h: g / (h + ridge), depth)
         model.trees.append(tree)
