@@ -47,7 +47,7 @@ ship(__name__)
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 MAX_STRETCHES = 200_000
 _AT_ONCE = 2000  # stretches that one call of a library encodes
 
@@ -140,7 +140,10 @@ class Pair:
 
     def __init__(self, folder: str, a_file: str, b_file: str):
         import json
+        import os
 
+        # Each task is one thread: threads of their own would compete for the cores of all tasks and hold memory each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -177,7 +180,7 @@ class Pair:
 
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each stretch as they are inside a text."""
-        a = [e.ids for e in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)]
         b = self.b.encode(stretches, num_threads=1)
         for i, s in enumerate(stretches):
             if not s:  # nothing after the space: encoded behind a letter, which is left out again
