@@ -6,6 +6,7 @@ import struct
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +81,56 @@ def test_repeats_in_pieces(spark, monkeypatch):
     assert got[3].n_removed == 0 and got[4].n_removed == 250
 
 
+def rows_written(monkeypatch):
+    """Rows that the operator writes, by the name of the table."""
+    rows, plain = Counter(), suffixdedup.materialise
+
+    def counting(df, name="stage", counted=False):
+        stored, n = plain(df, name, counted=True)
+        rows[name] += n
+        return (stored, n) if counted else stored
+
+    monkeypatch.setattr(suffixdedup, "materialise", counting)
+    return rows
+
+
+def test_copies_of_a_text_bring_its_passages_and_windows_once(spark, monkeypatch):
+    """Copies in one batch and in several; near copies keep their passages in the sort."""
+    rng = random.Random(21)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(300)]
+    base = " ".join(words)
+    rows = [(i, base) for i in range(60)] + [(100 + i, " ".join(w if rng.random() > 0.03 else "new" for w in words)) for i in range(6)]
+
+    def windows(length, kind):
+        def run(batches):
+            for batch in batches:
+                n = pa.array([len(w) if w.is_valid else 0 for w in batch.column("w")], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n, n, n, pa.array([""] * len(n))],
+                                                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return run
+
+    written = rows_written(monkeypatch)
+    docs = lambda parts: table(spark, [(i, t, "s") for i, t in rows]).repartition(parts)
+    for parts in (1, 7):
+        assert sorted(map(tuple, suffixdedup.dedup(docs(parts), digest=True, group=2).collect()), key=str) == brute_repeats(rows)
+    assert written["passages"] < 2 * 7 * len(base) / 10
+    with monkeypatch.context() as m:
+        m.setattr(suffixdedup, "_cut", windows)
+        most = max(r.n_spans for r in suffixdedup.dedup(docs(7), digest=True).collect())
+    assert most < len(base) / 10
+
+
+def test_passages_with_a_long_part_in_common_are_halved_without_a_row_for_each_window(spark, monkeypatch):
+    rng = random.Random(22)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(n))
+    line = prose(60)
+    rows = [(i, f"{prose(40)} {line} {prose(40)}") for i in range(50)]
+    written = rows_written(monkeypatch)
+    got = suffixdedup.dedup(table(spark, [(i, t, "s") for i, t in rows]), digest=True, group=20).collect()
+    assert sorted(map(tuple, got), key=str) == brute_repeats(rows)
+    assert 0 < written["core-halves"] < 30 * len(rows)
+
+
 def test_suffixdedup_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert sorted(map(tuple, queries.op11_suffixdedup(spark, SF).collect()), key=str) == brute_repeats(rows)

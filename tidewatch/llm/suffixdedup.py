@@ -24,10 +24,14 @@ their first ``length`` bytes.
 **Skew.** A core's passages are counted over all tasks. Beyond ``GROUP`` of
 them the group is halved: windows with the anchor in their left half share more
 bytes to the right of it, the others more bytes to its left, so each half is
-grouped by longer common bytes, until the groups are small or hold one window
-each, whose equal windows need no sort. A core that a task meets again needs
+grouped by longer common bytes, until the groups are small. Passages that only
+differed outside a half are equal in it: all their windows are repeated, and one
+of them goes on, so many passages with a long part in common stay about as many
+rows a halving, not a row for each window. A core that a task meets again needs
 no partner elsewhere, so such rows are spread over ``SALTS`` keys, and equal
-passages of a task are one row. No row is dropped.
+passages of a task are one row. Copies of a text are worked on once a batch, bring
+their passages to the sort once, and get each repeated window once, however many
+they are. No row is dropped.
 
 Defined results: texts are whole UTF-8 bytes; a null or empty text has no bytes
 and stays; a text shorter than ``length`` loses nothing; texts of any length
@@ -159,35 +163,38 @@ _ANCHORS = "key long, bytes int, first long, windows int, off int, core long, wh
 
 
 def _anchored(length: int):
-    """Passages of a task's texts. Of equal ones the first has their number as ``copies``, the others have 0."""
+    """Passages of a task's texts, of equal texts once. Of equal passages the first has their number as ``copies``, the others have 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId()
         for batch in batches:
-            texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
-            key, size = batch.column("key").to_numpy(), np.array([len(t) for t in texts], np.int32)
+            key, size = batch.column("key").to_numpy(), batch.column("bytes").to_numpy()
+            # Copies of a text bring its passages once, as often as there are copies.
+            _, one, copies = np.unique(np.stack([key, size], axis=1), axis=0, return_index=True, return_counts=True)
+            texts = [batch.column("text")[i].as_buffer().to_pybytes() for i in one.tolist()]
+            key, size = key[one], size[one]
             found = []
             for rows, starts, parts in _pieces(texts, length):
                 data = np.frombuffer(b"".join(parts), np.uint8)
                 at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
                 t, first, windows, off, core, whole = _passages(data, at, length)
                 r = np.array(rows)[t]
-                found.append((key[r], size[r], first + np.array(starts)[t], windows.astype(np.int32), off.astype(np.int32), _signed(core), _signed(whole)))
+                found.append((key[r], size[r], first + np.array(starts)[t], windows.astype(np.int32), off.astype(np.int32), _signed(core), _signed(whole), copies[r]))
             if not found:
                 continue
-            k, b, first, windows, off, core, whole = (np.concatenate(x) for x in zip(*found))
+            k, b, first, windows, off, core, whole, times = (np.concatenate(x) for x in zip(*found))
             order = np.lexsort((whole, core))
-            c, w = core[order], whole[order]
+            c, w, times = core[order], whole[order], times[order]
             new_core = np.concatenate([[True], c[1:] != c[:-1]])
             new = new_core | np.concatenate([[True], w[1:] != w[:-1]])
             begin = np.flatnonzero(new)
-            copies = np.zeros(len(order), np.int32)
-            copies[begin] = np.diff(np.append(begin, len(order)))
+            n_equal = np.zeros(len(order), np.int32)
+            n_equal[begin] = np.add.reduceat(times, begin)
             # Slot 0: the first passage of a core, for the comparison with other tasks; -1: known to be repeated.
-            met = np.bincount(np.cumsum(new_core) - 1)[np.cumsum(new_core) - 1] > 1
+            met = (np.add.reduceat(times, np.flatnonzero(new_core)) > 1)[np.cumsum(new_core) - 1]
             slot = np.where(new_core, np.where(met, -1, 0), 1 + (salt + np.arange(len(order))) % SALTS).astype(np.int32)
-            columns = (k[order], b[order], first[order], windows[order], off[order], c, w, copies, slot)
+            columns = (k[order], b[order], first[order], windows[order], off[order], c, w, n_equal, slot)
             for s in range(0, len(order), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[s:s + 100_000]) for x in columns],
                                                  names=[x.split()[0] for x in _ANCHORS.split(", ")])
@@ -281,17 +288,19 @@ def _sorted_windows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[tuple, tuple] = {}
-        size, last = 0, None
+        size, last, begun = 0, None, 0
         for batch in batches:
             for g, whole, lo, key, b, first, passage, windows in zip(*(batch.column(c).to_pylist() for c in (
                     "g", "whole", "lo", "key", "bytes", "first", "passage", "windows"))):
-                if g != last and size >= TASK_BYTES:
-                    yield from flush(rows)
-                    rows, size = {}, 0
-                last = g
-                if (g, whole, lo) not in rows:  # rows that repeat a document bring a passage twice
-                    rows[g, whole, lo] = (key, b, first, bytes(passage), windows)
-                    size += len(passage)
+                if g != last:
+                    if len(rows) == begun + 1:  # alone in its group
+                        size -= len(rows.popitem()[1][3])
+                    if size >= TASK_BYTES:
+                        yield from flush(rows)
+                        rows, size = {}, 0
+                    last, begun = g, len(rows)
+                rows[g, whole, lo] = (key, b, first, passage, windows)
+                size += len(passage)
         yield from flush(rows)
 
     return run
@@ -307,25 +316,30 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("key"), F.octet_length("text").alias("bytes"), F.encode("text", "UTF-8").alias("text"))
 
 
-def _narrowed(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, DataFrame]:
+def _span() -> list:
+    return ["key", "bytes", "first", (F.col("first") + F.col("windows") - 1).alias("last")]
+
+
+def _narrowed(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, DataFrame | None]:
     """Passages in groups of at most ``group``, and windows that need no sort.
 
     A row's windows have their anchor ``lo`` to ``hi`` bytes on. Where a group is
     too large, both halves of that range become rows of their own, grouped by
-    the bytes that all windows of the half share.
+    the bytes that all windows of the half share. Rows that are equal in a half
+    have all its windows repeated; one of them is compared with the others.
     """
     done = alone = None
+    same = ["g", "off", "windows", "passage"]
     while True:
-        big = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("g")
+        # One window each: its bytes are the group, so a row has nothing left to differ in.
+        big = rows.where("lo < hi").groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("g")
         big, n_big = materialise(big, "core-groups", counted=True)
         if not n_big:
             return (rows if done is None else done.unionByName(rows)), alone
         small = rows.join(big, "g", "left_anti")
         large = rows.join(big, "g", "left_semi")
-        # One window each: its bytes are the group, so all of a group are equal.
-        single = large.where("lo = hi").select("key", "bytes", "first", F.col("first").alias("last"))
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        halves = large.where("lo < hi").withColumn("half", F.explode(F.array(
+        halves = large.withColumn("half", F.explode(F.array(
             F.struct(F.col("lo").alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("hi").alias("hi")))))
         # Windows of the half: the anchor stands off - place bytes into window ``place``.
         a, b = F.greatest(F.lit(0), F.col("off") - F.col("half.hi")), F.least(F.col("windows") - 1, F.col("off") - F.col("half.lo"))
@@ -335,16 +349,20 @@ def _narrowed(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, Data
             "whole", "key", "bytes", (F.col("first") + F.col("a")).alias("first"), (F.col("b") - F.col("a") + 1).alias("windows"),
             (F.col("off") - F.col("a")).alias("off"), F.col("half.lo").alias("lo"), F.col("half.hi").alias("hi"),
             F.substring(F.col("passage"), F.col("a") + 1, F.col("b") - F.col("a") + F.lit(length)).alias("passage"))
+        halves = materialise(halves, "core-halves")
+        kinds = halves.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("whole", "key", "bytes", "first", "lo", "hi")).alias("one"))
+        kinds = materialise(kinds, "half-kinds")
+        equal = halves.join(kinds.where("n > 1").select(*same), same, "left_semi").select(*_span())
         done = small if done is None else done.unionByName(small)
-        alone = single if alone is None else alone.unionByName(single)
-        rows = materialise(halves, "core-halves")
+        alone = equal if alone is None else alone.unionByName(equal)
+        rows = kinds.select("one.*", *same)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """(key, bytes, first, last): windows ``first`` to ``last`` of the text are repeated. ``docs`` as from ``_keyed``."""
     # Three names of a suffix array must fit a long: its text stays below 3 << 20 bytes.
     group = max(1, min(group, (1 << 21) // (2 * length)))
-    anchors = docs.where(F.col("bytes") >= length).select("key", "text").mapInArrow(_anchored(length), _ANCHORS)
+    anchors = docs.where(F.col("bytes") >= length).select("key", "bytes", "text").mapInArrow(_anchored(length), _ANCHORS)
     # A core that a task has twice is shared (-1, or a salt); others are compared over all tasks.
     anchors = anchors.withColumn("known", F.col("slot") != 0).withColumn("slot", F.greatest("slot", F.lit(0)))
     met = F.sum(F.when(F.col("known"), 2).otherwise(1)).over(Window.partitionBy("core", "slot"))
@@ -354,14 +372,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFr
         F.sum("copies").alias("n"), F.min(F.struct("key", "bytes", "first", "windows", "off")).alias("one"))
     kinds = materialise(kinds, "passage-kinds")
     many = kinds.where("n > 1").select("core", "whole")
-    span = ["key", "bytes", "first", (F.col("first") + F.col("windows") - 1).alias("last")]
+    span = _span()
     # What a task has met twice is known already; a frequent passage is then one row a task in the join.
     equal = shared.where("copies <> 1").select(*span).unionByName(
         shared.where("copies = 1").join(many, ["core", "whole"], "left_semi").select(*span))
     mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
     wanted = kinds.join(mixed, "core", "left_semi").select("core", "whole", "one.*")
     per_text = wanted.groupBy("key", "bytes").agg(F.collect_list(F.struct("core", "whole", "first", "windows", "off")).alias("w"))
-    cut = docs.join(per_text, ["key", "bytes"]).select("key", "bytes", "text", F.explode("w").alias("w")).select(
+    texts = docs.where(F.col("bytes") >= length).groupBy("key", "bytes").agg(F.first("text").alias("text"))
+    cut = texts.join(per_text, ["key", "bytes"]).select("key", "bytes", "text", F.explode("w").alias("w")).select(
         F.col("w.core").alias("g"), "w.whole", "key", "bytes", "w.first", "w.windows", "w.off", F.lit(0).alias("lo"), F.lit(length - CORE).alias("hi"),
         F.substring(F.col("text"), (F.col("w.first") + 1).cast("int"), F.col("w.windows") + F.lit(length - 1)).alias("passage"))
     grouped, alone = _narrowed(materialise(cut, "passages"), length, group)
@@ -370,6 +389,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFr
     return found if alone is None else found.unionByName(alone)
 
 
+def _per_text(found: DataFrame) -> DataFrame:
+    """The repeated windows of each text, once each: copies of it, and passages of several groups, bring them again."""
+    return found.groupBy("key", "bytes").agg(F.collect_set(F.struct("first", "last")).alias("w"))
+
+
 def _cut(length: int, kind: str):
     """What stays of each text without the bytes its repeated windows cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,8 +427,7 @@ def _cut(length: int, kind: str):
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, digest: bool = False, group: int = GROUP) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans and the bytes that stay (``kept``) or their hash."""
     keyed = _keyed(docs, doc_id, text)
-    found = repeats(keyed, length, group).groupBy("key", "bytes").agg(F.collect_list(F.struct("first", "last")).alias("w"))
     kind = dict(keyed.dtypes)["doc_id"]
-    return keyed.join(found, ["key", "bytes"], "left").select("doc_id", "bytes", "text", "w").mapInArrow(
+    return keyed.join(_per_text(repeats(keyed, length, group)), ["key", "bytes"], "left").select("doc_id", "bytes", "text", "w").mapInArrow(
         _cut(length, "digest" if digest else "bytes"),
         f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary"))
